@@ -143,13 +143,17 @@ def day_literal(day: str | _dt.date) -> Column:
     return F.lit(str(day)).cast("date")
 
 
-def predict_day(model: LinearRegressionModel, assembled: DataFrame, day: str | _dt.date) -> DataFrame:
+def predict_day(model: LinearRegressionModel, rows: DataFrame, day: str | _dt.date) -> DataFrame:
     """Predictions for one calendar day: actual and predicted power.
 
-    The date filter sits above the scan, so on a table partitioned by
-    ``signal_date`` only that day's folder is read.
+    ``rows`` are typed features (``power_features``) or already assembled
+    rows. The day filter is applied before the vectors are assembled (the
+    assembler's projection stops filters from moving down), so on a table
+    partitioned by ``signal_date`` only that day's folder is read.
     """
-    rows = assembled.filter(F.col("signal_date") == day_literal(day))
+    rows = rows.filter(F.col("signal_date") == day_literal(day))
+    if "features" not in rows.columns:
+        rows = assemble(rows)
     return score(model, rows).select("signal_date", "signal_ts", LABEL_COLUMN, "prediction")
 
 
@@ -176,7 +180,7 @@ def chart_bounds(predictions: DataFrame) -> DataFrame:
 @dataclass
 class PowerModelRun:
     model: LinearRegressionModel
-    assembled: DataFrame
+    features: DataFrame
     train: DataFrame
     test: DataFrame
     predictions: DataFrame
@@ -191,27 +195,32 @@ def train_and_evaluate(
     train_fraction: float = 0.8,
     seed: int = 42,
     exclude_day: str | _dt.date | None = None,
-    persist: bool = True,
+    persist: bool = False,
 ) -> PowerModelRun:
     """Features -> split -> fit -> score the held-out rows.
 
     ``split="hash"`` is layout independent; ``"random"`` is the reference's
-    ``randomSplit([f, 1 - f], seed)``. ``exclude_day`` keeps one day out of
-    training so that predicting it is not scored on rows the model saw.
-    ``persist`` keeps the assembled rows (a few doubles each) in memory and
-    disk for the fit and the later passes instead of re-reading the map
-    column; lost blocks are rebuilt from lineage.
+    ``randomSplit([f, 1 - f], seed)`` on the assembled rows.
+    ``exclude_day`` keeps one day out of training so that predicting it is
+    not scored on rows the model saw. Filters run on the typed columns,
+    before assembly, so they stay close to the scan.
+
+    ``persist`` keeps the typed feature rows (four doubles, a date and a
+    time) in memory and disk for the fit and the later passes instead of
+    re-reading the map column; lost blocks are rebuilt from lineage. Leave
+    it off when those rows do not fit the cluster's memory and local disks:
+    each pass is then one more column-pruned scan.
     """
-    assembled = assemble(power_features(telemetry))
+    features = power_features(telemetry)
     if persist:
-        assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+        features = features.persist(StorageLevel.MEMORY_AND_DISK)
     if split == "hash":
-        train, test = hash_split(assembled, train_fraction)
+        train, test = (assemble(side) for side in hash_split(features, train_fraction))
     elif split == "random":
-        train, test = random_split(assembled, (train_fraction, 1 - train_fraction), seed)
+        train, test = random_split(assemble(features), (train_fraction, 1 - train_fraction), seed)
     else:
         raise ValueError(f"unknown split {split!r}")
     if exclude_day is not None:
         train = train.filter(F.col("signal_date") != day_literal(exclude_day))
     model = train_power_model(train)
-    return PowerModelRun(model, assembled, train, test, score(model, test))
+    return PowerModelRun(model, features, train, test, score(model, test))

@@ -252,16 +252,14 @@ def predict_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for one day, as the reference does it (the model
     was trained on a split that may include that day)."""
     model = _model_run(spark, sf_dir).model
-    assembled = assemble(power_features(load_telemetry(spark, sf_dir)))
-    out = predict_day(model, assembled, PREDICT_DAY)
+    out = predict_day(model, power_features(load_telemetry(spark, sf_dir)), PREDICT_DAY)
     return _round(out, VALUE_DECIMALS, keep=("signal_date", "signal_ts"))
 
 
 def predict_day_holdout_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C9 with the predicted day kept out of training."""
     model = _model_run(spark, sf_dir, exclude_day=PREDICT_DAY).model
-    assembled = assemble(power_features(load_telemetry(spark, sf_dir)))
-    out = predict_day(model, assembled, PREDICT_DAY)
+    out = predict_day(model, power_features(load_telemetry(spark, sf_dir)), PREDICT_DAY)
     return _round(out, VALUE_DECIMALS, keep=("signal_date", "signal_ts"))
 
 
