@@ -5,19 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Each value is split into a high and a low part at this bit, so that the
+# sum of the low parts (each < 2**20) cannot overflow before 2**43 rows in
+# one group, and the high parts only past 2**63 * 2**20 units.
+_LOW_BITS = 20
+_LOW_MASK = (1 << _LOW_BITS) - 1
+# Largest |value| * 10**scale that still fits a signed 64-bit integer.
+_UNITS_LIMIT = 9.0e18
 
-def exact_avg(value: Column, scale: int = 4, precision: int = 18) -> Column:
-    """Average whose bits do not depend on summation order.
 
-    Each value is rounded to ``scale`` decimals and summed as a decimal, so
-    the sum is exact whatever the partitioning; one final division gives the
-    double. NaN is treated as missing; a value beyond the decimal range fails
-    the query (ANSI) instead of being dropped. Partial aggregation still
-    applies: a decimal sum and a count are merged like any other sum.
+def exact_avg(value: Column, scale: int = 4) -> Column:
+    """Average whose bits do not depend on partitioning or summation order.
+
+    Each value is rounded to ``scale`` decimals (ties upwards) and held as a
+    whole number of 10**-scale units; the units are summed in two 64-bit
+    parts, which is exact and as cheap as a double sum. One decimal division
+    per group turns the exact total into the correctly rounded double, and
+    one division by the count gives the average. NaN counts as missing; a
+    value too large for the unit range fails the query instead of wrapping.
+    Partial aggregation applies as for any sum.
     """
     clean = F.nanvl(value, F.lit(None).cast("double"))
-    dec = clean.cast(f"decimal({precision},{scale})")
-    return F.sum(dec).cast("double") / F.count(dec)
+    scaled = clean * F.lit(float(10**scale))
+    units = (
+        F.when(clean.isNull(), F.lit(None).cast("bigint"))
+        .when(F.abs(scaled) < F.lit(_UNITS_LIMIT), F.floor(scaled + F.lit(0.5)))
+        .otherwise(F.raise_error(F.lit("exact_avg: value out of range for the chosen scale")).cast("bigint"))
+    )
+    high = F.sum(F.shiftright(units, _LOW_BITS))
+    low = F.sum(units.bitwiseAND(F.lit(_LOW_MASK)))
+    total = (high.cast("decimal(38,0)") * F.lit(1 << _LOW_BITS) + low) / F.lit(10**scale)
+    return total.cast("double") / F.count(units)
 
 
 def average(value: Column, exact_scale: int | None = None) -> Column:
