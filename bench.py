@@ -22,10 +22,13 @@ from sigflow.sources.testdata import events_telemetry, read_events  # noqa: E402
 HEADLINE = [
     "hourly_generation",
     "daily_datapoints",
+    "hourly_long_unpivot",
     "hourly_long_renamed",
     "hourly_long_renamed_json",
     "hourly_preview",
     "raw_csv_scan",
+    "raw_csv_scan_inferred",
+    "csv_inferred_to_topic",
     "message_roundtrip",
     "ingest_batch",
     "csv_to_topic",

@@ -84,18 +84,27 @@ def hourly_generation(telemetry: DataFrame, exact_scale: int | None = None, **ba
     return with_generation_indicator(hourly_averages(telemetry, exact_scale), **band_kwargs)
 
 
-def to_long(hourly: DataFrame) -> DataFrame:
+def to_long(hourly: DataFrame, method: str = "explode") -> DataFrame:
     """Wide hourly rows -> one row per signal (exactly four per hourly row,
-    null averages included). A projection and a generator: no shuffle."""
+    null averages included). A projection and a generator: no shuffle.
+
+    ``method="explode"`` packs the averages into a map keyed by signal name
+    and explodes it; ``method="unpivot"`` uses ``DataFrame.unpivot`` and
+    names the signals from a literal lookup. Both give the same rows.
+    """
+    ids = ["signal_date", "hour_of_day", "generation_indicator"]
+    if method == "unpivot":
+        names = F.create_map(
+            *[x for key, name in zip(SIGNAL_KEYS, AVG_COLUMNS) for x in (F.lit(name), F.lit(key))]
+        )
+        melted = hourly.unpivot(ids, list(AVG_COLUMNS), "avg_column", "value")
+        return melted.select(*ids, names[F.col("avg_column")].alias("sig_name"), "value")
+    if method != "explode":
+        raise ValueError(f"unknown method {method!r}")
     metrics = F.create_map(
         *[x for key, name in zip(SIGNAL_KEYS, AVG_COLUMNS) for x in (F.lit(key), F.col(name))]
     )
-    return hourly.select(
-        "signal_date",
-        "hour_of_day",
-        "generation_indicator",
-        F.explode(metrics).alias("sig_name", "value"),
-    )
+    return hourly.select(*ids, F.explode(metrics).alias("sig_name", "value"))
 
 
 def rename_signals(

@@ -159,6 +159,7 @@ SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
        COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
 FROM telemetry GROUP BY signal_date""",
     "hourly_long": f"WITH {TELEMETRY},\n{HOURLY},\n{LONG}\nSELECT * FROM long",
+    "hourly_long_unpivot": f"WITH {TELEMETRY},\n{HOURLY},\n{LONG}\nSELECT * FROM long",
     "hourly_long_renamed": f"""WITH {TELEMETRY},\n{HOURLY},\n{LONG},\n{MAPPING}
 SELECT l.signal_date, l.hour_of_day, l.generation_indicator, l.sig_name, m.sig_mapping_name, l.value
 FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name""",
@@ -168,6 +169,8 @@ FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name""",
     "hourly_preview": f"""WITH {TELEMETRY},\n{HOURLY}
 SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "raw_csv_scan": RAW_SELECT,
+    "raw_csv_scan_inferred": RAW_SELECT,
+    "csv_inferred_to_topic": RAW_SELECT,
     "message_roundtrip": RAW_SELECT,
     "csv_to_topic": RAW_SELECT,
     "ingest_batch": INGESTED_SELECT,

@@ -69,6 +69,11 @@ def hourly_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_long(hourly_generation_q(spark, sf_dir))
 
 
+def hourly_long_unpivot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 through ``DataFrame.unpivot`` (cross-check of the explode form)."""
+    return to_long(hourly_generation_q(spark, sf_dir), method="unpivot")
+
+
 def hourly_long_renamed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C7 with the inline mapping (S6) and the broadcast left join."""
     return rename_signals(
@@ -108,6 +113,22 @@ def raw_csv_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, raw_csv_glob(spark, sf_dir))
 
 
+def raw_csv_scan_inferred_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 as the reference writes it: header and schema inference (one more
+    pass over the files); the inferred schema is what S2 hands to a stream."""
+    return read_raw_csv(spark, raw_csv_glob(spark, sf_dir), infer_schema=True)
+
+
+def csv_inferred_to_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + C1: a batch scan infers the schema, the stream reuses it."""
+    source = raw_csv_glob(spark, sf_dir)
+    schema = read_raw_csv(spark, source, infer_schema=True).schema
+    run = new_scratch_dir(spark, "csv-inferred-to-topic")
+    topic = TopicConfig(path=f"{run}/topic")
+    publish_csv(spark, source, topic, f"{run}/checkpoint-producer", schema=schema)
+    return decode_messages(read_topic(spark, topic, streaming=False))
+
+
 def message_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 / F3 / P2 then F2 / P5: rows -> JSON messages -> rows (batch)."""
     return decode_messages(encode_messages(events_raw(read_events(spark, sf_dir))))
@@ -267,10 +288,13 @@ QUERIES: dict[str, Query] = {
     "hourly_generation": hourly_generation_q,
     "daily_datapoints": daily_datapoints_q,
     "hourly_long": hourly_long_q,
+    "hourly_long_unpivot": hourly_long_unpivot_q,
     "hourly_long_renamed": hourly_long_renamed_q,
     "hourly_long_renamed_json": hourly_long_renamed_json_q,
     "hourly_preview": hourly_preview_q,
     "raw_csv_scan": raw_csv_scan_q,
+    "raw_csv_scan_inferred": raw_csv_scan_inferred_q,
+    "csv_inferred_to_topic": csv_inferred_to_topic_q,
     "message_roundtrip": message_roundtrip_q,
     "ingest_batch": ingest_batch_q,
     "csv_to_topic": csv_to_topic_q,

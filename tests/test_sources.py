@@ -50,3 +50,25 @@ def test_mapping_sources(spark):
     parsed = mapping_from_json(spark)
     assert parsed.count() == 4
     assert {r.sig_name: r.sig_mapping_name for r in parsed.collect()} == inline
+
+
+def test_clustered_write_one_range_per_task(spark, scratch):
+    import glob
+
+    from conftest import SF001
+    from sigflow.sources.table import TableConfig, read_table, write_table
+    from sigflow.sources.testdata import events_telemetry, read_events
+
+    tel = events_telemetry(read_events(spark, SF001).repartition(8))
+    plain = TableConfig(path=os.path.join(scratch, "plain"))
+    clustered = TableConfig(path=os.path.join(scratch, "clustered"))
+    write_table(tel, plain)
+    write_table(tel, clustered, cluster_by=("signal_date", "signal_ts"), num_partitions=8)
+    n_plain = len(glob.glob(os.path.join(plain.path, "*", "*.parquet")))
+    n_clustered = len(glob.glob(os.path.join(clustered.path, "*", "*.parquet")))
+    assert n_clustered < n_plain
+    assert n_clustered <= 8 + 30  # at most one extra file per range boundary
+    a, b = read_table(spark, plain), read_table(spark, clustered)
+    assert a.count() == b.count() == 1000
+    cols = ["signal_date", "signal_ts"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
