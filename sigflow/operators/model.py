@@ -159,13 +159,17 @@ def predict_day(model: LinearRegressionModel, rows: DataFrame, day: str | _dt.da
 
 def actual_vs_predicted(predictions: DataFrame) -> DataFrame:
     """Chart series ordered by time, with the residual (prediction - actual).
-    A distributed sort (range partitioning), never a collect."""
+
+    A distributed sort (range partitioning), never a collect. The values are
+    tie-breakers in the sort key, so many rows sharing one timestamp (a
+    replayed batch, say) are still cut into several ranges.
+    """
     return predictions.select(
         "signal_ts",
         LABEL_COLUMN,
         "prediction",
         (F.col("prediction") - F.col(LABEL_COLUMN)).alias("residual"),
-    ).orderBy("signal_ts")
+    ).orderBy("signal_ts", LABEL_COLUMN, "prediction")
 
 
 def chart_bounds(predictions: DataFrame) -> DataFrame:

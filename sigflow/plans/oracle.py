@@ -201,7 +201,7 @@ FROM test_pred""",
     "test_predictions": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
 SELECT signal_ts, round(active_power, 2) AS active_power, round(prediction, 2) AS prediction,
        round(prediction - active_power, 2) AS residual
-FROM test_pred ORDER BY signal_ts""",
+FROM test_pred ORDER BY signal_ts, active_power, prediction""",
     "prediction_bounds": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
 SELECT round(MIN(least(active_power, prediction)), 2) AS min_val,
        round(MAX(greatest(active_power, prediction)), 2) AS max_val

@@ -261,7 +261,7 @@ def model_metrics_random_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def test_predictions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9 / K5 / O1: held-out actual vs predicted, ordered by time."""
     series = actual_vs_predicted(_model_run(spark, sf_dir).predictions)
-    return _round(series, VALUE_DECIMALS, keep=("signal_ts",)).orderBy("signal_ts")
+    return _round(series, VALUE_DECIMALS, keep=("signal_ts",)).orderBy("signal_ts", "active_power", "prediction")
 
 
 def prediction_bounds_q(spark: SparkSession, sf_dir: str) -> DataFrame:
