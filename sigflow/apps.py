@@ -90,12 +90,16 @@ def run_predict(spark: SparkSession, args) -> None:
         split=args.split,
         exclude_day=args.day if args.holdout_day else None,
         persist=args.persist,
+        engine=args.engine,
     )
     coefficients_frame(run.model, spark).write.mode("overwrite").parquet(f"{args.out}/model_coefficients")
     run.metrics().write.mode("overwrite").parquet(f"{args.out}/test_metrics")
     actual_vs_predicted(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_series")
     chart_bounds(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_bounds")
-    run.model.write().overwrite().save(f"{args.out}/model")
+    if args.engine == "ml":
+        run.model.write().overwrite().save(f"{args.out}/model")
+    else:
+        run.model.save(spark, f"{args.out}/model")
     day = predict_day(run.model, power_features(telemetry), args.day)
     _save(day, f"{args.out}/day={args.day}", args.show, ["signal_ts"])
     if args.show:
@@ -143,6 +147,8 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--out", required=True)
     sp.add_argument("--day", required=True)
     sp.add_argument("--split", default="hash", choices=["hash", "random"])
+    sp.add_argument("--engine", default="moments", choices=["moments", "ml"],
+                    help="moments: one aggregate pass; ml: pyspark.ml LinearRegression")
     sp.add_argument("--holdout-day", action="store_true", help="keep the day out of training")
     sp.add_argument("--persist", action="store_true", help="keep feature rows cached across passes")
     sp.add_argument("--show", action="store_true")

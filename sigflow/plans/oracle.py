@@ -88,7 +88,7 @@ _COMPLETE = " AND ".join(
     f"{c} IS NOT NULL AND NOT isnan({c})"
     for c in ("active_power", "wind_speed", "theoretical_curve", "wind_direction")
 )
-_TRAIN = f"substr(md5(strftime(signal_ts, '%Y%m%d%H%M%S%f')), 1, 4) < '{split_threshold(TRAIN_FRACTION)}'"
+_TRAIN = f"substr(md5(CAST(signal_ts AS VARCHAR)), 1, 4) < '{split_threshold(TRAIN_FRACTION)}'"
 
 FEATURES = f"""features AS (
   SELECT signal_date, signal_ts, wind_speed, theoretical_curve, wind_direction, active_power,
@@ -197,6 +197,16 @@ SELECT COUNT(*) AS n,
        round(sqrt(SUM((prediction - active_power) * (prediction - active_power)) / COUNT(*)), 6) AS rmse,
        round(1 - SUM((prediction - active_power) * (prediction - active_power))
                  / (var_pop(active_power) * COUNT(*)), 6) AS r2
+FROM test_pred""",
+    "power_model_moments": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL}
+SELECT round(w1, 6) AS coef_wind_speed, round(w2, 6) AS coef_theoretical_curve,
+       round(w3, 6) AS coef_wind_direction, round(b0, 6) AS intercept
+FROM model""",
+    "model_metrics_moments": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
+SELECT COUNT(*) AS n,
+       round(sqrt(SUM((prediction - active_power) * (prediction - active_power)) / COUNT(*)), 6) AS rmse,
+       round(1 - SUM((prediction - active_power) * (prediction - active_power))
+                 / (var_pop(active_power) * COUNT(*)), 6) AS r2
 FROM test_pred""",
     "test_predictions": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
 SELECT signal_ts, round(active_power, 2) AS active_power, round(prediction, 2) AS prediction,

@@ -25,3 +25,11 @@ def test_four_stages(spark, scratch):
     assert spark.read.parquet(f"{out}/daily_datapoints").count() == 30
     assert spark.read.parquet(f"{out}/day=2024-01-15").count() > 0
     assert spark.read.parquet(f"{out}/test_metrics").first().n > 0
+    from sigflow.operators.model import LeastSquaresModel
+
+    model = LeastSquaresModel.load(spark, f"{out}/model")
+    assert model.feature_cols == ("wind_speed", "theoretical_curve", "wind_direction")
+    apps.run_predict(spark, p.parse_args(["predict", "--table", table, "--out", out + "_ml", "--day", "2024-01-15",
+                                          "--engine", "ml"]))
+    ml = spark.read.parquet(f"{out}_ml/model_coefficients").first()
+    assert abs(ml.intercept - model.intercept) < 1e-6 * abs(model.intercept)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE_CSV, SF001
 from sigflow.operators.ingest import decode_messages, encode_messages, shape_telemetry
 from sigflow.operators.model import (
+    LeastSquaresModel,
     assemble,
     evaluate_with_evaluator,
+    fit_least_squares,
     hash_split,
     power_features,
     predict_day,
@@ -33,6 +35,12 @@ def test_golden_regression_on_sample(spark):
     m = regression_metrics(score(model, data)).first()
     assert m.rmse == pytest.approx(48.68228776, abs=1e-6)
     assert m.r2 == pytest.approx(0.99358496, abs=1e-7)
+    # the moments engine reaches the same solution
+    ls = fit_least_squares(power_features(tel))
+    assert list(ls.coefficients) == pytest.approx([90.40881575, 0.69579270, -1.38475924], abs=1e-6)
+    assert ls.intercept == pytest.approx(-19.61170823, abs=1e-6)
+    m2 = regression_metrics(score(ls, power_features(tel))).first()
+    assert m2.rmse == pytest.approx(m.rmse, rel=1e-9)
 
 
 def test_hash_split_disjoint_and_covering(spark):
@@ -48,7 +56,7 @@ def test_hash_split_disjoint_and_covering(spark):
 
 
 def test_metrics_match_evaluator(spark):
-    run = train_and_evaluate(load_telemetry(spark, SF001), persist=True)
+    run = train_and_evaluate(load_telemetry(spark, SF001), persist=True, engine="ml")
     rmse, r2 = evaluate_with_evaluator(run.predictions)
     m = run.metrics().first()
     assert m.rmse == pytest.approx(rmse, rel=1e-9)
@@ -73,3 +81,31 @@ def test_predict_day_prunes_partitions(spark):
 def test_holdout_day_not_in_training(spark):
     run = train_and_evaluate(load_telemetry(spark, SF001), exclude_day="2024-01-15", persist=False)
     assert run.train.filter(F.col("signal_date") == "2024-01-15").count() == 0
+
+
+def test_engines_agree(spark):
+    tel = load_telemetry(spark, SF001)
+    ml = train_and_evaluate(tel, engine="ml")
+    mo = train_and_evaluate(tel, engine="moments")
+    assert isinstance(mo.model, LeastSquaresModel)
+    assert list(mo.model.coefficients) == pytest.approx(list(ml.model.coefficients.toArray()), rel=1e-9)
+    assert mo.model.intercept == pytest.approx(ml.model.intercept, rel=1e-9)
+    a, b = ml.metrics().first(), mo.metrics().first()
+    assert a.n == b.n and a.rmse == pytest.approx(b.rmse, rel=1e-9)
+
+
+def test_moments_scoring_has_no_udf(spark):
+    from sigflow.plans.inspect import plan_text
+
+    run = train_and_evaluate(load_telemetry(spark, SF001))
+    text = plan_text(run.predictions, "simple")
+    assert "UDF" not in text and "features" not in run.predictions.columns
+
+
+def test_singular_system_falls_back(spark):
+    df = spark.createDataFrame(
+        [(1.0, 5.0, 2.0, float(i), 3.0 * i + 1.0) for i in range(20)],
+        "wind_speed double, theoretical_curve double, wind_direction double, x double, active_power double",
+    )
+    m = fit_least_squares(df, feature_cols=("wind_speed", "x"))
+    assert m.coefficients[1] == pytest.approx(3.0) and m.intercept == pytest.approx(1.0)
