@@ -109,3 +109,15 @@ def test_singular_system_falls_back(spark):
     )
     m = fit_least_squares(df, feature_cols=("wind_speed", "x"))
     assert m.coefficients[1] == pytest.approx(3.0) and m.intercept == pytest.approx(1.0)
+
+
+def test_keep_complete_equals_dropna(spark):
+    from sigflow.operators.model import keep_complete
+
+    nan = float("nan")
+    rows = [(1, 1.0, 2.0), (2, None, 2.0), (3, nan, 1.0), (4, 3.0, None), (5, 4.0, 5.0)]
+    df = spark.createDataFrame(rows, "k int, a double, b double")
+    got = sorted(r.k for r in keep_complete(df, ["k"], ["a", "b"]).collect())
+    want = sorted(r.k for r in df.dropna(subset=["a", "b"]).collect())
+    assert got == want == [1, 5]
+    assert keep_complete(df, ["k"], ["a", "b"]).columns == ["k", "a", "b"]
