@@ -31,19 +31,35 @@ def write_table(
     mode: str = "append",
     cluster_by: Sequence[str] | None = None,
     num_partitions: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Batch write, partitioned by ``cfg.partition_by``.
 
-    Without ``cluster_by`` every task writes its own rows as they are (no
-    shuffle; right when the input is already ordered by time, as telemetry
-    usually is). With ``cluster_by=("signal_date", "signal_ts")`` the rows
-    are range-partitioned and sorted first: each task then holds a time
-    range, so it writes about one date folder with one large file, and a
-    date that holds a third of all rows is cut into many ranges instead of
-    landing on one task. ``num_partitions`` sets the number of ranges
-    (default: ``spark.sql.shuffle.partitions``, resized by AQE).
+    Layouts:
+
+    * default: every task writes its own rows as they are (no shuffle;
+      right when the input is already ordered by time and its tasks are of
+      a good size).
+    * ``rebalance=True``: a ``REBALANCE`` hint on the partition columns.
+      Adaptive execution sizes the write tasks to
+      ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and splits a date
+      that holds a large share of the rows over several tasks, so files
+      come out of a similar size whatever the skew; rows are sorted by time
+      within each task.
+    * ``cluster_by=("signal_date", "signal_ts")``: range partitioning on
+      those columns, then a sort; each task holds one time range, a hot date
+      is cut into many ranges. ``num_partitions`` fixes the number of ranges
+      (otherwise ``spark.sql.shuffle.partitions``, coalesced by AQE).
+
+    Scan balance depends on file sizes: Spark packs small files into splits
+    by bytes, so a few dense files next to many tiny ones end up in one
+    split. Prefer ``rebalance`` for tables that will be scanned in full.
     """
-    if cluster_by:
+    if rebalance:
+        keys = list(cfg.partition_by)
+        df = df.hint("rebalance", *keys) if keys else df.hint("rebalance")
+        df = df.sortWithinPartitions(*(keys + (["signal_ts"] if "signal_ts" in df.columns else [])))
+    elif cluster_by:
         cols = list(cluster_by)
         df = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
         df = df.sortWithinPartitions(*cols)

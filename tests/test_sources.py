@@ -72,3 +72,17 @@ def test_clustered_write_one_range_per_task(spark, scratch):
     assert a.count() == b.count() == 1000
     cols = ["signal_date", "signal_ts"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_rebalanced_write_keeps_rows(spark, scratch):
+    from conftest import SF001
+    from sigflow.sources.table import TableConfig, read_table, write_table
+    from sigflow.sources.testdata import events_telemetry, read_events
+
+    tel = events_telemetry(read_events(spark, SF001))
+    cfg = TableConfig(path=os.path.join(scratch, "rebalanced"))
+    write_table(tel, cfg, rebalance=True)
+    out = read_table(spark, cfg)
+    cols = ["signal_date", "signal_ts"]
+    assert out.count() == 1000
+    assert out.select(cols).exceptAll(tel.select(cols)).count() == 0
