@@ -31,9 +31,9 @@ from sigflow.operators.model import (
     typed_signals,
 )
 from sigflow.operators.preview import preview
-from sigflow.plans.staging import load_telemetry, raw_csv_folders, raw_csv_glob
+from sigflow.plans.staging import load_telemetry, raw_csv_glob, second_delivery
 from sigflow.schemas import FEATURE_COLUMNS, SIGNAL_KEYS, SIGNAL_MAPPING, SIGNAL_MAPPING_JSON, TYPED_COLUMNS
-from sigflow.session import copy_file, list_files, new_scratch_dir
+from sigflow.session import new_scratch_dir
 from sigflow.sources.csv import read_raw_csv
 from sigflow.sources.mapping import mapping_frame, mapping_from_json
 from sigflow.sources.table import TableConfig, read_table
@@ -159,28 +159,31 @@ def topic_to_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_restart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpointed restart. Deliver the first files and run both
-    queries; run again with nothing new; deliver the rest and run again.
-    One row per run with the rows it added to the table."""
-    first, second = raw_csv_folders(spark, sf_dir)
+    """Checkpointed restart. Deliver the first part of the CSV rows and
+    run both queries; run again with nothing new; deliver the rest and run
+    again. One row per run with the rows it added to the table.
+
+    Deliveries are Spark writes appended into the watched folder (files
+    appear whole on commit), so no data passes through the driver.
+    """
     run = new_scratch_dir(spark, "restart")
     inbox = f"{run}/inbox"
     topic = TopicConfig(path=f"{run}/topic")
     table = TableConfig(path=f"{run}/telemetry")
+    events = read_events(spark, sf_dir)
 
-    def deliver(folder: str) -> None:
-        for name in list_files(spark, folder, ".csv"):
-            copy_file(spark, f"{folder}/{name}", inbox)
+    def deliver(rows: DataFrame) -> None:
+        events_raw(rows).write.mode("append").option("header", True).csv(inbox)
 
     def cycle() -> int:
         publish_csv(spark, inbox, topic, f"{run}/checkpoint-producer")
         ingest_topic(spark, topic, table, f"{run}/checkpoint-subscriber")
         return read_table(spark, table).count()
 
-    deliver(first)
+    deliver(events.filter(~second_delivery()))
     total1 = cycle()
     total2 = cycle()
-    deliver(second)
+    deliver(events.filter(second_delivery()))
     total3 = cycle()
     rows = [(1, total1, total1), (2, total2 - total1, total2), (3, total3 - total2, total3)]
     return spark.createDataFrame(rows, "run int, rows_added bigint, total_rows bigint")

@@ -68,27 +68,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster file system (local, HDFS, object store)."""
     fs, hpath = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))
-
-
-def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
-    """Names of the files directly under ``path`` (metadata only, no data read)."""
-    fs, hpath = _hadoop_path(spark, path)
-    if not fs.exists(hpath):
-        return []
-    out = []
-    for status in fs.listStatus(hpath):
-        name = status.getPath().getName()
-        if status.isFile() and name.endswith(suffix):
-            out.append(name)
-    return sorted(out)
-
-
-def copy_file(spark: SparkSession, src: str, dst_dir: str) -> None:
-    """Copy one file into a folder through the cluster file system."""
-    jvm = spark.sparkContext._jvm
-    fs, src_path = _hadoop_path(spark, src)
-    dst_fs, dst_path = _hadoop_path(spark, dst_dir)
-    dst_fs.mkdirs(dst_path)
-    jvm.org.apache.hadoop.fs.FileUtil.copy(
-        fs, src_path, dst_fs, dst_path, False, spark.sparkContext._jsc.hadoopConfiguration()
-    )

@@ -1,5 +1,4 @@
 import os
-import shutil
 
 from pyspark.sql import functions as F
 
@@ -18,20 +17,13 @@ def _stage_csv(spark, events, folder):
 
 def test_restart_and_incremental_delivery(spark, scratch):
     events = read_events(spark, SF001)
-    first = os.path.join(scratch, "first")
-    second = os.path.join(scratch, "second")
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
-    _stage_csv(spark, events.filter(~late), first)
-    _stage_csv(spark, events.filter(late), second)
     inbox = os.path.join(scratch, "inbox")
-    os.makedirs(inbox)
     topic = TopicConfig(path=os.path.join(scratch, "topic"))
     table = TableConfig(path=os.path.join(scratch, "table"))
 
-    def deliver(folder):
-        for name in os.listdir(folder):
-            if name.endswith(".csv"):
-                shutil.copy(os.path.join(folder, name), os.path.join(inbox, os.path.basename(folder) + name))
+    def deliver(rows):
+        events_raw(rows).write.mode("append").option("header", True).csv(inbox)
 
     def cycle():
         publish_csv(spark, inbox, topic, os.path.join(scratch, "ck-producer"))
@@ -39,15 +31,29 @@ def test_restart_and_incremental_delivery(spark, scratch):
         return read_table(spark, table).count()
 
     n_first = events.filter(~late).count()
-    deliver(first)
+    deliver(events.filter(~late))
     assert cycle() == n_first
     assert cycle() == n_first  # restart with nothing new adds nothing
-    deliver(second)
-    assert cycle() == events.count()  # only the new file's rows are added
+    deliver(events.filter(late))
+    assert cycle() == events.count()  # only the new files' rows are added
     # the table is partitioned by date
     assert any(p.startswith("signal_date=") for p in os.listdir(table.path))
 
 
+def test_long_running_trigger(spark, scratch):
+    folder = os.path.join(scratch, "csv")
+    events = read_events(spark, SF001)
+    _stage_csv(spark, events, folder)
+    topic = TopicConfig(path=os.path.join(scratch, "topic"))
+    q = publish_csv(spark, folder, topic, os.path.join(scratch, "ck"), available_now=False,
+                    processing_time="1 second", wait=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_topic(spark, topic, streaming=False).count() == events.count()
+
+
 def test_stream_equals_batch(spark, scratch):
     events = read_events(spark, SF001)
     folder = os.path.join(scratch, "csv")
