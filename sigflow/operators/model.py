@@ -1,8 +1,11 @@
 """Active-power regression: features, split, fit, score, evaluate, predict a day.
 
-Training uses ``pyspark.ml``'s LinearRegression (normal equation for this
-feature count: one distributed pass builds the small Gram matrix, the driver
-solves it). Metrics are plain aggregates, so RMSE and R^2 come from one pass.
+Two fitting engines reach the same least-squares solution in one distributed
+pass each: ``fit_least_squares`` (means and covariances as DataFrame
+aggregates, prediction as a column expression) and ``pyspark.ml``'s
+LinearRegression (vector column, normal equation). Only a handful of numbers
+reach the driver. Metrics are plain aggregates, so RMSE and R^2 come from
+one pass.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from sigflow.functions.signals import signal_value
 from sigflow.schemas import FEATURE_COLUMNS, LABEL_COLUMN, SIGNAL_KEYS, TYPED_COLUMNS
 
+
 def typed_signals(telemetry: DataFrame) -> DataFrame:
     """Map lookups -> one double column per signal (null when missing or
     unparsable)."""
@@ -77,6 +81,7 @@ def split_bucket(key: str = "signal_ts") -> Column:
 
 
 def split_threshold(fraction: float) -> str:
+    """Bucket bound for a training share: buckets below it train."""
     return format(min(65536, max(0, round(fraction * 65536))), "04x") if fraction < 1 else "~"
 
 
@@ -245,7 +250,7 @@ def predict_day(model, rows: DataFrame, day: str | _dt.date) -> DataFrame:
     """Predictions for one calendar day: actual and predicted power.
 
     ``rows`` are typed features (``power_features``) or already assembled
-    rows. The day filter is applied before the vectors are assembled (the
+    rows. The day filter is applied before any vector assembly (the
     assembler's projection stops filters from moving down), so on a table
     partitioned by ``signal_date`` only that day's folder is read.
     """

@@ -1,25 +1,13 @@
-"""Previews, counts and schema checks (the reference's show / count /
-printSchema, made deterministic and lazy)."""
+"""Previews: the reference's ``show(n)``, made deterministic and lazy."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 20) -> DataFrame:
     """First ``n`` rows in a fixed order; planned as a per-partition top-n
     (TakeOrderedAndProject), never a full sort."""
     return df.orderBy(*order_by).limit(n)
-
-
-def count_rows(**frames: DataFrame) -> DataFrame:
-    """One row per named frame with its row count, as one lazy union."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-             for name, df in frames.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

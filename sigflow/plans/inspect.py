@@ -35,12 +35,6 @@ def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"ReadSchema: (struct<.*?>)\s*$", plan_text(df, "simple"), flags=re.M)
 
 
-def shuffle_count(df: DataFrame) -> int:
-    """Exchanges in the physical plan (before adaptive re-planning)."""
-    return len(re.findall(r"Exchange (?:hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)",
-                          plan_text(df, "simple")))
-
-
 def has_partial_aggregate(df: DataFrame) -> bool:
     text = plan_text(df, "simple")
     return "partial_" in text
