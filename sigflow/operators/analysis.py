@@ -112,15 +112,17 @@ def rename_signals(
     mapping: DataFrame,
     mapping_rows: int | None = None,
     max_broadcast_rows: int = 100_000,
+    assume_unique: bool = False,
 ) -> DataFrame:
     """Left join of the long table with the signal-name dimension.
 
     The dimension is first made unique per ``sig_name`` (the task's JSON
     repeats a key), so the join cannot multiply rows; an unmapped signal
-    keeps a null ``sig_mapping_name``. The dimension is broadcast behind a
-    row-count check.
+    keeps a null ``sig_mapping_name``. Pass ``assume_unique`` when that is
+    already known (``mapping_frame`` guarantees it) to skip the aggregate.
+    The dimension is broadcast behind a row-count check.
     """
-    dim = unique_mapping(mapping)
+    dim = mapping if assume_unique else unique_mapping(mapping)
     joined = join_dimension(
         long,
         dim,

@@ -77,7 +77,7 @@ def hourly_long_unpivot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_long_renamed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C7 with the inline mapping (S6) and the broadcast left join."""
     return rename_signals(
-        hourly_long_q(spark, sf_dir), mapping_frame(spark), mapping_rows=len(SIGNAL_MAPPING)
+        hourly_long_q(spark, sf_dir), mapping_frame(spark), mapping_rows=len(SIGNAL_MAPPING), assume_unique=True
     )
 
 

@@ -13,8 +13,15 @@ MAPPING_ARRAY_TYPE = "array<struct<sig_name:string,sig_mapping_name:string>>"
 
 
 def mapping_frame(spark: SparkSession, pairs: Iterable[tuple[str, str]] = SIGNAL_MAPPING) -> DataFrame:
-    """Inline literal table with an explicit schema."""
-    return spark.createDataFrame([tuple(p) for p in pairs], MAPPING_SCHEMA)
+    """Inline literal table with an explicit schema, one row per
+    ``sig_name`` (repeated identical pairs are kept once; a name mapped two
+    ways is an error)."""
+    unique: dict[str, str] = {}
+    for name, mapped in pairs:
+        if name in unique and unique[name] != mapped:
+            raise ValueError(f"{name!r} is mapped to both {unique[name]!r} and {mapped!r}")
+        unique[name] = mapped
+    return spark.createDataFrame(list(unique.items()), MAPPING_SCHEMA)
 
 
 def mapping_from_json(spark: SparkSession, text: str = SIGNAL_MAPPING_JSON) -> DataFrame:

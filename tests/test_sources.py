@@ -86,3 +86,9 @@ def test_rebalanced_write_keeps_rows(spark, scratch):
     cols = ["signal_date", "signal_ts"]
     assert out.count() == 1000
     assert out.select(cols).exceptAll(tel.select(cols)).count() == 0
+
+
+def test_mapping_frame_rejects_conflicting_duplicates(spark):
+    assert mapping_frame(spark, [("a", "x"), ("a", "x")]).count() == 1
+    with pytest.raises(ValueError):
+        mapping_frame(spark, [("a", "x"), ("a", "y")])
