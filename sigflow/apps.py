@@ -64,6 +64,7 @@ def run_subscribe(spark: SparkSession, args) -> None:
         _table(args),
         args.checkpoint,
         dedupe_within=args.dedupe_within,
+        files_per_partition=args.files_per_date,
         available_now=not args.continuous,
         processing_time=args.trigger if args.continuous else None,
     )
@@ -132,6 +133,7 @@ def parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("subscribe")
     sp.add_argument("--dedupe-within", help="drop repeated timestamps within this delay")
+    sp.add_argument("--files-per-date", type=int, help="at most this many files per date per batch (one shuffle)")
     topic_args(sp)
     table_args(sp)
     stream_args(sp)

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -71,18 +72,38 @@ def write_table(
     writer.save(cfg.path)
 
 
+def spread_by_partition(df: DataFrame, keys: Sequence[str], files_per_partition: int, salt_col: str) -> DataFrame:
+    """Shuffle so that each value of ``keys`` goes to at most
+    ``files_per_partition`` tasks: hash of the keys plus a salt taken from
+    ``salt_col``. A key holding a large share of the rows is still split
+    over that many tasks."""
+    salt = F.pmod(F.xxhash64(salt_col), F.lit(int(files_per_partition)))
+    return df.repartition(*[F.col(k) for k in keys], salt)
+
+
 def stream_to_table(
     df: DataFrame,
     cfg: TableConfig,
     checkpoint: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    files_per_partition: int | None = None,
+    salt_col: str = "signal_ts",
 ) -> StreamingQuery:
     """Append-mode streaming sink with its own checkpoint.
 
     Each micro-batch writes its files and commits them with the batch id, so
     a restart after failure neither loses nor repeats a batch in the table.
+
+    By default every input task writes one file per date it holds (no
+    shuffle). ``files_per_partition=k`` shuffles each batch so that a date
+    gets at most ``k`` files per batch (``spread_by_partition``): fewer,
+    larger files when input tasks each span many dates, at the cost of one
+    shuffle per batch. Adaptive execution does not run inside micro-batches,
+    so this is the bound to use instead of a rebalance.
     """
+    if files_per_partition and cfg.partition_by:
+        df = spread_by_partition(df, cfg.partition_by, files_per_partition, salt_col)
     writer = (
         df.writeStream.format(cfg.format)
         .outputMode("append")

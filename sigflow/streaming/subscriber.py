@@ -40,14 +40,19 @@ def ingest_topic(
     available_now: bool = True,
     processing_time: str | None = None,
     wait: bool = True,
+    files_per_partition: int | None = None,
 ) -> StreamingQuery:
     """Append the topic's messages to the telemetry table.
 
     Each record becomes one row; a malformed message becomes a row with null
     time and a map of null values (filter with ``quarantine_split``).
+    ``files_per_partition`` bounds the files each batch writes per date
+    (see ``stream_to_table``).
     """
     rows = telemetry_stream(spark, topic, fmt, dedupe_within)
-    query = stream_to_table(rows, table, checkpoint, available_now, processing_time)
+    query = stream_to_table(
+        rows, table, checkpoint, available_now, processing_time, files_per_partition=files_per_partition
+    )
     if wait and (available_now and not processing_time):
         query.awaitTermination()
     return query

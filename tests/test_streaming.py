@@ -84,3 +84,17 @@ def test_dedupe_within_watermark_option(spark, scratch):
     table = TableConfig(path=os.path.join(scratch, "table"))
     ingest_topic(spark, TopicConfig(path=topic_dir), table, os.path.join(scratch, "ck"), dedupe_within="1 hour")
     assert read_table(spark, table).count() == 2
+
+
+def test_files_per_partition_bounds_files(spark, scratch):
+    events = read_events(spark, SF001)
+    folder = os.path.join(scratch, "csv")
+    events_raw(events).repartition(4).write.option("header", True).csv(folder)
+    topic = TopicConfig(path=os.path.join(scratch, "topic"))
+    publish_csv(spark, folder, topic, os.path.join(scratch, "ck1"))
+    table = TableConfig(path=os.path.join(scratch, "table"))
+    ingest_topic(spark, topic, table, os.path.join(scratch, "ck2"), files_per_partition=1)
+    for d in os.listdir(table.path):
+        if d.startswith("signal_date="):
+            assert len([f for f in os.listdir(os.path.join(table.path, d)) if f.endswith(".parquet")]) == 1
+    assert read_table(spark, table).count() == events.count()
