@@ -92,6 +92,7 @@ def run_predict(spark: SparkSession, args) -> None:
         exclude_day=args.day if args.holdout_day else None,
         persist=args.persist,
         engine=args.engine,
+        split_hash=args.split_hash,
     )
     coefficients_frame(run.model, spark).write.mode("overwrite").parquet(f"{args.out}/model_coefficients")
     run.metrics().write.mode("overwrite").parquet(f"{args.out}/test_metrics")
@@ -151,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--split", default="hash", choices=["hash", "random"])
     sp.add_argument("--engine", default="moments", choices=["moments", "ml"],
                     help="moments: one aggregate pass; ml: pyspark.ml LinearRegression")
+    sp.add_argument("--split-hash", default="xxhash64", choices=["xxhash64", "md5"])
     sp.add_argument("--holdout-day", action="store_true", help="keep the day out of training")
     sp.add_argument("--persist", action="store_true", help="keep feature rows cached across passes")
     sp.add_argument("--show", action="store_true")

@@ -41,7 +41,9 @@ from sigflow.sources.testdata import events_raw, read_events
 from sigflow.sources.topic import TopicConfig, read_topic
 from sigflow.streaming import ingest_topic, publish_csv
 
-# Fixed query parameters.
+# Fixed query parameters. The split hashes with md5 so that the SQL oracle
+# can reproduce which rows train.
+SPLIT_HASH = "md5"
 PREDICT_DAY = "2024-01-15"
 PREVIEW_ROWS = 5
 EXACT_SCALE = 4
@@ -215,6 +217,7 @@ def _model_run(
             exclude_day=exclude_day,
             persist=False,
             engine=engine,
+            split_hash=SPLIT_HASH,
         )
     return _RUNS[key]
 
@@ -244,7 +247,7 @@ def feature_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     complete = F.lit(True)
     for c in TYPED_COLUMNS:
         complete = complete & F.col(c).isNotNull() & ~F.isnan(c)
-    train = is_train(TRAIN_FRACTION)
+    train = is_train(TRAIN_FRACTION, split_hash=SPLIT_HASH)
     return typed.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(complete).alias("n_complete"),

@@ -45,13 +45,13 @@ def test_golden_regression_on_sample(spark):
 
 def test_hash_split_disjoint_and_covering(spark):
     data = assemble(power_features(load_telemetry(spark, SF001)))
-    train, test = hash_split(data, 0.8)
+    train, test = hash_split(data, 0.8, split_hash="md5")
     n, a, b = data.count(), train.count(), test.count()
     assert a + b == n
     assert train.join(test, "signal_ts").count() == 0
     assert 0.7 < a / n < 0.9
     # layout independent: repartitioning gives the same rows
-    train2, _ = hash_split(data.repartition(5), 0.8)
+    train2, _ = hash_split(data.repartition(5), 0.8, split_hash="md5")
     assert train2.select("signal_ts").exceptAll(train.select("signal_ts")).count() == 0
 
 
@@ -121,3 +121,14 @@ def test_keep_complete_equals_dropna(spark):
     want = sorted(r.k for r in df.dropna(subset=["a", "b"]).collect())
     assert got == want == [1, 5]
     assert keep_complete(df, ["k"], ["a", "b"]).columns == ["k", "a", "b"]
+
+
+def test_xxhash_split_is_layout_independent(spark):
+    feats = power_features(load_telemetry(spark, SF001))
+    a, b = hash_split(feats, 0.8, split_hash="xxhash64")
+    a2, _ = hash_split(feats.repartition(3), 0.8, split_hash="xxhash64")
+    n = feats.count()
+    assert a.count() + b.count() == n and 0.7 < a.count() / n < 0.9
+    assert a.select("signal_ts").exceptAll(a2.select("signal_ts")).count() == 0
+    run = train_and_evaluate(load_telemetry(spark, SF001), split_hash="xxhash64")
+    assert run.metrics().first().n == b.count()
