@@ -142,7 +142,7 @@ FROM features WHERE signal_date = {_DAY}"""
 
 
 def _restart() -> str:
-    first = f"ts < TIMESTAMP '{SECOND_DELIVERY_FROM}'"
+    first = f"ts < TIMESTAMP '{SECOND_DELIVERY_FROM}' OR ts IS NULL"
     return f"""WITH c AS (
   SELECT COUNT(*) FILTER (WHERE {first}) AS n1, COUNT(*) AS n FROM events)
 SELECT 1 AS run, n1 AS rows_added, n1 AS total_rows FROM c

@@ -31,7 +31,7 @@ from sigflow.operators.model import (
     typed_signals,
 )
 from sigflow.operators.preview import preview
-from sigflow.plans.staging import load_telemetry, raw_csv_glob, second_delivery
+from sigflow.plans.staging import load_telemetry, raw_csv_folder, second_delivery
 from sigflow.schemas import FEATURE_COLUMNS, SIGNAL_KEYS, SIGNAL_MAPPING, SIGNAL_MAPPING_JSON, TYPED_COLUMNS
 from sigflow.session import new_scratch_dir
 from sigflow.sources.csv import read_raw_csv
@@ -112,18 +112,18 @@ def _checked_telemetry(telemetry: DataFrame) -> DataFrame:
 
 def raw_csv_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch CSV scan with header and fixed schema."""
-    return read_raw_csv(spark, raw_csv_glob(spark, sf_dir))
+    return read_raw_csv(spark, raw_csv_folder(spark, sf_dir))
 
 
 def raw_csv_scan_inferred_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 as the reference writes it: header and schema inference (one more
     pass over the files); the inferred schema is what S2 hands to a stream."""
-    return read_raw_csv(spark, raw_csv_glob(spark, sf_dir), infer_schema=True)
+    return read_raw_csv(spark, raw_csv_folder(spark, sf_dir), infer_schema=True)
 
 
 def csv_inferred_to_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + C1: a batch scan infers the schema, the stream reuses it."""
-    source = raw_csv_glob(spark, sf_dir)
+    source = raw_csv_folder(spark, sf_dir)
     schema = read_raw_csv(spark, source, infer_schema=True).schema
     run = new_scratch_dir(spark, "csv-inferred-to-topic")
     topic = TopicConfig(path=f"{run}/topic")
@@ -146,7 +146,7 @@ def csv_to_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the CSV folder into a new topic, read the topic back."""
     run = new_scratch_dir(spark, "csv-to-topic")
     topic = TopicConfig(path=f"{run}/topic")
-    publish_csv(spark, raw_csv_glob(spark, sf_dir), topic, f"{run}/checkpoint-producer")
+    publish_csv(spark, raw_csv_folder(spark, sf_dir), topic, f"{run}/checkpoint-producer")
     return decode_messages(read_topic(spark, topic, streaming=False))
 
 
@@ -155,7 +155,7 @@ def topic_to_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = new_scratch_dir(spark, "topic-to-table")
     topic = TopicConfig(path=f"{run}/topic")
     table = TableConfig(path=f"{run}/telemetry")
-    publish_csv(spark, raw_csv_glob(spark, sf_dir), topic, f"{run}/checkpoint-producer")
+    publish_csv(spark, raw_csv_folder(spark, sf_dir), topic, f"{run}/checkpoint-producer")
     ingest_topic(spark, topic, table, f"{run}/checkpoint-subscriber")
     return _checked_telemetry(read_table(spark, table))
 

@@ -2,8 +2,8 @@
 scale-factor folder into the shared scratch folder (``spark.checkpoint.dir``).
 
 * the telemetry table (D4), Parquet partitioned by ``signal_date``;
-* the raw CSV files (D1), in two folders split by time, so streaming tests
-  can deliver the second half later.
+* the raw CSV files (D1) with a header row, the input of the CSV scans and
+  of the producer stream.
 
 A folder is reused only when Spark's ``_SUCCESS`` marker is there; a
 half-written one is overwritten by the next writer.
@@ -56,21 +56,14 @@ def load_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def second_delivery() -> F.Column:
-    return F.col("ts") >= F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz")
+    """Rows of the later delivery in the restart test; rows without a time
+    belong to the first one."""
+    return F.coalesce(F.col("ts") >= F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz"), F.lit(False))
 
 
-def raw_csv_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """(first, second): raw CSV files with a header row, split by time."""
-    root = f"{stage_root(spark, sf_dir)}/raw_csv"
-    first, second = f"{root}/first", f"{root}/second"
-    events = read_events(spark, sf_dir)
-    for path, cond in ((first, ~second_delivery()), (second, second_delivery())):
-        if not _done(spark, path):
-            events_raw(events.filter(cond)).write.mode("overwrite").option("header", True).csv(path)
-    return first, second
-
-
-def raw_csv_glob(spark: SparkSession, sf_dir: str) -> str:
-    """One path (a glob) that covers both CSV folders."""
-    raw_csv_folders(spark, sf_dir)
-    return f"{stage_root(spark, sf_dir)}/raw_csv/*"
+def raw_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of raw CSV files (header row, raw column names) for ``sf_dir``."""
+    path = f"{stage_root(spark, sf_dir)}/raw_csv"
+    if not _done(spark, path):
+        events_raw(read_events(spark, sf_dir)).write.mode("overwrite").option("header", True).csv(path)
+    return path
