@@ -19,33 +19,8 @@ from sigflow.session import build_session, new_scratch_dir  # noqa: E402
 from sigflow.sources.table import TableConfig, write_table  # noqa: E402
 from sigflow.sources.testdata import events_telemetry, read_events  # noqa: E402
 
-HEADLINE = [
-    "hourly_generation",
-    "daily_datapoints",
-    "hourly_long_unpivot",
-    "hourly_long_renamed",
-    "hourly_long_renamed_json",
-    "hourly_preview",
-    "raw_csv_scan",
-    "raw_csv_scan_inferred",
-    "csv_inferred_to_topic",
-    "message_roundtrip",
-    "ingest_batch",
-    "csv_to_topic",
-    "topic_to_table",
-    "stream_restart",
-    "telemetry_day",
-    "power_features",
-    "feature_counts",
-    "power_model",
-    "power_model_moments",
-    "model_metrics",
-    "model_metrics_moments",
-    "test_predictions",
-    "prediction_bounds",
-    "predict_day",
-    "predict_day_holdout",
-]
+# Every registered query, in registry order.
+HEADLINE = list(QUERIES)
 
 
 def run_once(spark, fn, sf_dir) -> float:
