@@ -130,7 +130,7 @@ GOLDEN = {
 }
 
 
-@pytest.mark.skipif(not os.path.exists(SAMPLE_CSV), reason="sample CSV not present")
+@pytest.mark.skipif(not SAMPLE_CSV or not os.path.exists(SAMPLE_CSV), reason="set SIGFLOW_SAMPLE_CSV")
 def test_golden_sample(spark):
     raw = read_raw_csv(spark, SAMPLE_CSV, glob=None)
     assert raw.count() == 99

@@ -24,7 +24,7 @@ from sigflow.schemas import PREDICTION_SCHEMA
 from sigflow.sources.csv import read_raw_csv
 
 
-@pytest.mark.skipif(not os.path.exists(SAMPLE_CSV), reason="sample CSV not present")
+@pytest.mark.skipif(not SAMPLE_CSV or not os.path.exists(SAMPLE_CSV), reason="set SIGFLOW_SAMPLE_CSV")
 def test_golden_regression_on_sample(spark):
     tel = shape_telemetry(decode_messages(encode_messages(read_raw_csv(spark, SAMPLE_CSV, glob=None))))
     data = assemble(power_features(tel))
