@@ -98,3 +98,33 @@ def test_files_per_partition_bounds_files(spark, scratch):
         if d.startswith("signal_date="):
             assert len([f for f in os.listdir(os.path.join(table.path, d)) if f.endswith(".parquet")]) == 1
     assert read_table(spark, table).count() == events.count()
+
+
+def test_stream_skips_stray_file_and_reads_bom_crlf(spark, scratch):
+    header = "Date/Time,LV ActivePower (kW),Wind Speed (m/s),Theoretical_Power_Curve (KWh),Wind Direction (°)"
+    folder = os.path.join(scratch, "data")
+    os.makedirs(os.path.join(folder, "nested"))
+    with open(os.path.join(folder, "x.csv"), "w", encoding="utf-8-sig", newline="") as fh:
+        fh.write(f"{header}\r\n01 01 2018 00:00,1.5,2,3,4\r\n01 01 2018 00:10,2.5,2,3,4\r\n")
+    with open(os.path.join(folder, "x.csv.old"), "w", encoding="utf-8") as fh:
+        fh.write(f"{header}\n01 01 2018 00:20,9,9,9,9\n")
+    with open(os.path.join(folder, "nested", "y.csv"), "w", encoding="utf-8") as fh:
+        fh.write(f"{header}\n01 01 2018 00:30,9,9,9,9\n")
+    topic = TopicConfig(path=os.path.join(scratch, "topic"))
+    publish_csv(spark, folder, topic, os.path.join(scratch, "ck"))
+    rows = decode_messages(read_topic(spark, topic, streaming=False)).orderBy("Date/Time").collect()
+    assert [r["Date/Time"] for r in rows] == ["01 01 2018 00:00", "01 01 2018 00:10"]
+    assert rows[0]["LV ActivePower (kW)"] == 1.5
+
+
+def test_stream_fails_on_swapped_header(spark, scratch):
+    import pytest
+
+    folder = os.path.join(scratch, "data")
+    os.makedirs(folder)
+    swapped = "Date/Time,Wind Speed (m/s),LV ActivePower (kW),Theoretical_Power_Curve (KWh),Wind Direction (°)"
+    with open(os.path.join(folder, "x.csv"), "w", encoding="utf-8") as fh:
+        fh.write(f"{swapped}\n01 01 2018 00:00,1,2,3,4\n")
+    topic = TopicConfig(path=os.path.join(scratch, "topic"))
+    with pytest.raises(Exception):
+        publish_csv(spark, folder, topic, os.path.join(scratch, "ck"))
