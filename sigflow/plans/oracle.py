@@ -32,6 +32,14 @@ TELEMETRY = f"""telemetry AS (
   FROM events)"""
 
 
+# The same rows after the ingest stage: time parsed from minute-resolution text.
+INGESTED_TELEMETRY = f"""telemetry AS (
+  SELECT CAST(date_trunc('minute', ts) AS DATE) AS signal_date, date_trunc('minute', ts) AS signal_ts,
+         {_ACTIVE} AS active_power, {_SPEED} AS wind_speed,
+         {_THEO} AS theoretical_curve, {_DIR} AS wind_direction
+  FROM events)"""
+
+
 def _exact_avg(col: str) -> str:
     return f"CAST(SUM(CAST({col} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({col})"
 
@@ -175,6 +183,7 @@ SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "csv_to_topic": RAW_SELECT,
     "ingest_batch": INGESTED_SELECT,
     "topic_to_table": INGESTED_SELECT,
+    "ingested_hourly_generation": f"WITH {INGESTED_TELEMETRY},\n{HOURLY}\nSELECT * FROM gen",
     "stream_restart": _restart(),
     "telemetry_day": f"""WITH {TELEMETRY}
 SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction

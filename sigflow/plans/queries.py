@@ -150,14 +150,26 @@ def csv_to_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(read_topic(spark, topic, streaming=False))
 
 
-def topic_to_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 + C2 / T2, T4, T5: CSV -> topic -> telemetry table, read back."""
-    run = new_scratch_dir(spark, "topic-to-table")
+def _ingested_table(spark: SparkSession, sf_dir: str, name: str) -> TableConfig:
+    """Run the producer and subscriber streams into a new table."""
+    run = new_scratch_dir(spark, name)
     topic = TopicConfig(path=f"{run}/topic")
     table = TableConfig(path=f"{run}/telemetry")
     publish_csv(spark, raw_csv_folder(spark, sf_dir), topic, f"{run}/checkpoint-producer")
     ingest_topic(spark, topic, table, f"{run}/checkpoint-subscriber")
-    return _checked_telemetry(read_table(spark, table))
+    return table
+
+
+def topic_to_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 / T2, T4, T5: CSV -> topic -> telemetry table, read back."""
+    return _checked_telemetry(read_table(spark, _ingested_table(spark, sf_dir, "topic-to-table")))
+
+
+def ingested_hourly_generation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages before the model: CSV -> topic -> table -> hourly averages
+    with band, over the time the ingest parsed (minute resolution)."""
+    telemetry = read_table(spark, _ingested_table(spark, sf_dir, "ingested-hourly"))
+    return hourly_generation(telemetry, exact_scale=EXACT_SCALE)
 
 
 def stream_restart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "ingest_batch": ingest_batch_q,
     "csv_to_topic": csv_to_topic_q,
     "topic_to_table": topic_to_table_q,
+    "ingested_hourly_generation": ingested_hourly_generation_q,
     "stream_restart": stream_restart_q,
     "telemetry_day": telemetry_day_q,
     "power_features": power_features_q,
