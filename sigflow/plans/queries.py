@@ -89,6 +89,7 @@ def hourly_long_renamed_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         hourly_long_q(spark, sf_dir),
         mapping_from_json(spark),
         mapping_rows=len(json.loads(SIGNAL_MAPPING_JSON)),
+        assume_unique=True,
     )
 
 

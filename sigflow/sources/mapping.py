@@ -27,12 +27,17 @@ def mapping_frame(spark: SparkSession, pairs: Iterable[tuple[str, str]] = SIGNAL
 def mapping_from_json(spark: SparkSession, text: str = SIGNAL_MAPPING_JSON) -> DataFrame:
     """Dimension from a JSON array of {sig_name, sig_mapping_name}.
 
-    Parsed by ``from_json`` + ``inline``; repeated names are collapsed to one
-    row (the smallest mapped name wins if two differ), so the join that uses
-    it cannot multiply rows.
+    Parsed by ``from_json`` and expanded by ``inline``. Repeated identical
+    entries (the task's JSON lists one twice) are removed inside the array
+    with ``array_distinct``, so the result has one row per name without a
+    shuffle; a name mapped two different ways fails the query.
     """
-    rows = spark.range(1).select(F.inline(F.from_json(F.lit(text), MAPPING_ARRAY_TYPE)))
-    return unique_mapping(rows)
+    entries = F.array_distinct(F.from_json(F.lit(text), MAPPING_ARRAY_TYPE))
+    names = F.transform(entries, lambda e: e["sig_name"])
+    checked = F.when(F.size(F.array_distinct(names)) == F.size(entries), entries).otherwise(
+        F.raise_error(F.lit("mapping JSON maps a sig_name two ways")).cast(MAPPING_ARRAY_TYPE)
+    )
+    return spark.range(1).select(F.inline(checked))
 
 
 def unique_mapping(mapping: DataFrame) -> DataFrame:

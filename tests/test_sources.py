@@ -92,3 +92,11 @@ def test_mapping_frame_rejects_conflicting_duplicates(spark):
     assert mapping_frame(spark, [("a", "x"), ("a", "x")]).count() == 1
     with pytest.raises(ValueError):
         mapping_frame(spark, [("a", "x"), ("a", "y")])
+
+
+def test_mapping_json_conflict_fails(spark):
+    text = '[{"sig_name": "a", "sig_mapping_name": "x"}, {"sig_name": "a", "sig_mapping_name": "y"}]'
+    with pytest.raises(Exception):
+        mapping_from_json(spark, text).collect()
+    ok = '[{"sig_name": "a", "sig_mapping_name": "x"}, {"sig_name": "a", "sig_mapping_name": "x"}]'
+    assert mapping_from_json(spark, ok).count() == 1
