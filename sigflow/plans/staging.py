@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ from sigflow.sources.testdata import events_raw, events_telemetry, read_events
 # Fixed value: where the raw CSV is cut into a first and a second delivery.
 SECOND_DELIVERY_FROM = "2024-01-16 00:00:00"
 
+# Queries built from several threads of one session stage each folder once.
+_STAGE_LOCK = threading.Lock()
+
 
 def _fingerprint(sf_dir: str) -> str:
     path = os.path.abspath(sf_dir.rstrip("/"))
@@ -47,7 +51,9 @@ def telemetry_table(spark: SparkSession, sf_dir: str) -> TableConfig:
     """The telemetry table for ``sf_dir``, written on first use."""
     cfg = TableConfig(path=f"{stage_root(spark, sf_dir)}/telemetry")
     if not _done(spark, cfg.path):
-        write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite")
+        with _STAGE_LOCK:
+            if not _done(spark, cfg.path):
+                write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite")
     return cfg
 
 
@@ -65,5 +71,7 @@ def raw_csv_folder(spark: SparkSession, sf_dir: str) -> str:
     """Folder of raw CSV files (header row, raw column names) for ``sf_dir``."""
     path = f"{stage_root(spark, sf_dir)}/raw_csv"
     if not _done(spark, path):
-        events_raw(read_events(spark, sf_dir)).write.mode("overwrite").option("header", True).csv(path)
+        with _STAGE_LOCK:
+            if not _done(spark, path):
+                events_raw(read_events(spark, sf_dir)).write.mode("overwrite").option("header", True).csv(path)
     return path
