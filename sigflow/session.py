@@ -40,20 +40,19 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch folder: ``spark.checkpoint.dir``, set here only if
-    unset and the session is local (tests); a cluster session without it is
-    an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """Shared scratch folder: ``spark.checkpoint.dir`` (or the checkpoint
+    folder already set on the context). Only a local session without one
+    (tests) gets a new folder here; a cluster session without it is an
+    error."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             # A machine-local folder is not shared by the executors.
             raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        # spark.checkpoint.dir cannot change at run time; the context's
+        # checkpoint folder can, and later calls find it there.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
