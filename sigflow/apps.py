@@ -19,7 +19,14 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from sigflow.operators.analysis import daily_datapoints, hourly_generation, rename_signals, to_long
-from sigflow.operators.model import actual_vs_predicted, chart_bounds, coefficients_frame, predict_day, power_features, train_and_evaluate
+from sigflow.operators.model import (
+    actual_vs_predicted,
+    coefficients_frame,
+    evaluation_summary,
+    power_features,
+    predict_day,
+    train_and_evaluate,
+)
 from sigflow.operators.preview import preview
 from sigflow.sources.mapping import mapping_frame, mapping_from_json
 from sigflow.sources.table import TableConfig, read_table
@@ -95,9 +102,9 @@ def run_predict(spark: SparkSession, args) -> None:
         split_hash=args.split_hash,
     )
     coefficients_frame(run.model, spark).write.mode("overwrite").parquet(f"{args.out}/model_coefficients")
-    run.metrics().write.mode("overwrite").parquet(f"{args.out}/test_metrics")
+    # Metrics and chart bounds in one pass over the held-out rows.
+    evaluation_summary(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_metrics")
     actual_vs_predicted(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_series")
-    chart_bounds(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_bounds")
     if args.engine == "ml":
         run.model.write().overwrite().save(f"{args.out}/model")
     else:
@@ -105,7 +112,7 @@ def run_predict(spark: SparkSession, args) -> None:
     day = predict_day(run.model, power_features(telemetry), args.day)
     _save(day, f"{args.out}/day={args.day}", args.show, ["signal_ts"])
     if args.show:
-        print(json.dumps(run.metrics().first().asDict()))
+        print(json.dumps(spark.read.parquet(f"{args.out}/test_metrics").first().asDict()))
 
 
 def parser() -> argparse.ArgumentParser:

@@ -248,6 +248,28 @@ def regression_metrics(
     )
 
 
+def evaluation_summary(
+    predictions: DataFrame, label: str = LABEL_COLUMN, prediction: str = "prediction"
+) -> DataFrame:
+    """``regression_metrics`` and ``chart_bounds`` from one aggregate pass:
+    n, rmse, r2, min_val, max_val."""
+    err = F.col(prediction) - F.col(label)
+    agg = predictions.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(err * err).alias("sse"),
+        F.var_pop(label).alias("var_y"),
+        F.min(F.least(label, prediction)).alias("min_val"),
+        F.max(F.greatest(label, prediction)).alias("max_val"),
+    )
+    return agg.select(
+        "n",
+        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
+        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"),
+        "min_val",
+        "max_val",
+    )
+
+
 def evaluate_with_evaluator(predictions: DataFrame) -> tuple[float, float]:
     """RMSE and R^2 through ``RegressionEvaluator`` (two passes)."""
     from pyspark.ml.evaluation import RegressionEvaluator

@@ -132,3 +132,12 @@ def test_xxhash_split_is_layout_independent(spark):
     assert a.select("signal_ts").exceptAll(a2.select("signal_ts")).count() == 0
     run = train_and_evaluate(load_telemetry(spark, SF001), split_hash="xxhash64")
     assert run.metrics().first().n == b.count()
+
+
+def test_evaluation_summary_matches_parts(spark):
+    from sigflow.operators.model import chart_bounds, evaluation_summary
+
+    run = train_and_evaluate(load_telemetry(spark, SF001))
+    a = evaluation_summary(run.predictions).first()
+    m, b = run.metrics().first(), chart_bounds(run.predictions).first()
+    assert (a.n, a.rmse, a.r2, a.min_val, a.max_val) == (m.n, m.rmse, m.r2, b.min_val, b.max_val)
