@@ -3,6 +3,7 @@
 from sigflow.operators.analysis import (
     daily_datapoints,
     hourly_averages,
+    hourly_datapoints,
     hourly_generation,
     rename_signals,
     to_long,
@@ -34,6 +35,7 @@ __all__ = [
     "encode_messages",
     "hash_split",
     "hourly_averages",
+    "hourly_datapoints",
     "hourly_generation",
     "join_dimension",
     "power_features",

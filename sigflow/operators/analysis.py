@@ -13,7 +13,7 @@ from sigflow.functions.bands import generation_indicator
 from sigflow.functions.signals import signal_value
 from sigflow.functions.stats import average
 from sigflow.operators.joins import join_dimension
-from sigflow.schemas import AVG_COLUMNS, EXPECTED_PER_DAY, SIGNAL_KEYS
+from sigflow.schemas import AVG_COLUMNS, EXPECTED_PER_DAY, EXPECTED_PER_HOUR, SIGNAL_KEYS
 from sigflow.sources.mapping import unique_mapping
 
 LONG_COLUMNS = (
@@ -26,6 +26,19 @@ LONG_COLUMNS = (
 )
 
 
+def _completeness(counts: DataFrame, expected: int | None) -> DataFrame:
+    if expected is None:
+        return counts
+    exp = F.lit(int(expected))
+    return counts.withColumns(
+        {
+            "expected_count": exp,
+            "missing_count": exp - F.col("distinct_ts_count"),
+            "is_complete": F.col("distinct_ts_count") == exp,
+        }
+    )
+
+
 def daily_datapoints(
     telemetry: DataFrame, expected_per_day: int | None = EXPECTED_PER_DAY
 ) -> DataFrame:
@@ -41,16 +54,19 @@ def daily_datapoints(
     out = telemetry.groupBy("signal_date").agg(
         F.count_distinct("signal_ts").alias("distinct_ts_count")
     )
-    if expected_per_day is None:
-        return out
-    expected = F.lit(int(expected_per_day))
-    return out.withColumns(
-        {
-            "expected_count": expected,
-            "missing_count": expected - F.col("distinct_ts_count"),
-            "is_complete": F.col("distinct_ts_count") == expected,
-        }
+    return _completeness(out, expected_per_day)
+
+
+def hourly_datapoints(
+    telemetry: DataFrame, expected_per_hour: int | None = EXPECTED_PER_HOUR
+) -> DataFrame:
+    """Distinct ``signal_ts`` per (date, hour) and completeness against the
+    expected cadence (6 per hour at 10 minutes). Same plan shape as
+    ``daily_datapoints``, one group level finer."""
+    counts = telemetry.groupBy("signal_date", F.hour("signal_ts").alias("hour_of_day")).agg(
+        F.count_distinct("signal_ts").alias("distinct_ts_count")
     )
+    return _completeness(counts, expected_per_hour)
 
 
 def hourly_averages(telemetry: DataFrame, exact_scale: int | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from sigflow.schemas import (
     ACTIVE_POWER,
     DATE_TIME,
     EXPECTED_PER_DAY,
+    EXPECTED_PER_HOUR,
     SIGNAL_MAPPING,
     THEORETICAL_POWER,
     WIND_DIRECTION,
@@ -166,6 +167,13 @@ SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
        {EXPECTED_PER_DAY} - COUNT(DISTINCT signal_ts) AS missing_count,
        COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
 FROM telemetry GROUP BY signal_date""",
+    "hourly_datapoints": f"""WITH {TELEMETRY}
+SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,
+       COUNT(DISTINCT signal_ts) AS distinct_ts_count,
+       {EXPECTED_PER_HOUR} AS expected_count,
+       {EXPECTED_PER_HOUR} - COUNT(DISTINCT signal_ts) AS missing_count,
+       COUNT(DISTINCT signal_ts) = {EXPECTED_PER_HOUR} AS is_complete
+FROM telemetry GROUP BY 1, 2""",
     "hourly_long": f"WITH {TELEMETRY},\n{HOURLY},\n{LONG}\nSELECT * FROM long",
     "hourly_long_unpivot": f"WITH {TELEMETRY},\n{HOURLY},\n{LONG}\nSELECT * FROM long",
     "hourly_long_renamed": f"""WITH {TELEMETRY},\n{HOURLY},\n{LONG},\n{MAPPING}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE_CSV
 from sigflow.operators.analysis import (
     daily_datapoints,
+    hourly_datapoints,
     hourly_averages,
     hourly_generation,
     rename_signals,
@@ -44,6 +45,14 @@ def test_daily_datapoints_distinct_and_completeness(spark):
     assert out[None].distinct_ts_count == 0
 
 
+def test_hourly_datapoints(spark):
+    rows = [("2024-01-01 00:00:00", full(1)), ("2024-01-01 00:00:00", full(1)), ("2024-01-01 00:10:00", full(1))]
+    rows += [(f"2024-01-01 01:{m:02d}:00", full(1)) for m in range(0, 60, 10)]
+    out = {r.hour_of_day: r for r in hourly_datapoints(telemetry(spark, rows)).collect()}
+    assert out[0].distinct_ts_count == 2 and out[0].missing_count == 4 and not out[0].is_complete
+    assert out[1].distinct_ts_count == 6 and out[1].is_complete
+
+
 def test_hourly_average_skips_missing_and_weights_duplicates(spark):
     rows = [
         ("2024-01-01 00:00:00", full(100)),
@@ -147,3 +156,5 @@ def test_golden_sample(spark):
         assert round(r.avg_wind_direction, 4) == pytest.approx(wd, abs=1e-9)
         assert r.generation_indicator == label
     assert to_long(hourly_generation(tel)).count() == 68
+    per_hour = {r.hour_of_day: r.distinct_ts_count for r in hourly_datapoints(tel).collect()}
+    assert all(per_hour[h] == 6 for h in range(16)) and per_hour[16] == 3
