@@ -193,6 +193,9 @@ SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "topic_to_table": INGESTED_SELECT,
     "ingested_hourly_generation": f"WITH {INGESTED_TELEMETRY},\n{HOURLY}\nSELECT * FROM gen",
     "stream_restart": _restart(),
+    "telemetry_preview": f"""WITH {TELEMETRY}
+SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction
+FROM telemetry ORDER BY signal_ts LIMIT {PREVIEW_ROWS}""",
     "telemetry_day": f"""WITH {TELEMETRY}
 SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction
 FROM telemetry WHERE signal_date = {_DAY}""",

@@ -209,6 +209,12 @@ def stream_restart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "run int, rows_added bigint, total_rows bigint")
 
 
+def telemetry_preview_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 on the table: its first rows in time order, signals looked up."""
+    typed = typed_signals(load_telemetry(spark, sf_dir)).select("signal_date", "signal_ts", *TYPED_COLUMNS)
+    return preview(typed, ["signal_ts"], PREVIEW_ROWS)
+
+
 def telemetry_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + P8: one day of the table (a partition-pruned scan)."""
     day = load_telemetry(spark, sf_dir).filter(F.col("signal_date") == F.lit(PREDICT_DAY).cast("date"))
@@ -345,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "topic_to_table": topic_to_table_q,
     "ingested_hourly_generation": ingested_hourly_generation_q,
     "stream_restart": stream_restart_q,
+    "telemetry_preview": telemetry_preview_q,
     "telemetry_day": telemetry_day_q,
     "power_features": power_features_q,
     "feature_counts": feature_counts_q,
