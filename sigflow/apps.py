@@ -2,7 +2,7 @@
 
     produce    CSV folder -> topic              (streaming)
     subscribe  topic -> telemetry table         (streaming)
-    analyze    table -> daily counts, hourly averages with band, long table
+    analyze    table -> daily and hourly counts, hourly averages with band, long table
     predict    table -> model, metrics, held-out series, one day's predictions
 
 Results are written as tables under ``--out`` instead of printed; a preview
@@ -18,7 +18,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigflow.operators.analysis import daily_datapoints, hourly_generation, rename_signals, to_long
+from sigflow.operators.analysis import daily_datapoints, hourly_datapoints, hourly_generation, rename_signals, to_long
 from sigflow.operators.model import (
     actual_vs_predicted,
     coefficients_frame,
@@ -82,6 +82,7 @@ def run_subscribe(spark: SparkSession, args) -> None:
 def run_analyze(spark: SparkSession, args) -> None:
     telemetry = read_table(spark, _table(args))
     _save(daily_datapoints(telemetry), f"{args.out}/daily_datapoints", args.show)
+    _save(hourly_datapoints(telemetry), f"{args.out}/hourly_datapoints", args.show)
     hourly = hourly_generation(telemetry)
     _save(hourly, f"{args.out}/hourly", args.show)
     # Read the hourly table back: the long form reuses it instead of
