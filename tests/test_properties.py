@@ -44,3 +44,62 @@ def test_long_is_four_times_wide(spark, rows):
         F.to_date(F.to_timestamp("t")).alias("signal_date"), F.to_timestamp("t").alias("signal_ts"), "signals")
     hourly = hourly_generation(df)
     assert to_long(hourly).count() == 4 * hourly.count()
+
+
+def _band_rule(v):
+    """The task's rule in plain Python (NaN and null fall through)."""
+    if v is None or math.isnan(v):
+        return "Exceptional"
+    if v < 200:
+        return "Low"
+    if v < 600:
+        return "Medium"
+    if v < 1000:
+        return "High"
+    return "Exceptional"
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(width=64), st.sampled_from([199.999, 200.0, 600.0, 1000.0])),
+                min_size=1, max_size=25))
+def test_band_matches_rule(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.b for r in df.select("i", band(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert got == [_band_rule(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=40), st.integers(1, 6))
+def test_exact_avg_is_decimal_exact(spark, units, parts):
+    from decimal import Decimal
+
+    from sigflow.functions import exact_avg
+
+    values = [u / 10_000 for u in units]  # at most 4 decimals
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+    got = df.agg(exact_avg(F.col("v")).alias("a")).first().a
+    want = float(sum(Decimal(u) for u in units) / Decimal(10_000)) / len(units)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.floats(width=64)), st.one_of(st.none(), st.floats(width=64))),
+                min_size=1, max_size=25))
+def test_keep_complete_equals_dropna(spark, rows):
+    from sigflow.operators.model import keep_complete
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "k int, a double, b double")
+    got = sorted(r.k for r in keep_complete(df, ["k"], ["a", "b"]).collect())
+    want = sorted(r.k for r in df.dropna(subset=["a", "b"]).collect())
+    assert got == want
+
+
+@SETTINGS
+@given(st.floats(0.05, 0.95), st.sampled_from(["md5", "xxhash64"]))
+def test_hash_split_partitions_rows(spark, fraction, split_hash):
+    from sigflow.operators.model import hash_split
+
+    df = spark.range(300).select(F.timestamp_seconds(F.col("id") * 7919).alias("signal_ts"))
+    a, b = hash_split(df, fraction, split_hash=split_hash)
+    assert a.count() + b.count() == 300
+    assert a.join(b, "signal_ts").count() == 0
