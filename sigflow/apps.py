@@ -111,7 +111,7 @@ def run_predict(spark: SparkSession, args) -> None:
     else:
         run.model.save(spark, f"{args.out}/model")
     day = predict_day(run.model, power_features(telemetry), args.day)
-    _save(day, f"{args.out}/day={args.day}", args.show, ["signal_ts"])
+    _save(day, f"{args.out}/predictions_{args.day}", args.show, ["signal_ts"])
     if args.show:
         print(json.dumps(spark.read.parquet(f"{args.out}/test_metrics").first().asDict()))
 

@@ -24,7 +24,7 @@ def test_four_stages(spark, scratch):
     assert spark.read.parquet(f"{out}/hourly_long").count() == 4 * hourly.count()
     assert spark.read.parquet(f"{out}/daily_datapoints").count() == 30
     assert spark.read.parquet(f"{out}/hourly_datapoints").count() == hourly.count()
-    assert spark.read.parquet(f"{out}/day=2024-01-15").count() > 0
+    assert spark.read.parquet(f"{out}/predictions_2024-01-15").count() > 0
     assert spark.read.parquet(f"{out}/test_metrics").first().n > 0
     from sigflow.operators.model import LeastSquaresModel
 
