@@ -44,7 +44,7 @@ def main() -> None:
     # new folder each time so the write is measured, not skipped.
     t = time.perf_counter()
     cfg = TableConfig(path=new_scratch_dir(spark, "bench-stage"))
-    write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite")
+    write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite", rebalance=True)
     stage = time.perf_counter() - t
 
     from sigflow.plans import queries as q

@@ -53,7 +53,9 @@ def telemetry_table(spark: SparkSession, sf_dir: str) -> TableConfig:
     if not _done(spark, cfg.path):
         with _STAGE_LOCK:
             if not _done(spark, cfg.path):
-                write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite")
+                # Scanned in full by most queries: rebalanced into well-sized
+                # files per date, a hot date split over several files.
+                write_table(events_telemetry(read_events(spark, sf_dir)), cfg, mode="overwrite", rebalance=True)
     return cfg
 
 
