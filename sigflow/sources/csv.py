@@ -22,16 +22,22 @@ def read_raw_csv(
     schema: StructType | None = RAW_SCHEMA,
     infer_schema: bool = False,
     glob: str | None = "*.csv",
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Batch CSV scan with a header row.
 
     A fixed schema is the default: inference costs an extra pass over the
-    data. ``enforceSchema=false`` checks the header against the schema, so a
-    file whose columns are in another order fails instead of being misread.
+    data. With ``infer_schema``, ``sampling_ratio`` limits that pass to a
+    fraction of the rows (all rows are still read by the query itself; a
+    rare value outside the sample can make the inferred type too narrow).
+    ``enforceSchema=false`` checks the header against the schema, so a file
+    whose columns are in another order fails instead of being misread.
     """
     reader = _csv_options(spark.read, glob)
     if infer_schema:
         reader = reader.option("inferSchema", True)
+        if sampling_ratio:
+            reader = reader.option("samplingRatio", float(sampling_ratio))
     elif schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
