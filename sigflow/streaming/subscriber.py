@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigflow.operators.ingest import decode_messages, shape_telemetry
@@ -22,11 +23,15 @@ def telemetry_stream(
     Delivery into the topic is at least once, and the reference keeps
     replayed duplicates. ``dedupe_within`` (e.g. ``"1 hour"``) opts into
     dropping repeated ``signal_ts`` values that arrive within that delay of
-    each other, with state bounded by the watermark.
+    each other, with state bounded by the watermark. Rows whose time did not
+    parse are not de-duplicated (they share no reading time) and pass
+    through unchanged.
     """
     rows = shape_telemetry(decode_messages(read_topic(spark, topic, streaming=True)), fmt)
     if dedupe_within:
-        rows = rows.withWatermark("signal_ts", dedupe_within).dropDuplicatesWithinWatermark(["signal_ts"])
+        timed = rows.filter(F.col("signal_ts").isNotNull())
+        timed = timed.withWatermark("signal_ts", dedupe_within).dropDuplicatesWithinWatermark(["signal_ts"])
+        rows = timed.unionByName(rows.filter(F.col("signal_ts").isNull()))
     return rows
 
 

@@ -76,6 +76,8 @@ def test_dedupe_within_watermark_option(spark, scratch):
         '{"Date/Time":"01 01 2018 00:00","LV ActivePower (kW)":1.0}',
         '{"Date/Time":"01 01 2018 00:00","LV ActivePower (kW)":1.0}',
         '{"Date/Time":"01 01 2018 00:10","LV ActivePower (kW)":2.0}',
+        "{bad",
+        '{"Date/Time":"xx","LV ActivePower (kW)":3.0}',
     ]
     topic_dir = os.path.join(scratch, "topic")
     os.makedirs(topic_dir)
@@ -83,7 +85,9 @@ def test_dedupe_within_watermark_option(spark, scratch):
         fh.write("\n".join(msgs) + "\n")
     table = TableConfig(path=os.path.join(scratch, "table"))
     ingest_topic(spark, TopicConfig(path=topic_dir), table, os.path.join(scratch, "ck"), dedupe_within="1 hour")
-    assert read_table(spark, table).count() == 2
+    out = read_table(spark, table)
+    assert out.filter("signal_ts is not null").count() == 2  # the repeated reading is dropped
+    assert out.filter("signal_ts is null").count() == 2  # malformed rows are all kept
 
 
 def test_files_per_partition_bounds_files(spark, scratch):
