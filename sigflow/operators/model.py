@@ -95,18 +95,23 @@ def is_train(fraction: float = 0.8, key: str = "signal_ts", split_hash: str = "x
     held-out metrics 2.9 s vs 10.0 s.
     """
     if split_hash == "md5":
-        return split_bucket(key) < F.lit(split_threshold(fraction))
-    if split_hash == "xxhash64":
+        flag = split_bucket(key) < F.lit(split_threshold(fraction))
+    elif split_hash == "xxhash64":
         bound = min(65536, max(0, round(fraction * 65536)))
-        return F.pmod(F.xxhash64(key), F.lit(65536)) < F.lit(bound)
-    raise ValueError(f"unknown split hash {split_hash!r}")
+        flag = F.pmod(F.xxhash64(key), F.lit(65536)) < F.lit(bound)
+    else:
+        raise ValueError(f"unknown split hash {split_hash!r}")
+    # A row without a key (time text that did not parse) trains, so that no
+    # row falls out of both sides.
+    return F.coalesce(flag, F.col(key).isNull())
 
 
 def hash_split(
     df: DataFrame, fraction: float = 0.8, key: str = "signal_ts", split_hash: str = "xxhash64"
 ) -> tuple[DataFrame, DataFrame]:
     """Deterministic train/test split: the same rows at any partitioning.
-    Equal keys land on the same side. A null key goes to neither side."""
+    Equal keys land on the same side; rows without a key train. The two
+    sides together hold every row."""
     flag = is_train(fraction, key, split_hash)
     return df.filter(flag), df.filter(~flag)
 

@@ -97,7 +97,10 @@ _COMPLETE = " AND ".join(
     f"{c} IS NOT NULL AND NOT isnan({c})"
     for c in ("active_power", "wind_speed", "theoretical_curve", "wind_direction")
 )
-_TRAIN = f"substr(md5(CAST(signal_ts AS VARCHAR)), 1, 4) < '{split_threshold(TRAIN_FRACTION)}'"
+_TRAIN = (
+    f"coalesce(substr(md5(CAST(signal_ts AS VARCHAR)), 1, 4) < '{split_threshold(TRAIN_FRACTION)}', "
+    "signal_ts IS NULL)"
+)
 
 FEATURES = f"""features AS (
   SELECT signal_date, signal_ts, wind_speed, theoretical_curve, wind_direction, active_power,

@@ -141,3 +141,13 @@ def test_evaluation_summary_matches_parts(spark):
     a = evaluation_summary(run.predictions).first()
     m, b = run.metrics().first(), chart_bounds(run.predictions).first()
     assert (a.n, a.rmse, a.r2, a.min_val, a.max_val) == (m.n, m.rmse, m.r2, b.min_val, b.max_val)
+
+
+def test_rows_without_time_are_not_lost_by_the_split(spark):
+    df = spark.createDataFrame(
+        [(None, 1.0), ("2024-01-01 00:00:00", 2.0), ("2024-01-01 00:10:00", 3.0)], "t string, v double"
+    ).select(F.to_timestamp("t").alias("signal_ts"), "v")
+    for h in ("md5", "xxhash64"):
+        a, b = hash_split(df, 0.5, split_hash=h)
+        assert a.count() + b.count() == 3
+        assert a.filter("signal_ts is null").count() == 1
