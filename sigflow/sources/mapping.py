@@ -34,8 +34,15 @@ def mapping_from_json(spark: SparkSession, text: str = SIGNAL_MAPPING_JSON) -> D
     """
     entries = F.array_distinct(F.from_json(F.lit(text), MAPPING_ARRAY_TYPE))
     names = F.transform(entries, lambda e: e["sig_name"])
-    checked = F.when(F.size(F.array_distinct(names)) == F.size(entries), entries).otherwise(
-        F.raise_error(F.lit("mapping JSON maps a sig_name two ways")).cast(MAPPING_ARRAY_TYPE)
+    checked = (
+        F.when(
+            entries.isNull(),
+            F.raise_error(F.lit("mapping JSON is not an array of {sig_name, sig_mapping_name}")).cast(
+                MAPPING_ARRAY_TYPE
+            ),
+        )
+        .when(F.size(F.array_distinct(names)) == F.size(entries), entries)
+        .otherwise(F.raise_error(F.lit("mapping JSON maps a sig_name two ways")).cast(MAPPING_ARRAY_TYPE))
     )
     return spark.range(1).select(F.inline(checked))
 
