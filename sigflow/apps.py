@@ -88,7 +88,12 @@ def run_analyze(spark: SparkSession, args) -> None:
     # Read the hourly table back: the long form reuses it instead of
     # re-aggregating the whole telemetry table.
     hourly = spark.read.parquet(f"{args.out}/hourly")
-    mapping = mapping_from_json(spark, open(args.mapping_json).read()) if args.mapping_json else mapping_frame(spark)
+    if args.mapping_json:
+        # Read through the cluster file system (HDFS, object store, local).
+        text = spark.read.text(args.mapping_json, wholetext=True).first()[0]
+        mapping = mapping_from_json(spark, text)
+    else:
+        mapping = mapping_frame(spark)
     _save(rename_signals(to_long(hourly), mapping), f"{args.out}/hourly_long", args.show)
 
 

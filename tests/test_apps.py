@@ -18,10 +18,17 @@ def test_four_stages(spark, scratch):
                                           "--checkpoint", os.path.join(scratch, "ck1")]))
     apps.run_subscribe(spark, p.parse_args(["subscribe", "--topic-path", topic, "--table", table,
                                             "--checkpoint", os.path.join(scratch, "ck2")]))
-    apps.run_analyze(spark, p.parse_args(["analyze", "--table", table, "--out", out]))
+    from sigflow.schemas import SIGNAL_MAPPING_JSON
+
+    mapping_file = os.path.join(scratch, "mapping.json")
+    with open(mapping_file, "w", encoding="utf-8") as fh:
+        fh.write(SIGNAL_MAPPING_JSON)
+    apps.run_analyze(spark, p.parse_args(["analyze", "--table", table, "--out", out, "--mapping-json", mapping_file]))
     apps.run_predict(spark, p.parse_args(["predict", "--table", table, "--out", out, "--day", "2024-01-15"]))
     hourly = spark.read.parquet(f"{out}/hourly")
-    assert spark.read.parquet(f"{out}/hourly_long").count() == 4 * hourly.count()
+    long = spark.read.parquet(f"{out}/hourly_long")
+    assert long.count() == 4 * hourly.count()
+    assert long.filter("sig_mapping_name is null").count() == 0
     assert spark.read.parquet(f"{out}/daily_datapoints").count() == 30
     assert spark.read.parquet(f"{out}/hourly_datapoints").count() == hourly.count()
     assert spark.read.parquet(f"{out}/predictions_2024-01-15").count() > 0
