@@ -18,7 +18,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigflow.session import path_exists, scratch_root
+from sigflow.session import file_signature, path_exists, scratch_root
 from sigflow.sources.table import TableConfig, read_table, write_table
 from sigflow.sources.testdata import events_raw, events_telemetry, read_events
 
@@ -29,18 +29,19 @@ SECOND_DELIVERY_FROM = "2024-01-16 00:00:00"
 _STAGE_LOCK = threading.Lock()
 
 
-def _fingerprint(sf_dir: str) -> str:
-    path = os.path.abspath(sf_dir.rstrip("/"))
-    parts = [path]
-    events = os.path.join(path, "events.parquet")
-    if os.path.exists(events):
-        st = os.stat(events)
-        parts += [str(st.st_size), str(int(st.st_mtime))]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Key of the staged copies: the folder plus the size and modification
+    time of its events table (read through the cluster file system)."""
+    base = sf_dir.rstrip("/")
+    parts = [base if "://" in base else os.path.abspath(base)]
+    signature = file_signature(spark, f"{base}/events.parquet")
+    if signature:
+        parts.append(signature)
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def stage_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{scratch_root(spark)}/sigflow/stage-{_fingerprint(sf_dir)}"
+    return f"{scratch_root(spark)}/sigflow/stage-{_fingerprint(spark, sf_dir)}"
 
 
 def _done(spark: SparkSession, path: str) -> bool:

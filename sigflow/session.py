@@ -72,3 +72,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster file system (local, HDFS, object store)."""
     fs, hpath = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))
+
+
+def file_signature(spark: SparkSession, path: str) -> str | None:
+    """``size:modification-time`` of a file or folder entry through the
+    cluster file system, or None when it does not exist."""
+    fs, hpath = _hadoop_path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    status = fs.getFileStatus(hpath)
+    return f"{status.getLen()}:{status.getModificationTime()}"
