@@ -35,9 +35,12 @@ from sigflow.streaming import ingest_topic, publish_csv
 
 
 def _topic(args) -> TopicConfig:
+    limit = getattr(args, "max_per_trigger", None)
     if args.kafka_servers:
-        return TopicConfig(kind="kafka", bootstrap_servers=args.kafka_servers, topic=args.topic)
-    return TopicConfig(kind="files", path=args.topic_path)
+        return TopicConfig(
+            kind="kafka", bootstrap_servers=args.kafka_servers, topic=args.topic, max_offsets_per_trigger=limit
+        )
+    return TopicConfig(kind="files", path=args.topic_path, max_files_per_trigger=limit)
 
 
 def _table(args) -> TableConfig:
@@ -148,6 +151,8 @@ def parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("subscribe")
     sp.add_argument("--dedupe-within", help="drop repeated timestamps within this delay")
     sp.add_argument("--files-per-date", type=int, help="at most this many files per date per batch (one shuffle)")
+    sp.add_argument("--max-per-trigger", type=int,
+                    help="bound each batch: topic files (file topic) or offsets (Kafka)")
     topic_args(sp)
     table_args(sp)
     stream_args(sp)

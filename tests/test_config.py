@@ -28,3 +28,14 @@ def test_apps_parser_defaults():
     assert a.engine == "moments" and a.split == "hash" and a.split_hash == "xxhash64"
     b = parser().parse_args(["subscribe", "--topic-path", "/p", "--table", "/t", "--checkpoint", "/c"])
     assert b.files_per_date is None and b.table_format == "parquet"
+
+
+def test_subscribe_batch_bound_reaches_topic_config():
+    from sigflow.apps import _topic, parser
+
+    a = parser().parse_args(["subscribe", "--topic-path", "/p", "--table", "/t", "--checkpoint", "/c",
+                             "--max-per-trigger", "3"])
+    assert _topic(a).max_files_per_trigger == 3
+    k = parser().parse_args(["subscribe", "--kafka-servers", "h:9092", "--topic", "t", "--table", "/t",
+                             "--checkpoint", "/c", "--max-per-trigger", "1000"])
+    assert _topic(k).kind == "kafka" and _topic(k).max_offsets_per_trigger == 1000
