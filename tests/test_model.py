@@ -151,3 +151,15 @@ def test_rows_without_time_are_not_lost_by_the_split(spark):
         a, b = hash_split(df, 0.5, split_hash=h)
         assert a.count() + b.count() == 3
         assert a.filter("signal_ts is null").count() == 1
+
+
+def test_predict_day_prunes_partitions_with_ml_model(spark):
+    run = train_and_evaluate(load_telemetry(spark, SF001), engine="ml")
+    out = predict_day(run.model, power_features(load_telemetry(spark, SF001)), "2024-01-15")
+    assert any("signal_date" in f for f in partition_filters(out))
+    assert out.columns == [f.name for f in PREDICTION_SCHEMA.fields]
+    moments = train_and_evaluate(load_telemetry(spark, SF001)).model
+    other = predict_day(moments, power_features(load_telemetry(spark, SF001)), "2024-01-15")
+    a = {r.signal_ts: r.prediction for r in out.collect()}
+    b = {r.signal_ts: r.prediction for r in other.collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 * max(1.0, abs(a[k])) for k in a)
