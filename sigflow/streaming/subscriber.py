@@ -26,6 +26,14 @@ def telemetry_stream(
     each other, with state bounded by the watermark. Rows whose time did not
     parse are not de-duplicated (they share no reading time) and pass
     through unchanged.
+
+    Cost of the option: the two branches (timed rows through the state,
+    untimed rows around it) each read the batch, so every batch is read and
+    decoded twice (measured: 22 input rows for 11 messages). A single
+    de-duplication over all rows would merge distinct malformed messages and
+    keep state for rows without event time that no watermark can expire;
+    giving those rows a processing time instead would push the watermark
+    past the data and drop late readings.
     """
     rows = shape_telemetry(decode_messages(read_topic(spark, topic, streaming=True)), fmt)
     if dedupe_within:
