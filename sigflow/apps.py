@@ -18,7 +18,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigflow.operators.analysis import daily_datapoints, hourly_datapoints, hourly_generation, rename_signals, to_long
+from sigflow.operators.analysis import daily_from_hourly, hourly_datapoints, hourly_generation, rename_signals, to_long
 from sigflow.operators.model import (
     actual_vs_predicted,
     coefficients_frame,
@@ -84,8 +84,10 @@ def run_subscribe(spark: SparkSession, args) -> None:
 
 def run_analyze(spark: SparkSession, args) -> None:
     telemetry = read_table(spark, _table(args))
-    _save(daily_datapoints(telemetry), f"{args.out}/daily_datapoints", args.show)
+    # One distinct pass: the daily counts are summed from the written hourly ones.
     _save(hourly_datapoints(telemetry), f"{args.out}/hourly_datapoints", args.show)
+    hourly_counts = spark.read.parquet(f"{args.out}/hourly_datapoints")
+    _save(daily_from_hourly(hourly_counts), f"{args.out}/daily_datapoints", args.show)
     hourly = hourly_generation(telemetry)
     _save(hourly, f"{args.out}/hourly", args.show)
     # Read the hourly table back: the long form reuses it instead of

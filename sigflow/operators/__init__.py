@@ -2,6 +2,7 @@
 
 from sigflow.operators.analysis import (
     daily_datapoints,
+    daily_from_hourly,
     hourly_averages,
     hourly_datapoints,
     hourly_generation,
@@ -31,6 +32,7 @@ __all__ = [
     "assemble",
     "chart_bounds",
     "daily_datapoints",
+    "daily_from_hourly",
     "decode_messages",
     "encode_messages",
     "hash_split",

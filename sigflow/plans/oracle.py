@@ -169,6 +169,12 @@ SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
        {EXPECTED_PER_DAY} AS expected_count,
        {EXPECTED_PER_DAY} - COUNT(DISTINCT signal_ts) AS missing_count,
        COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
+FROM telemetry GROUP BY signal_date""",
+    "daily_from_hourly": f"""WITH {TELEMETRY}
+SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
+       {EXPECTED_PER_DAY} AS expected_count,
+       {EXPECTED_PER_DAY} - COUNT(DISTINCT signal_ts) AS missing_count,
+       COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
 FROM telemetry GROUP BY signal_date""",
     "hourly_datapoints": f"""WITH {TELEMETRY}
 SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,

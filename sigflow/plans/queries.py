@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigflow.functions.signals import signal_value
-from sigflow.operators.analysis import daily_datapoints, hourly_datapoints, hourly_generation, rename_signals, to_long
+from sigflow.operators.analysis import (
+    daily_datapoints,
+    daily_from_hourly,
+    hourly_datapoints,
+    hourly_generation,
+    rename_signals,
+    to_long,
+)
 from sigflow.operators.ingest import decode_messages, encode_messages, shape_telemetry
 from sigflow.operators.model import (
     PowerModelRun,
@@ -72,6 +79,11 @@ def hourly_datapoints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_datapoints(load_telemetry(spark, sf_dir))
 
 
+def daily_from_hourly_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 derived from the hourly counts (one distinct shuffle for both)."""
+    return daily_from_hourly(hourly_datapoints(load_telemetry(spark, sf_dir)))
+
+
 def hourly_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (date, hour, signal)."""
     return to_long(hourly_generation_q(spark, sf_dir))
@@ -338,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "hourly_generation": hourly_generation_q,
     "daily_datapoints": daily_datapoints_q,
     "hourly_datapoints": hourly_datapoints_q,
+    "daily_from_hourly": daily_from_hourly_q,
     "hourly_long": hourly_long_q,
     "hourly_long_unpivot": hourly_long_unpivot_q,
     "hourly_long_renamed": hourly_long_renamed_q,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE_CSV
 from sigflow.operators.analysis import (
     daily_datapoints,
+    daily_from_hourly,
     hourly_datapoints,
     hourly_averages,
     hourly_generation,
@@ -45,6 +46,16 @@ def test_daily_datapoints_distinct_and_completeness(spark):
     assert out[None].distinct_ts_count == 0
 
 
+def test_daily_from_hourly_equals_daily(spark):
+    rows = [("2024-01-01 00:00:00", full(1)), ("2024-01-01 00:00:00", full(1)), ("2024-01-01 05:10:00", full(1)),
+            ("2024-01-02 23:50:00", full(1)), (None, full(1))]
+    t = telemetry(spark, rows)
+    a = daily_datapoints(t)
+    b = daily_from_hourly(hourly_datapoints(t))
+    assert a.schema == b.schema
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_hourly_datapoints(spark):
     rows = [("2024-01-01 00:00:00", full(1)), ("2024-01-01 00:00:00", full(1)), ("2024-01-01 00:10:00", full(1))]
     rows += [(f"2024-01-01 01:{m:02d}:00", full(1)) for m in range(0, 60, 10)]
