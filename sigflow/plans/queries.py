@@ -245,7 +245,7 @@ def _model_run(
     exclude_day: str | None = None,
     engine: str = "moments",
 ) -> PowerModelRun:
-    key = (spark.sparkContext.applicationId, sf_dir, split, exclude_day, engine)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, split, exclude_day, engine)
     if key not in _RUNS:
         _RUNS[key] = train_and_evaluate(
             load_telemetry(spark, sf_dir),
