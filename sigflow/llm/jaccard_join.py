@@ -5,15 +5,18 @@ similarity is 0.75 or more. The result is each document's set size and its
 component under the links.
 
 1. Each set gets a 128-bit signature. Equal sets are one node from here on.
-   The same pass counts, over all documents, how often the n-grams of each of
-   2 ** ORDER_BITS hash slots occur. (count of the slot, hash) is the global
-   order, rare n-grams first. Any such order gives the same links; the counts
-   only make it a good one. The table has a fixed size.
+   The same pass counts, over all documents, the words and the n-grams by
+   hash slot, in tables of a fixed size. They estimate how often an n-gram
+   occurs: by chance, from its words, and in repeated passages, from its own
+   slot. The global order is (estimate, hash), rare n-grams first. Any such
+   order gives the same links; the counts only make it a good one.
 2. Two sets that link share one of the first n - ceil(0.75 n) + 1 n-grams of
-   each. These prefixes are gathered by n-gram; the sets that share one form a
-   group with its smallest signature as leader. Groups with the same leader
-   are one: a set is sent once per leader. Any two sets that can link are in
-   a common group.
+   each. These prefixes are gathered by n-gram; the sets of like size that
+   share one form a group with its smallest node as leader. Groups with the
+   same leader are one: a set is sent once per leader. Any two sets that can
+   link are in a common group. Where a set shares n-grams with a leader only
+   as a pair, their number is that of all the pair's common prefix n-grams,
+   and if a link needs more the set isn't sent.
 3. Large groups are dealt into blocks of bounded size, each with the leader.
    In a block, the sets are stored in a prefix tree in the global order; each
    set walks the tree, sharing what paths have in common, and leaves a subtree
@@ -28,6 +31,7 @@ component under the links.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -35,21 +39,29 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import map_rows, staged, text_or_empty, worker_state
 from sigflow.llm.components import components
 
 NGRAM = 5
-ORDER_BITS = 20
-SLICES = 16
+#: Slots of the count tables.
+NGRAM_BITS = 22
+WORD_BITS = 20
+SLICES = 20
 #: Prefix n-grams per partition, n-grams of a block's sets: sizes of work.
 POSTINGS = 500_000
 BLOCK_NGRAMS = 400_000
 REMEMBERED = 500_000
 
-_MASK = np.uint64((1 << ORDER_BITS) - 1)
+_NGRAM_MASK = np.uint64((1 << NGRAM_BITS) - 1)
+_WORD_MASK = np.uint64((1 << WORD_BITS) - 1)
+#: An ordered n-gram: the class of its estimate, then its hash.
+_HASH_BITS = np.uint64(56)
+_LOW = np.uint64(0xFFFFFFFF)
+#: Sets whose sizes differ by a class of 2 or more can't link.
+_SIZE_BASE = 1.34
 # Odd multipliers, one for each place in an n-gram.
 _PLACES = [np.uint64(xxhash.xxh3_64_intdigest(b"place", seed=i) | 1) for i in range(NGRAM)]
 
@@ -61,41 +73,70 @@ class _WordHashes(dict):
         return value
 
 
-def ngram_set(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word 5-grams, A-Z in lower
-    case; with fewer words the whole sequence is the only one; none without
-    words."""
+def _hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the text's words, A-Z in lower case, and of its
+    n-grams in their order; with fewer words the whole sequence is the only
+    n-gram."""
     words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
     known = worker_state("word-hashes", _WordHashes)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     if len(known) > REMEMBERED:
         known.clear()
-    n = max(1, len(h) - NGRAM + 1)
-    mixed = np.full(n, min(len(h), NGRAM), np.uint64)
-    for i in range(min(len(h), NGRAM)):
+    if not len(h):
+        return h, h
+    width = min(len(h), NGRAM)
+    n = len(h) - width + 1
+    mixed = np.full(n, width, np.uint64)
+    for i in range(width):
         mixed += h[i : i + n] * _PLACES[i]
         mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(32)
-    mixed.sort()
-    if n > 1:
-        mixed = mixed[np.concatenate(([True], mixed[1:] != mixed[:-1]))]
-    return mixed
+    return h, mixed
+
+
+def _distinct(a: np.ndarray) -> np.ndarray:
+    a = np.sort(a)
+    return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) > 1 else a
 
 
 def signature(ngrams: np.ndarray) -> bytes:
     return hashlib.blake2b(ngrams.tobytes(), digest_size=16).digest()
 
 
-def node_of(sig: bytes) -> int:
-    return int.from_bytes(sig[:8], "little", signed=True)
+def node_of(sig: bytes, n: int) -> int:
+    """A set's node: the class of its size, then 56 bits of its signature."""
+    return int(math.log(n, _SIZE_BASE)) << 56 | int.from_bytes(sig[:7], "little")
+
+
+class Order:
+    """The global order, from the count tables. All in whole numbers (16ths
+    of a binary logarithm), so that every task finds the same."""
+
+    def __init__(self, counts: np.ndarray):
+        ngrams, words = counts[: 1 << NGRAM_BITS], counts[1 << NGRAM_BITS :]
+        self.total = _log16(np.array([words.sum()]))[0]
+        self.words = _log16(words)
+        # Slots that stand out hold n-grams of repeated passages.
+        frequent = ngrams > 4 * ngrams.mean() + 8
+        self.ngrams = np.where(frequent, self.classes(_log16(ngrams)), 0).astype(np.uint8)
+
+    @staticmethod
+    def classes(log16: np.ndarray) -> np.ndarray:
+        return np.clip((log16 + 80 * 16) >> 3, 0, 255)
+
+    def ordered(self, h: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+        """Distinct n-grams, given by the hashes of a text's words and
+        n-grams, in the global order: whole numbers that increase with it."""
+        logs = self.words[(h & _WORD_MASK).astype(np.int64)]
+        width = len(h) - len(mixed) + 1
+        chance = sum(logs[i : i + len(mixed)] for i in range(width)) - (width - 1) * self.total
+        level = np.maximum(self.classes(chance), self.ngrams[(mixed & _NGRAM_MASK).astype(np.int64)])
+        return _distinct(level.astype(np.uint64) << _HASH_BITS | mixed >> np.uint64(8))
 
 
-def in_order(ngrams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A sorted set in the global order."""
-    return ngrams[np.argsort(counts[(ngrams & _MASK).astype(np.int64)], kind="stable")]
+def _log16(counts: np.ndarray) -> np.ndarray:
+    return np.rint(16 * np.log2(counts.astype(np.float64) + 1)).astype(np.int32)
 
 
 def prefix_length(n: int) -> int:
@@ -226,26 +267,37 @@ def join_block(sets: list[list[int]], members: list[bool], seeds: list) -> list[
 
 # ------------------------------------------------------------------- Spark
 def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
-    """A row (id, n, sig) per document, and per task rows (part, slice,
-    counts) of its n-grams by slot."""
+    """A row (id, n, sig, node) per document, and per task rows (part, slice,
+    counts) of its n-grams and words by slot."""
+    n_slots = (1 << NGRAM_BITS) + (1 << WORD_BITS)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        counts = np.zeros(1 << ORDER_BITS, np.int64)
+        counts = np.zeros(n_slots, np.int32)
+        grams, words = counts[: 1 << NGRAM_BITS], counts[1 << NGRAM_BITS :]
+        held: list[tuple] = []
+
+        def count() -> None:
+            for table, mask, k in ((words, _WORD_MASK, 0), (grams, _NGRAM_MASK, 1)):
+                slot, n = np.unique((np.concatenate([x[k] for x in held]) & mask).astype(np.uint32), return_counts=True)
+                table[slot] += n.astype(np.int32)
+            held.clear()
+
         for b in batches:
-            sizes, sigs, held, many = [], [], [], 0
+            sizes, sigs, many = [], [], 0
             none = [None] * len(b["t"])
             for t in b["t"]:
-                s = ngram_set(t)
+                h, mixed = _hashes(t)
+                s = _distinct(mixed)
                 sizes.append(len(s))
                 sigs.append(signature(s) if len(s) else None)
-                held.append((s & _MASK).astype(np.int64))
-                many += len(s)
-                if many > 1 << 18:
-                    counts += np.bincount(np.concatenate(held), minlength=len(counts))
-                    held, many = [], 0
-            if many:
-                counts += np.bincount(np.concatenate(held), minlength=len(counts))
-            nodes = [x and node_of(x) for x in sigs]
+                held.append((h, s))
+                many += len(h)
+                if many > 1 << 20:
+                    count()
+                    many = 0
+            if held:
+                count()
+            nodes = [x and node_of(x, n) for x, n in zip(sigs, sizes, strict=True)]
             yield {"id": b["id"], "n": sizes, "sig": sigs, "node": nodes, "part": none, "slice": none, "counts": none}
         if counts.any():
             data = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(SLICES, -1)]
@@ -257,23 +309,28 @@ def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def _slot_counts(fingerprints: DataFrame) -> np.ndarray:
-    """The slots' counts over all documents, a table of fixed size: slices
-    are summed in Spark, 64 tasks' at a time, then all."""
+    """The slots' counts over all documents, tables of fixed size: slices are
+    summed in Spark, 64 tasks' at a time, then all."""
+
+    def add(first: type):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            total: np.ndarray = 0
+            for x in pdf["counts"]:
+                total = total + np.frombuffer(zlib.decompress(x), first).astype(np.int64)
+            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in pdf["counts"])
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+        return run
 
     rows = fingerprints.filter("slice IS NOT NULL").select("slice", "counts", F.floor(F.col("part") / 64).alias("many"))
-    rows = rows.groupBy("slice", "many").applyInPandas(add, "slice int, counts binary")
-    rows = rows.groupBy("slice").applyInPandas(add, "slice int, counts binary")
-    out = np.zeros((SLICES, (1 << ORDER_BITS) // SLICES), np.int64)
+    rows = rows.groupBy("slice", "many").applyInPandas(add(np.int32), "slice int, counts binary")
+    rows = rows.groupBy("slice").applyInPandas(add(np.int64), "slice int, counts binary")
+    out = np.zeros((SLICES, ((1 << NGRAM_BITS) + (1 << WORD_BITS)) // SLICES), np.int64)
     for r in rows.collect():
         out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
-    return np.minimum(out.reshape(-1), (1 << 31) - 1).astype(np.int32)
+    return out.reshape(-1)
 
 
-def _postings(rows: DataFrame, counts, n_parts: int) -> DataFrame:
+def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
     """The prefixes' n-grams dealt by hash: rows (r, low half of the n-grams,
     nodes). Equal sets of a task are dealt once."""
 
@@ -283,9 +340,9 @@ def _postings(rows: DataFrame, counts, n_parts: int) -> DataFrame:
 
         def dealt() -> dict:
             g, owner = np.concatenate(grams), np.concatenate(nodes)
-            r = ((g >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(r, kind="stable")
-            r, g, owner = r[order], g[order].astype(np.uint32), owner[order]
+            r = ((g >> np.uint64(24) & _LOW) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+            by = np.argsort(r, kind="stable")
+            r, g, owner = r[by], (g[by] & _LOW).astype(np.uint32), owner[by]
             cuts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
             ends = [*cuts[1:].tolist(), len(r)]
             return {
@@ -296,11 +353,13 @@ def _postings(rows: DataFrame, counts, n_parts: int) -> DataFrame:
 
         for b in batches:
             for t in b["t"]:
-                s = ngram_set(t)
-                if not len(s) or (node := node_of(signature(s))) in seen:
+                h, mixed = _hashes(t)
+                s = _distinct(mixed)
+                if not len(s) or (node := node_of(signature(s), len(s))) in seen:
                     continue
                 seen.add(node)
-                own = in_order(s, counts.value)[: prefix_length(len(s))]
+                own = order.value.ordered(h, mixed)
+                own = own[: prefix_length(len(own))]
                 grams.append(own)
                 nodes.append(np.full(len(own), node, np.int64))
                 many += len(own)
@@ -310,25 +369,34 @@ def _postings(rows: DataFrame, counts, n_parts: int) -> DataFrame:
         if many:
             yield dealt()
 
-    return map_rows(rows.select("t"), run, "r int, grams binary, nodes binary")
+    return map_rows(rows, run, "r int, grams binary, nodes binary")
 
 
 def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
-    """(leader, node), leader first of a group of nodes that share a prefix
-    n-gram, without the leaders themselves. N-grams that agree in the dealt
-    bits count as one, which only makes groups larger."""
+    """(leader, node, shared, more): the nodes that share a prefix n-gram
+    with a leader, the smallest node of theirs; how many n-grams, and whether
+    other nodes share one of them. Without the leaders themselves. N-grams
+    that agree in the dealt bits count as one, which only adds rows."""
 
     def pairs(grams: list[bytes], nodes: list[bytes]) -> dict | None:
         g = np.frombuffer(b"".join(grams), np.uint32)
         owner = np.frombuffer(b"".join(nodes), np.int64)
-        order = np.lexsort((owner, g))
-        g, owner = g[order], owner[order]
-        new = np.concatenate(([True], g[1:] != g[:-1]))
-        first = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
-        found = owner != owner[first]
-        both = np.stack([owner[first][found], owner[found]], axis=1)
-        both = np.unique(both, axis=0)
-        return {"leader": both[:, 0], "node": both[:, 1]} if len(both) else None
+        by = np.lexsort((owner, g))
+        g, owner = g[by], owner[by]
+        once = np.concatenate(([True], (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])))
+        g, owner = g[once], owner[once]
+        size_class = owner >> 56
+        new = np.concatenate(([True], (g[1:] != g[:-1]) | (size_class[1:] - size_class[:-1] > 1)))
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(g)))
+        first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
+        found = np.arange(len(g)) != first
+        if not found.any():
+            return None
+        both, at = np.unique(np.stack([owner[first][found], owner[found]], axis=1), axis=0, return_inverse=True)
+        at = at.reshape(-1)
+        more = np.bincount(at, size[found] > 2) > 0
+        return {"leader": both[:, 0], "node": both[:, 1], "shared": np.bincount(at), "more": more}
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         r, grams, nodes = None, [], []
@@ -344,13 +412,23 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
             yield out
 
     dealt = postings.repartition(n_parts, "r").sortWithinPartitions("r")
-    return map_rows(dealt, run, "leader long, node long").distinct()
+    found = map_rows(dealt, run, "leader long, node long, shared long, more boolean")
+    return found.groupBy("leader", "node").agg(F.sum("shared").alias("shared"), F.max("more").alias("more"))
+
+
+def _may_link(n: Column, m: Column, shared: Column) -> Column:
+    """Whether sets of sizes n and m with so many common n-grams in their
+    prefixes can link: what follows the prefix that ends first adds at most
+    its set's other n-grams."""
+    prefix = lambda x: x - F.floor((3 * x + 3) / 4) + 1
+    rest = F.greatest(n - prefix(n), m - prefix(m))
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * (shared + rest) >= 3 * (n + m))
 
 
 _BLOCK = ["leader", "block", "walk"]
 
 
-def _linked(rows: DataFrame, assigned: DataFrame, counts) -> DataFrame:
+def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
     """Links (a, b) of the assigned sets, joined with their texts and put
     into a prefix tree block by block. ``assigned``: rep, node, seed, member,
     leader, block, walk."""
@@ -362,17 +440,18 @@ def _linked(rows: DataFrame, assigned: DataFrame, counts) -> DataFrame:
             places: dict[bytes, int] = {}
             sets, members, seeds, reps = [], [], [], []
             for rep, node, seed, member, text in block:
-                s = ngram_set(text)
+                h, mixed = _hashes(text)
+                s = _distinct(mixed)
                 sig = signature(s)
                 # Another row with this id may have another text; the leader
                 # may be there as a member too.
-                if node_of(sig) != node:
+                if not len(s) or node_of(sig, len(s)) != node:
                     continue
                 if sig in places:
                     members[places[sig]] |= member
                     continue
                 places[sig] = len(sets)
-                sets.append(in_order(s, counts.value).tolist())
+                sets.append(order.value.ordered(h, mixed).tolist())
                 members.append(member)
                 seeds.append(seed)
                 reps.append(rep)
@@ -404,7 +483,7 @@ def _leaders(groups: DataFrame, blocks, *more: str) -> DataFrame:
     return groups.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("leader", "block", *more)
 
 
-def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, counts) -> DataFrame | None:
+def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order) -> DataFrame | None:
     """Links between the blocks of groups that have several, of sets that
     are not in one component yet; None if there are no such sets."""
     several = member.filter("blocks > 1").join(known.withColumnRenamed("node", "rep"), "rep", "left")
@@ -427,7 +506,7 @@ def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, counts)
     stay = stay.withColumn("walk", F.explode(F.sequence(F.lit(0), F.col("walks") - 1)))
     names = ("rep", "node", "seed", "leader", "block", "walk")
     assigned = walks.select(*names, F.lit(False).alias("member")).unionByName(stay.select(*names, F.lit(True).alias("member")))
-    return _linked(rows, assigned, counts)
+    return _linked(rows, assigned, order)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -444,7 +523,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(F.col(text_col)).alias("t"))
     prints = staged(_fingerprints(rows, "bigint"), "sets")
     own = prints.filter("slice IS NULL").select("id", "n", "sig", "node")
-    counts = spark.sparkContext.broadcast(_slot_counts(prints))
+    order = spark.sparkContext.broadcast(Order(_slot_counts(prints)))
 
     # The node is part of the signature, the set's size goes with it.
     reps = own.filter("n > 0 AND id IS NOT NULL").groupBy("sig", "node", "n").agg(F.min("id").alias("rep"))
@@ -453,10 +532,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = own.agg(F.sum("n")).first()[0] or 0
     n_parts = int(min(1 << 15, max(1, -(-total // (4 * POSTINGS)))))
     known_rows = rows.filter("id IS NOT NULL")
-    groups = staged(_memberships(_postings(known_rows, counts, n_parts), n_parts), "groups")
-
+    groups = _memberships(_postings(known_rows.select("t"), order, n_parts), n_parts)
     sized = reps.select("rep", "node", "n")
-    member = groups.join(sized, "node")
+    member = groups.join(sized, "node").join(sized.selectExpr("node AS leader", "n AS leader_n"), "leader")
+    member = member.filter(F.col("more") | _may_link(F.col("n"), F.col("leader_n"), F.col("shared")))
+    member = staged(member.select("leader", "rep", "node", "n").distinct(), "groups")
     sizes = member.groupBy("leader").agg(F.sum("n").alias("size"))
     sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
     member = member.join(sizes, "leader").withColumn("block", _dealt("node", F.col("size")))
@@ -465,9 +545,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = ("rep", "node", "n", "leader", "block", "blocks")
     member = staged(member.select(*names).unionByName(lead.select(*names)), "members")
     assigned = member.select("rep", "node", F.col("rep").alias("seed"), "leader", "block", F.lit(0).alias("walk"), F.lit(True).alias("member"))
-    links = staged(_linked(known_rows, assigned, counts), "links")
+    links = staged(_linked(known_rows, assigned, order), "links")
     found = components(links)
-    more = _across_blocks(known_rows, member, found, counts)
+    more = _across_blocks(known_rows, member, found, order)
     if more is not None:
         found = components(links.unionByName(more))
 
