@@ -10,13 +10,14 @@ component under the links.
    occurs: by chance, from its words, and in repeated passages, from its own
    slot. The global order is (estimate, hash), rare n-grams first. Any such
    order gives the same links; the counts only make it a good one.
-2. Two sets that link share one of the first n - ceil(0.75 n) + 1 n-grams of
-   each. These prefixes are gathered by n-gram; the sets of like size that
-   share one form a group with its smallest node as leader. Groups with the
-   same leader are one: a set is sent once per leader. Any two sets that can
-   link are in a common group. Where a set shares n-grams with a leader only
-   as a pair, their number is that of all the pair's common prefix n-grams,
-   and if a link needs more the set isn't sent.
+2. Two sets that link have at least 0.75 n n-grams of each in common, so
+   they share k of the first n - ceil(0.75 n) + k n-grams of each (k is 1 and
+   a twentieth of the smaller size). These prefixes are gathered by n-gram;
+   the sets of like size that share one form a group with its smallest node
+   as leader. Groups with the same leader are one: a set is sent once per
+   leader. Any two sets that can link are in a common group. A set that
+   shares fewer n-grams of its prefix with all others than a link needs isn't
+   sent, nor is one that shares too few with a leader, all as a pair.
 3. Large groups are dealt into blocks of bounded size, each with the leader.
    In a block, the sets are stored in a prefix tree in the global order; each
    set walks the tree, sharing what paths have in common, and leaves a subtree
@@ -39,19 +40,22 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import map_rows, staged, text_or_empty, worker_state
 from sigflow.llm.components import components
 
 NGRAM = 5
+#: Prefixes are longer by one in so many n-grams, and links then need so
+#: many more common ones.
+MORE = 20
 #: Slots of the count tables.
 NGRAM_BITS = 22
 WORD_BITS = 20
 SLICES = 20
 #: Prefix n-grams per partition, n-grams of a block's sets: sizes of work.
-POSTINGS = 500_000
+POSTINGS = 1_000_000
 BLOCK_NGRAMS = 400_000
 REMEMBERED = 500_000
 
@@ -140,7 +144,7 @@ def _log16(counts: np.ndarray) -> np.ndarray:
 
 
 def prefix_length(n: int) -> int:
-    return n - (3 * n + 3) // 4 + 1
+    return n - (3 * n + 3) // 4 + 1 + n // MORE
 
 
 # -------------------------------------------------------------------- tree
@@ -374,8 +378,8 @@ def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
 
 def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
     """(leader, node, shared, more): the nodes that share a prefix n-gram
-    with a leader, the smallest node of theirs; how many n-grams, and whether
-    other nodes share one of them. Without the leaders themselves. N-grams
+    with a leader, the smallest node of theirs, and the leader itself; how
+    many n-grams, and whether three nodes or more share one of them. N-grams
     that agree in the dealt bits count as one, which only adds rows."""
 
     def pairs(grams: list[bytes], nodes: list[bytes]) -> dict | None:
@@ -390,7 +394,7 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(g)))
         first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
-        found = np.arange(len(g)) != first
+        found = size > 1
         if not found.any():
             return None
         both, at = np.unique(np.stack([owner[first][found], owner[found]], axis=1), axis=0, return_inverse=True)
@@ -416,13 +420,18 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
     return found.groupBy("leader", "node").agg(F.sum("shared").alias("shared"), F.max("more").alias("more"))
 
 
-def _may_link(n: Column, m: Column, shared: Column) -> Column:
-    """Whether sets of sizes n and m with so many common n-grams in their
-    prefixes can link: what follows the prefix that ends first adds at most
-    its set's other n-grams."""
-    prefix = lambda x: x - F.floor((3 * x + 3) / 4) + 1
-    rest = F.greatest(n - prefix(n), m - prefix(m))
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * (shared + rest) >= 3 * (n + m))
+def _candidates(groups: DataFrame, sized: DataFrame) -> DataFrame:
+    """(leader, rep, node, n) of the memberships that a link may need."""
+    # A partner has three quarters of the size, at least.
+    enough = F.col("all") > F.floor(3 * F.col("n") / (4 * MORE))
+    shared = groups.groupBy("node").agg(F.sum("shared").alias("all"))
+    alive = staged(shared.join(sized, "node").filter(enough).drop("all"), "candidates")
+    leader = alive.select(F.col("node").alias("leader"), F.col("n").alias("m"))
+    member = groups.join(alive, "node").join(leader, "leader", "left")
+    less, greater = F.least("n", "m"), F.greatest("n", "m")
+    pair = (4 * less >= 3 * greater) & (F.col("shared") > F.floor(less / MORE))
+    kept = F.col("more") | (F.col("leader") == F.col("node")) | (pair & F.col("m").isNotNull())
+    return member.filter(kept).select("leader", "rep", "node", "n").distinct()
 
 
 _BLOCK = ["leader", "block", "walk"]
@@ -473,21 +482,11 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
     return map_rows(dealt, run, "a long, b long")
 
 
-def _dealt(column, size, most: int = BLOCK_NGRAMS):
-    """Block number of a row of a group of this size."""
-    return F.pmod(F.xxhash64(column), F.ceil(size / most)).cast("int")
-
-
-def _leaders(groups: DataFrame, blocks, *more: str) -> DataFrame:
-    """Each leader once per block of its group."""
-    return groups.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("leader", "block", *more)
-
-
 def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order) -> DataFrame | None:
     """Links between the blocks of groups that have several, of sets that
     are not in one component yet; None if there are no such sets."""
     several = member.filter("blocks > 1").join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    several = staged(several.withColumn("seed", F.coalesce("component", "rep")), "blocks")
+    several = staged(several.withColumn("seed", F.coalesce("component", "rep")), "several")
     if several.isEmpty():
         return None
     sizes = several.groupBy("leader", "seed").agg(F.sum("n").alias("own"))
@@ -499,8 +498,8 @@ def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order)
         return None
     groups = walkers.groupBy("leader").agg(F.sum("n").alias("walking"), F.max("blocks").alias("blocks"))
     groups = groups.withColumn("walks", F.ceil(F.col("walking") / BLOCK_NGRAMS).cast("int"))
-    walks = walkers.join(groups.select("leader", "walking", "walks"), "leader")
-    walks = walks.withColumn("walk", _dealt("node", F.col("walking")))
+    walks = walkers.drop("block").distinct().join(groups.select("leader", "walks"), "leader")
+    walks = walks.withColumn("walk", F.pmod(F.xxhash64("node"), F.col("walks")).cast("int"))
     walks = walks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
     stay = several.join(groups.select("leader", "walks"), "leader")
     stay = stay.withColumn("walk", F.explode(F.sequence(F.lit(0), F.col("walks") - 1)))
@@ -532,18 +531,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = own.agg(F.sum("n")).first()[0] or 0
     n_parts = int(min(1 << 15, max(1, -(-total // (4 * POSTINGS)))))
     known_rows = rows.filter("id IS NOT NULL")
-    groups = _memberships(_postings(known_rows.select("t"), order, n_parts), n_parts)
-    sized = reps.select("rep", "node", "n")
-    member = groups.join(sized, "node").join(sized.selectExpr("node AS leader", "n AS leader_n"), "leader")
-    member = member.filter(F.col("more") | _may_link(F.col("n"), F.col("leader_n"), F.col("shared")))
-    member = staged(member.select("leader", "rep", "node", "n").distinct(), "groups")
-    sizes = member.groupBy("leader").agg(F.sum("n").alias("size"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
-    member = member.join(sizes, "leader").withColumn("block", _dealt("node", F.col("size")))
-    lead = _leaders(sizes, F.col("blocks"), "blocks").join(sized.withColumnRenamed("node", "leader"), "leader")
-    lead = lead.withColumn("node", F.col("leader"))
-    names = ("rep", "node", "n", "leader", "block", "blocks")
-    member = staged(member.select(*names).unionByName(lead.select(*names)), "members")
+    groups = staged(_memberships(_postings(known_rows.select("t"), order, n_parts), n_parts), "groups")
+    member = staged(_candidates(groups, reps.select("rep", "node", "n")), "members")
+    sizes = member.groupBy("leader").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    member = member.join(sizes.drop("sets"), "leader").withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
+    # The leader is in every block, another member in one.
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    block = F.explode(F.when(F.col("node") == F.col("leader"), every).otherwise(one))
+    member = staged(member.select("rep", "node", "n", "leader", "blocks", block.alias("block")), "blocks")
     assigned = member.select("rep", "node", F.col("rep").alias("seed"), "leader", "block", F.lit(0).alias("walk"), F.lit(True).alias("member"))
     links = staged(_linked(known_rows, assigned, order), "links")
     found = components(links)
