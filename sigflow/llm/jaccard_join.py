@@ -55,7 +55,7 @@ NGRAM_BITS = 22
 WORD_BITS = 20
 SLICES = 20
 #: Prefix n-grams per partition, n-grams of a block's sets: sizes of work.
-POSTINGS = 1_000_000
+POSTINGS = 4_000_000
 BLOCK_NGRAMS = 400_000
 REMEMBERED = 500_000
 
@@ -477,7 +477,8 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
         if len(block) > 1 and (out := links()):
             yield out
 
-    texts = rows.join(assigned, rows["id"] == assigned["rep"]).drop("id")
+    # Both sides grow with the input: never broadcast, whatever its size now.
+    texts = rows.join(assigned.hint("merge"), rows["id"] == assigned["rep"]).drop("id")
     dealt = texts.repartition("leader", "block", "walk").sortWithinPartitions(*_BLOCK, "rep")
     return map_rows(dealt, run, "a long, b long")
 
@@ -529,7 +530,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = staged(reps, "reps")
 
     total = own.agg(F.sum("n")).first()[0] or 0
-    n_parts = int(min(1 << 15, max(1, -(-total // (4 * POSTINGS)))))
+    n_parts = int(min(1 << 15, max(1, -(-total // (3 * POSTINGS)))))
     known_rows = rows.filter("id IS NOT NULL")
     groups = staged(_memberships(_postings(known_rows.select("t"), order, n_parts), n_parts), "groups")
     member = staged(_candidates(groups, reps.select("rep", "node", "n")), "members")
