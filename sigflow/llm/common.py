@@ -54,18 +54,24 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+#: Rows of a batch that are Python objects at a time.
+ROWS = 500
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` over batches given and returned as dicts of lists."""
-    out = _arrow_schema(df.sparkSession, schema)
+    """``mapInArrow`` over batches, of ROWS rows at most, given and returned
+    as dicts of lists."""
+    out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in fn(b.to_pydict() for b in batches):
+        parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+        for cols in fn(p.to_pydict() for p in parts):
             yield pa.RecordBatch.from_pydict(cols, schema=out)
 
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def _arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -89,7 +95,9 @@ _STATE: dict[str, object] = {}
 
 
 def worker_state(key: str, make: Callable[[], object]) -> object:
-    """One object per Python worker, kept across its tasks."""
+    """An object that a Python worker keeps across its tasks, until another
+    operator's takes its place."""
     if key not in _STATE:
+        _STATE.clear()
         _STATE[key] = make()
     return _STATE[key]

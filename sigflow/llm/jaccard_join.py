@@ -57,7 +57,7 @@ SLICES = 20
 #: Prefix n-grams per partition, n-grams of a block's sets: sizes of work.
 POSTINGS = 4_000_000
 BLOCK_NGRAMS = 400_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _NGRAM_MASK = np.uint64((1 << NGRAM_BITS) - 1)
 _WORD_MASK = np.uint64((1 << WORD_BITS) - 1)

@@ -33,7 +33,7 @@ NODES = 4_000
 FILLINGS = 4
 #: Remembered units: characters of each, number.
 UNIT_CHARS = 40
-UNITS = 400_000
+UNITS = 300_000
 #: Characters whose units are encoded at a time.
 CHUNK = 2 << 20
 

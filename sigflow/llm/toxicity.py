@@ -30,7 +30,7 @@ from sigflow.llm.common import map_rows, new_name, text_or_empty, worker_state
 
 WORDS = re.compile(r"[^\W\d_]+").findall
 #: Remembered words per worker.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 @dataclass(frozen=True)
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
             for begin in range(0, len(b["t"]), 200):
                 part = slice(begin, begin + 200)
                 bags = [text_bag(t, settings, memory) for t in b["t"][part]]
-                if len(memory) > REMEMBERED // 4:
+                if len(memory) > REMEMBERED // 3:
                     memory.clear()
                 yield {"id": b["id"][part], "label": b["label"][part], "slots": [x.tobytes() for x, _ in bags], "weights": [x.tobytes() for _, x in bags]}
 
@@ -237,6 +237,7 @@ def score_udf(spark, model: Model, settings: Settings = Settings()):
         scorer = worker_state(key, lambda: Scorer(values.value, base, settings))
         for t in texts:
             yield pd.Series([scorer.score(x) for x in t], dtype="float64")
+        scorer.clear()
 
     return score
 
