@@ -20,12 +20,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it,
+    and send them texts in batches that stay small.
 
-    Only matters when the folder is on the driver's ``sys.path`` but not on
-    PYTHONPATH. A cluster has the package installed or gets it by
+    The first only matters when the folder is on the driver's ``sys.path``
+    but not on PYTHONPATH. A cluster has the package installed or gets it by
     ``--py-files``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     env = spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in known:
@@ -67,6 +69,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
         parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
         for cols in fn(p.to_pydict() for p in parts):
             yield pa.RecordBatch.from_pydict(cols, schema=out)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
