@@ -1,10 +1,12 @@
+"""Fixtures that the tests of this folder import."""
+
 import pytest
 from pyspark.sql import Row
 
 from sigflow.llm.common import workers_find_package
 
 
-@pytest.fixture(scope="session", autouse=True)
+@pytest.fixture(autouse=True)
 def package_on_workers(spark):
     workers_find_package(spark)
 
@@ -26,12 +28,12 @@ TEXTS = [
 ]
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture()
 def texts():
     return TEXTS
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture()
 def docs(spark):
     """With columns whose names the operators use inside."""
     rows = [Row(doc_id=i, text=t, lang="en", source=None, n_chars=None, sha="x", score=1.5, n=3, id=i, node="y") for i, t in TEXTS]

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from llm_cases import docs, package_on_workers, texts  # noqa: F401
 from sigflow.llm import byte_bpe, packing, token_count
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
