@@ -37,7 +37,7 @@ def test_salvage_recovers_later_records(pack):
     whole = b"".join(parts)
     assert read(whole) == (["0", "1", "2", "3"], [])
     first, second = len(parts[0]), len(parts[0]) + len(parts[1])
-    for at in (first, first + 20, second - 30):
+    for at in (first, first + 12, second - 30):
         broken = bytearray(whole)
         broken[at] ^= 0xFF
         assert read(bytes(broken)) == (["0", "2", "3"], [(first, len(parts[1]))])
