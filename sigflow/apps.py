@@ -28,7 +28,7 @@ from sigflow.operators.model import (
     train_and_evaluate,
 )
 from sigflow.operators.preview import preview
-from sigflow.sources.mapping import mapping_frame, mapping_from_json
+from sigflow.sources.mapping import mapping_frame, mapping_from_files
 from sigflow.sources.table import TableConfig, read_table
 from sigflow.sources.topic import TopicConfig
 from sigflow.streaming import ingest_topic, publish_csv
@@ -94,9 +94,7 @@ def run_analyze(spark: SparkSession, args) -> None:
     # re-aggregating the whole telemetry table.
     hourly = spark.read.parquet(f"{args.out}/hourly")
     if args.mapping_json:
-        # Read through the cluster file system (HDFS, object store, local).
-        text = spark.read.text(args.mapping_json, wholetext=True).first()[0]
-        mapping = mapping_from_json(spark, text)
+        mapping = mapping_from_files(spark, args.mapping_json)
     else:
         mapping = mapping_frame(spark)
     _save(rename_signals(to_long(hourly), mapping), f"{args.out}/hourly_long", args.show)

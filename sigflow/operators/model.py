@@ -232,6 +232,25 @@ def coefficients_frame(model, spark, feature_cols: Sequence[str] = FEATURE_COLUM
     return spark.createDataFrame([tuple(values)], names)
 
 
+def _error_sums(label: str, prediction: str) -> list[Column]:
+    err = F.col(prediction) - F.col(label)
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(err * err).alias("sse"),
+        F.var_pop(label).alias("var_y"),
+    ]
+
+
+def _metric_columns() -> list[Column]:
+    """n, rmse, r2 from ``_error_sums``. For a constant label r2 is what the
+    evaluator gives: -infinity, or NaN without any error; both metrics of an
+    empty set are null."""
+    total = F.col("var_y") * F.col("n")
+    constant = F.when(F.col("sse") > 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
+    r2 = F.when(total == 0, constant).otherwise(F.lit(1.0) - F.try_divide(F.col("sse"), total))
+    return ["n", F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("rmse"), r2.alias("r2")]
+
+
 def regression_metrics(
     predictions: DataFrame, label: str = LABEL_COLUMN, prediction: str = "prediction"
 ) -> DataFrame:
@@ -240,17 +259,7 @@ def regression_metrics(
     rmse = sqrt(SSE / n); r2 = 1 - SSE / SST with SST = n * var_pop(label)
     (the same definitions as RegressionEvaluator).
     """
-    err = F.col(prediction) - F.col(label)
-    agg = predictions.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(err * err).alias("sse"),
-        F.var_pop(label).alias("var_y"),
-    )
-    return agg.select(
-        "n",
-        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"),
-    )
+    return predictions.agg(*_error_sums(label, prediction)).select(*_metric_columns())
 
 
 def evaluation_summary(
@@ -258,21 +267,12 @@ def evaluation_summary(
 ) -> DataFrame:
     """``regression_metrics`` and ``chart_bounds`` from one aggregate pass:
     n, rmse, r2, min_val, max_val."""
-    err = F.col(prediction) - F.col(label)
     agg = predictions.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(err * err).alias("sse"),
-        F.var_pop(label).alias("var_y"),
+        *_error_sums(label, prediction),
         F.min(F.least(label, prediction)).alias("min_val"),
         F.max(F.greatest(label, prediction)).alias("max_val"),
     )
-    return agg.select(
-        "n",
-        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"),
-        "min_val",
-        "max_val",
-    )
+    return agg.select(*_metric_columns(), "min_val", "max_val")
 
 
 def evaluate_with_evaluator(predictions: DataFrame) -> tuple[float, float]:
@@ -288,7 +288,8 @@ def day_literal(day: str | _dt.date) -> Column:
 
 
 def predict_day(model, rows: DataFrame, day: str | _dt.date) -> DataFrame:
-    """Predictions for one calendar day: actual and predicted power.
+    """Predictions for one calendar day in time order: actual and predicted
+    power.
 
     ``rows`` are typed features (``power_features``) or already assembled
     rows. The day filter is applied before any vector assembly (the
@@ -296,7 +297,8 @@ def predict_day(model, rows: DataFrame, day: str | _dt.date) -> DataFrame:
     partitioned by ``signal_date`` only that day's folder is read.
     """
     rows = rows.filter(F.col("signal_date") == day_literal(day))
-    return score(model, rows).select("signal_date", "signal_ts", LABEL_COLUMN, "prediction")
+    out = score(model, rows).select("signal_date", "signal_ts", LABEL_COLUMN, "prediction")
+    return out.orderBy("signal_ts", LABEL_COLUMN, "prediction")
 
 
 def actual_vs_predicted(predictions: DataFrame) -> DataFrame:

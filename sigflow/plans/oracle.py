@@ -163,6 +163,11 @@ UNION ALL SELECT 3, n - n1, n FROM c"""
 
 
 ORACLE_SQL: dict[str, str] = {
+    "hourly_averages_avg": f"""WITH {TELEMETRY}
+SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,
+       ROUND(AVG(active_power), 6) AS avg_active_power, ROUND(AVG(wind_speed), 6) AS avg_wind_speed,
+       ROUND(AVG(theoretical_curve), 6) AS avg_theoretical_power_curve, ROUND(AVG(wind_direction), 6) AS avg_wind_direction
+FROM telemetry GROUP BY 1, 2""",
     "hourly_generation": f"WITH {TELEMETRY},\n{HOURLY}\nSELECT * FROM gen",
     "daily_datapoints": f"""WITH {TELEMETRY}
 SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
@@ -204,7 +209,8 @@ SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "stream_restart": _restart(),
     "telemetry_preview": f"""WITH {TELEMETRY}
 SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction
-FROM telemetry ORDER BY signal_ts LIMIT {PREVIEW_ROWS}""",
+FROM telemetry
+ORDER BY signal_ts, active_power, wind_speed, theoretical_curve, wind_direction LIMIT {PREVIEW_ROWS}""",
     "telemetry_day": f"""WITH {TELEMETRY}
 SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction
 FROM telemetry WHERE signal_date = {_DAY}""",

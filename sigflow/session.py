@@ -7,6 +7,7 @@ setting is missing (a bare local session, as in tests) do we create one.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -75,10 +76,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def file_signature(spark: SparkSession, path: str) -> str | None:
-    """``size:modification-time`` of a file or folder entry through the
-    cluster file system, or None when it does not exist."""
+    """A hash of the names, sizes and modification times of a file, or of all
+    files below a folder, through the cluster file system; None when it does
+    not exist."""
     fs, hpath = _hadoop_path(spark, path)
     if not fs.exists(hpath):
         return None
-    status = fs.getFileStatus(hpath)
-    return f"{status.getLen()}:{status.getModificationTime()}"
+    found, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:32]

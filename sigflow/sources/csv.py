@@ -8,10 +8,19 @@ from pyspark.sql.types import StructType
 from sigflow.schemas import RAW_SCHEMA
 
 
+#: Deliveries: ``.csv`` in any letter case, plain or compressed. Other names
+#: (a sibling ``x.csv.old``, a ``_SUCCESS`` marker) are not deliveries; pass
+#: ``glob=None`` to read every file.
+CSV_GLOB = "*.[cC][sS][vV]{,.gz,.GZ,.bz2,.zst,.lz4,.deflate}"
+
+#: A stream takes a file whatever its age: backfills and copies keep their
+#: old modification time. The list of files already read is kept in full.
+MAX_FILE_AGE = "36500d"
+
+
 def _csv_options(reader, glob: str | None):
     reader = reader.option("header", True).option("enforceSchema", False)
     if glob:
-        # Only matching file names are read: a sibling "x.csv.old" is skipped.
         reader = reader.option("pathGlobFilter", glob)
     return reader
 
@@ -21,23 +30,18 @@ def read_raw_csv(
     path: str,
     schema: StructType | None = RAW_SCHEMA,
     infer_schema: bool = False,
-    glob: str | None = "*.csv",
-    sampling_ratio: float | None = None,
+    glob: str | None = CSV_GLOB,
 ) -> DataFrame:
     """Batch CSV scan with a header row.
 
-    A fixed schema is the default: inference costs an extra pass over the
-    data. With ``infer_schema``, ``sampling_ratio`` limits that pass to a
-    fraction of the rows (all rows are still read by the query itself; a
-    rare value outside the sample can make the inferred type too narrow).
+    A fixed schema is the default: inference costs an extra pass over all of
+    the data.
     ``enforceSchema=false`` checks the header against the schema, so a file
     whose columns are in another order fails instead of being misread.
     """
     reader = _csv_options(spark.read, glob)
     if infer_schema:
         reader = reader.option("inferSchema", True)
-        if sampling_ratio:
-            reader = reader.option("samplingRatio", float(sampling_ratio))
     elif schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -47,13 +51,13 @@ def stream_raw_csv(
     spark: SparkSession,
     path: str,
     schema: StructType = RAW_SCHEMA,
-    glob: str | None = "*.csv",
+    glob: str | None = CSV_GLOB,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Unbounded CSV directory source; a stream always needs a fixed schema
     (pass ``read_raw_csv(..., infer_schema=True).schema`` to reuse an
     inferred one)."""
-    reader = _csv_options(spark.readStream, glob).schema(schema)
+    reader = _csv_options(spark.readStream, glob).schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.csv(path)

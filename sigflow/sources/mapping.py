@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigflow.schemas import MAPPING_SCHEMA, SIGNAL_MAPPING, SIGNAL_MAPPING_JSON
@@ -32,9 +32,21 @@ def mapping_from_json(spark: SparkSession, text: str = SIGNAL_MAPPING_JSON) -> D
     with ``array_distinct``, so the result has one row per name without a
     shuffle; a name mapped two different ways fails the query.
     """
-    entries = F.array_distinct(F.from_json(F.lit(text), MAPPING_ARRAY_TYPE))
+    return spark.range(1).select(F.inline(_checked_entries(F.lit(text))))
+
+
+def mapping_from_files(spark: SparkSession, path: str) -> DataFrame:
+    """Dimension from all JSON arrays below ``path`` (one per file), read by
+    the executors; one row per name, a name mapped two ways fails."""
+    files = spark.read.text(path, wholetext=True)
+    return unique_mapping(files.select(F.inline(_checked_entries(F.col("value")))))
+
+
+def _checked_entries(text: Column) -> Column:
+    """The distinct entries of a JSON array, or an error."""
+    entries = F.array_distinct(F.from_json(text, MAPPING_ARRAY_TYPE))
     names = F.transform(entries, lambda e: e["sig_name"])
-    checked = (
+    return (
         F.when(
             entries.isNull(),
             F.raise_error(F.lit("mapping JSON is not an array of {sig_name, sig_mapping_name}")).cast(
@@ -44,9 +56,11 @@ def mapping_from_json(spark: SparkSession, text: str = SIGNAL_MAPPING_JSON) -> D
         .when(F.size(F.array_distinct(names)) == F.size(entries), entries)
         .otherwise(F.raise_error(F.lit("mapping JSON maps a sig_name two ways")).cast(MAPPING_ARRAY_TYPE))
     )
-    return spark.range(1).select(F.inline(checked))
 
 
 def unique_mapping(mapping: DataFrame) -> DataFrame:
-    """One row per ``sig_name``."""
-    return mapping.groupBy("sig_name").agg(F.min("sig_mapping_name").alias("sig_mapping_name"))
+    """One row per ``sig_name``; a name mapped two ways fails the query."""
+    name = F.col("sig_mapping_name")
+    error = F.raise_error(F.concat(F.lit("mapped two ways: "), F.first("sig_name"))).cast("string")
+    one = F.when(F.min(name).eqNullSafe(F.max(name)), F.min(name)).otherwise(error)
+    return mapping.groupBy("sig_name").agg(one.alias("sig_mapping_name"))

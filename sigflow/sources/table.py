@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigflow.session import path_exists
+
 
 @dataclass(frozen=True)
 class TableConfig:
@@ -56,6 +58,9 @@ def write_table(
     by bytes, so a few dense files next to many tiny ones end up in one
     split. Prefer ``rebalance`` for tables that will be scanned in full.
     """
+    if path_exists(df.sparkSession, f"{cfg.path}/_spark_metadata"):
+        # Readers of a stream's folder see only what its log lists.
+        raise ValueError(f"{cfg.path} is written by a stream: a batch write there would stay invisible")
     if rebalance:
         keys = list(cfg.partition_by)
         df = df.hint("rebalance", *keys) if keys else df.hint("rebalance")
@@ -72,12 +77,12 @@ def write_table(
     writer.save(cfg.path)
 
 
-def spread_by_partition(df: DataFrame, keys: Sequence[str], files_per_partition: int, salt_col: str) -> DataFrame:
+def spread_by_partition(df: DataFrame, keys: Sequence[str], files_per_partition: int) -> DataFrame:
     """Shuffle so that each value of ``keys`` goes to at most
-    ``files_per_partition`` tasks: hash of the keys plus a salt taken from
-    ``salt_col``. A key holding a large share of the rows is still split
-    over that many tasks."""
-    salt = F.pmod(F.xxhash64(salt_col), F.lit(int(files_per_partition)))
+    ``files_per_partition`` tasks: hash of the keys plus a salt drawn per
+    row (seeded: a task that runs again deals alike). Rows of a key are dealt evenly over that many
+    tasks, even if they are all alike (one timestamp, or none)."""
+    salt = F.floor(F.rand(0) * int(files_per_partition))
     return df.repartition(*[F.col(k) for k in keys], salt)
 
 
@@ -88,7 +93,6 @@ def stream_to_table(
     available_now: bool = True,
     processing_time: str | None = None,
     files_per_partition: int | None = None,
-    salt_col: str = "signal_ts",
 ) -> StreamingQuery:
     """Append-mode streaming sink with its own checkpoint.
 
@@ -103,7 +107,7 @@ def stream_to_table(
     so this is the bound to use instead of a rebalance.
     """
     if files_per_partition and cfg.partition_by:
-        df = spread_by_partition(df, cfg.partition_by, files_per_partition, salt_col)
+        df = spread_by_partition(df, cfg.partition_by, files_per_partition)
     writer = (
         df.writeStream.format(cfg.format)
         .outputMode("append")

@@ -3,7 +3,7 @@ folder of JSON-lines files written by a streaming file sink.
 
 Both forms carry one JSON message per record in a ``value`` string column.
 The file form is read from the start on every new query (like
-``startingOffsets=earliest``) and only committed files are visible, since
+``startingOffsets=earliest``), whatever the files' age, and only committed files are visible, since
 readers of a file-sink folder go through its ``_spark_metadata`` log.
 """
 
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigflow.sources.csv import MAX_FILE_AGE
+
 
 @dataclass(frozen=True)
 class TopicConfig:
@@ -51,7 +53,7 @@ def read_topic(spark: SparkSession, cfg: TopicConfig, streaming: bool = True) ->
             reader = reader.option("maxOffsetsPerTrigger", int(cfg.max_offsets_per_trigger))
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if streaming:
-        reader = spark.readStream
+        reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
         if cfg.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", int(cfg.max_files_per_trigger))
         return reader.text(cfg.path)

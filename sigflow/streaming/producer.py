@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from sigflow.operators.ingest import encode_messages
 from sigflow.schemas import RAW_SCHEMA
-from sigflow.sources.csv import stream_raw_csv
+from sigflow.sources.csv import CSV_GLOB, stream_raw_csv
 from sigflow.sources.topic import TopicConfig, write_topic
 
 
@@ -18,7 +18,7 @@ def publish_csv(
     topic: TopicConfig,
     checkpoint: str,
     schema: StructType = RAW_SCHEMA,
-    glob: str | None = "*.csv",
+    glob: str | None = CSV_GLOB,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,

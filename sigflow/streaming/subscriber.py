@@ -12,6 +12,9 @@ from sigflow.sources.table import TableConfig, stream_to_table
 from sigflow.sources.topic import TopicConfig, read_topic
 
 
+_READING = "_reading"
+
+
 def telemetry_stream(
     spark: SparkSession,
     topic: TopicConfig,
@@ -22,8 +25,8 @@ def telemetry_stream(
 
     Delivery into the topic is at least once, and the reference keeps
     replayed duplicates. ``dedupe_within`` (e.g. ``"1 hour"``) opts into
-    dropping repeated ``signal_ts`` values that arrive within that delay of
-    each other, with state bounded by the watermark. Rows whose time did not
+    dropping repeated readings (same time and values) that arrive within that
+    delay of each other, with state bounded by the watermark. Rows whose time did not
     parse are not de-duplicated (they share no reading time) and pass
     through unchanged.
 
@@ -38,7 +41,9 @@ def telemetry_stream(
     rows = shape_telemetry(decode_messages(read_topic(spark, topic, streaming=True)), fmt)
     if dedupe_within:
         timed = rows.filter(F.col("signal_ts").isNotNull())
-        timed = timed.withWatermark("signal_ts", dedupe_within).dropDuplicatesWithinWatermark(["signal_ts"])
+        # A map can't be a key; its JSON text can.
+        timed = timed.withColumn(_READING, F.to_json("signals")).withWatermark("signal_ts", dedupe_within)
+        timed = timed.dropDuplicatesWithinWatermark(["signal_ts", _READING]).drop(_READING)
         rows = timed.unionByName(rows.filter(F.col("signal_ts").isNull()))
     return rows
 

@@ -102,17 +102,6 @@ def test_mapping_json_conflict_fails(spark):
     assert mapping_from_json(spark, ok).count() == 1
 
 
-def test_infer_schema_with_sampling(spark):
-    from conftest import SF001
-    from sigflow.plans.staging import raw_csv_folder
-
-    folder = raw_csv_folder(spark, SF001)
-    full = read_raw_csv(spark, folder, infer_schema=True)
-    sampled = read_raw_csv(spark, folder, infer_schema=True, sampling_ratio=0.1)
-    assert [(f.name, f.dataType) for f in sampled.schema] == [(f.name, f.dataType) for f in full.schema]
-    assert sampled.count() == full.count() == 1000
-
-
 def test_mapping_json_malformed_fails_clearly(spark):
     with pytest.raises(Exception, match="not an array"):
         mapping_from_json(spark, "{not json").collect()
