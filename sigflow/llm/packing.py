@@ -33,7 +33,7 @@ NODES = 4_000
 FILLINGS = 4
 #: Remembered units: characters of each, number.
 UNIT_CHARS = 40
-UNITS = 600_000
+UNITS = 900_000
 #: Characters whose units are encoded at a time.
 CHUNK = 2 << 20
 
@@ -69,7 +69,7 @@ class UnitEncoder:
         known = self.known
         if len(known) > UNITS:
             known.clear()
-        new = list({u for units in split for u in units if u not in known})
+        new = list(set().union(*split) - known.keys())
         long = []
         for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             known[u] = np.array(e.ids, dtype="<u4").tobytes()
