@@ -77,11 +77,11 @@ class _WordHashes(dict):
         return value
 
 
-def _hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the text's words, A-Z in lower case, and of its
+def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of a UTF-8 text's words, A-Z in lower case, and of its
     n-grams in their order; with fewer words the whole sequence is the only
     n-gram."""
-    words = text.encode().lower().split()
+    words = text.lower().split()
     known = worker_state("word-hashes", _WordHashes)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     if len(known) > REMEMBERED:
@@ -290,7 +290,7 @@ def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
             sizes, sigs, many = [], [], 0
             none = [None] * len(b["t"])
             for t in b["t"]:
-                h, mixed = _hashes(t)
+                h, mixed = _hashes(t.encode())
                 s = _distinct(mixed)
                 sizes.append(len(s))
                 sigs.append(signature(s) if len(s) else None)
@@ -357,7 +357,7 @@ def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
 
         for b in batches:
             for t in b["t"]:
-                h, mixed = _hashes(t)
+                h, mixed = _hashes(t.encode())
                 s = _distinct(mixed)
                 if not len(s) or (node := node_of(signature(s), len(s))) in seen:
                     continue
@@ -434,6 +434,17 @@ def _candidates(groups: DataFrame, sized: DataFrame) -> DataFrame:
     return member.filter(kept).select("leader", "rep", "node", "n").distinct()
 
 
+def _packed_words(rows: DataFrame) -> DataFrame:
+    """(id, words): each text's words, compressed for the two shuffles that
+    carry them and for the blocks that hold them."""
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        for b in batches:
+            yield {"id": b["id"], "words": [zlib.compress(b" ".join(t.encode().lower().split()), 1) for t in b["t"]]}
+
+    return map_rows(rows, run, "id bigint, words binary")
+
+
 _BLOCK = ["leader", "block", "walk"]
 
 
@@ -448,8 +459,8 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
         def links() -> dict | None:
             places: dict[bytes, int] = {}
             sets, members, seeds, reps = [], [], [], []
-            for rep, node, seed, member, text in block:
-                h, mixed = _hashes(text)
+            for rep, node, seed, member, words in block:
+                h, mixed = _hashes(zlib.decompress(words))
                 s = _distinct(mixed)
                 sig = signature(s)
                 # Another row with this id may have another text; the leader
@@ -473,12 +484,12 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
                     if len(block) > 1 and (out := links()):
                         yield out
                     key, block = own, []
-                block.append((b["rep"][i], b["node"][i], b["seed"][i], b["member"][i], b["t"][i]))
+                block.append((b["rep"][i], b["node"][i], b["seed"][i], b["member"][i], b["words"][i]))
         if len(block) > 1 and (out := links()):
             yield out
 
     # Both sides grow with the input: never broadcast, whatever its size now.
-    texts = rows.join(assigned.hint("merge"), rows["id"] == assigned["rep"]).drop("id")
+    texts = _packed_words(rows).join(assigned.hint("merge"), F.col("id") == F.col("rep")).drop("id")
     dealt = texts.repartition("leader", "block", "walk").sortWithinPartitions(*_BLOCK, "rep")
     return map_rows(dealt, run, "a long, b long")
 
