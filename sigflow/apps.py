@@ -50,7 +50,8 @@ def _table(args) -> TableConfig:
 def _save(df: DataFrame, path: str, show: bool, order_by=None) -> None:
     df.write.mode("overwrite").parquet(path)
     if show:
-        preview(df, order_by or df.columns[:2], 20).show(truncate=False)
+        saved = df.sparkSession.read.parquet(path)
+        preview(saved, order_by or df.columns[:2], 20).show(truncate=False)
 
 
 def run_produce(spark: SparkSession, args) -> None:
@@ -102,8 +103,13 @@ def run_analyze(spark: SparkSession, args) -> None:
 
 def run_predict(spark: SparkSession, args) -> None:
     telemetry = read_table(spark, _table(args))
+    # The map is decoded once; the passes below read typed columns.
+    typed = power_features(telemetry)
+    typed.write.mode("overwrite").partitionBy("signal_date").parquet(f"{args.out}/features")
+    features = spark.read.schema(typed.schema).parquet(f"{args.out}/features").select(*typed.columns)
     run = train_and_evaluate(
         telemetry,
+        features=features,
         split=args.split,
         exclude_day=args.day if args.holdout_day else None,
         persist=args.persist,
@@ -118,7 +124,7 @@ def run_predict(spark: SparkSession, args) -> None:
         run.model.write().overwrite().save(f"{args.out}/model")
     else:
         run.model.save(spark, f"{args.out}/model")
-    day = predict_day(run.model, power_features(telemetry), args.day)
+    day = predict_day(run.model, features, args.day)
     _save(day, f"{args.out}/predictions_{args.day}", args.show, ["signal_ts"])
     if args.show:
         print(json.dumps(spark.read.parquet(f"{args.out}/test_metrics").first().asDict()))
@@ -149,7 +155,7 @@ def parser() -> argparse.ArgumentParser:
     stream_args(sp)
 
     sp = sub.add_parser("subscribe")
-    sp.add_argument("--dedupe-within", help="drop repeated timestamps within this delay")
+    sp.add_argument("--dedupe-within", help="drop repeated readings within this delay")
     sp.add_argument("--files-per-date", type=int, help="at most this many files per date per batch (one shuffle)")
     sp.add_argument("--max-per-trigger", type=int,
                     help="bound each batch: topic files (file topic) or offsets (Kafka)")

@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from sigflow.functions.signals import signal_value
 from sigflow.schemas import FEATURE_COLUMNS, LABEL_COLUMN, SIGNAL_KEYS, TYPED_COLUMNS
 
+#: Directions of the features with less than this share of the largest
+#: variance (after scaling) count as rounding errors.
+COLLINEAR = 1e-12
+
 
 def typed_signals(telemetry: DataFrame) -> DataFrame:
     """Map lookups -> one double column per signal (null when missing or
@@ -74,10 +78,14 @@ def features_as_array(assembled: DataFrame) -> DataFrame:
 
 def split_bucket(key: str = "signal_ts") -> Column:
     """Four hex digits of md5 over the key's text: a uniform bucket in
-    [0000, ffff] that depends only on the row, not on partition layout.
-    The text is the plain cast (``2024-01-01 00:00:07.1795``), which costs
-    less than a pattern format and reads the same in other engines."""
-    return F.substring(F.md5(F.col(key).cast("string")), 1, 4)
+    [0000, ffff] that depends only on the row, not on partition layout or
+    the session's time zone. The text of a time without zone is the plain
+    cast (``2024-01-01 00:00:07.1795``), which costs less than a pattern
+    format and reads the same in other engines; a ``timestamp`` is an
+    instant, whose text depends on the zone, so its microseconds are used."""
+    instant = F.unix_micros(F.col(key).cast("timestamp")).cast("string")
+    text = F.when(F.typeof(F.col(key)) == "timestamp", instant).otherwise(F.col(key).cast("string"))
+    return F.substring(F.md5(text), 1, 4)
 
 
 def split_threshold(fraction: float) -> str:
@@ -197,8 +205,9 @@ def fit_least_squares(
     few numbers reach the driver, which solves the small system
     ``Cov(X, X) w = Cov(X, y)``, intercept ``mean(y) - w . mean(X)``. This
     is the solution LinearRegression's normal-equation solver gives without
-    regularisation, at a fraction of the per-row cost. A singular system
-    (a constant feature) gets the minimum-norm solution.
+    regularisation, at a fraction of the per-row cost. The system is scaled
+    to correlations first; a constant feature gets the weight 0, and collinear
+    ones the solution of least norm in the scaled weights.
     """
     import numpy as np
 
@@ -216,10 +225,9 @@ def fit_least_squares(
         raise ValueError("no training rows")
     a = np.array([[row[f"c{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], dtype=float)
     b = np.array([row[f"c{i}_{k}"] for i in range(k)], dtype=float)
-    try:
-        w = np.linalg.solve(a, b)
-    except np.linalg.LinAlgError:
-        w = np.linalg.lstsq(a, b, rcond=None)[0]
+    scale = np.sqrt(np.diag(a))
+    scale[scale == 0] = 1.0
+    w = np.linalg.lstsq(a / np.outer(scale, scale), b / scale, rcond=COLLINEAR)[0] / scale
     intercept = row[f"m{k}"] - float(np.dot(w, [row[f"m{i}"] for i in range(k)]))
     return LeastSquaresModel(tuple(float(x) for x in w), float(intercept), tuple(feature_cols))
 
@@ -346,9 +354,13 @@ def train_and_evaluate(
     persist: bool = False,
     engine: str = "moments",
     split_hash: str = "xxhash64",
+    features: DataFrame | None = None,
 ) -> PowerModelRun:
     """Features -> split -> fit -> score the held-out rows.
 
+    ``features`` are the rows of ``power_features(telemetry)``, if they are
+    there already (a written table, say).
+
     ``engine="moments"`` fits from one pass of covariance aggregates and
     scores with a column expression (``fit_least_squares``);
     ``engine="ml"`` assembles vectors and uses ``LinearRegression`` (a
@@ -370,7 +382,8 @@ def train_and_evaluate(
     """
     if engine not in ("moments", "ml"):
         raise ValueError(f"unknown engine {engine!r}")
-    features = power_features(telemetry)
+    if features is None:
+        features = power_features(telemetry)
     if persist:
         features = features.persist(StorageLevel.MEMORY_AND_DISK)
     if split == "hash":

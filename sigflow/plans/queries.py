@@ -29,10 +29,12 @@ from sigflow.operators.model import (
     assemble,
     chart_bounds,
     coefficients_frame,
+    evaluate_with_evaluator,
     features_as_array,
     is_train,
     power_features,
     predict_day,
+    random_split,
     regression_metrics,
     train_and_evaluate,
     typed_signals,
@@ -324,6 +326,35 @@ def model_metrics_random_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regression_metrics(_model_run(spark, sf_dir, split="random", engine="ml").predictions)
 
 
+def model_metrics_evaluator_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M7 through ``RegressionEvaluator``."""
+    found = evaluate_with_evaluator(_model_run(spark, sf_dir, engine="ml").predictions)
+    return _round(spark.createDataFrame([found], "rmse double, r2 double"), METRIC_DECIMALS)
+
+
+def random_split_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: the two sides of randomSplit hold every row once."""
+    rows = power_features(load_telemetry(spark, sf_dir))
+    train, test = random_split(rows, (TRAIN_FRACTION, 1 - TRAIN_FRACTION))
+    sides = train.unionByName(test)
+    # Same number of rows and none left over: the same rows, as often.
+    lost = rows.exceptAll(sides).agg(F.count(F.lit(1)).alias("n_lost"))
+    sizes = [df.agg(F.count(F.lit(1)).alias(n)) for df, n in ((rows, "n_rows"), (sides, "n_both_sides"))]
+    out = sizes[0].withColumn("one", F.lit(1))
+    for df in (sizes[1], lost):
+        out = out.join(df.withColumn("one", F.lit(1)), "one")
+    return out.drop("one")
+
+
+def ingested_power_model_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages with the model: CSV -> topic -> table -> fit. The split
+    hashes the wall clock that the ingest parsed."""
+    telemetry = read_table(spark, _ingested_table(spark, sf_dir, "ingested-model"))
+    telemetry = telemetry.withColumn("signal_ts", F.col("signal_ts").cast("timestamp_ntz"))
+    run = train_and_evaluate(telemetry, train_fraction=TRAIN_FRACTION, split_hash=SPLIT_HASH)
+    return _round(coefficients_frame(run.model, spark), COEF_DECIMALS)
+
+
 def test_predictions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9 / K5 / O1: held-out actual vs predicted, ordered by time."""
     series = actual_vs_predicted(_model_run(spark, sf_dir).predictions)
@@ -379,6 +410,9 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics_q,
     "model_metrics_moments": model_metrics_moments_q,
     "model_metrics_random_split": model_metrics_random_split_q,
+    "model_metrics_evaluator": model_metrics_evaluator_q,
+    "random_split_counts": random_split_counts_q,
+    "ingested_power_model": ingested_power_model_q,
     "test_predictions": test_predictions_q,
     "prediction_bounds": prediction_bounds_q,
     "predict_day": predict_day_q,

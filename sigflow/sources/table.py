@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigflow.schemas import TELEMETRY_SCHEMA
 from sigflow.session import path_exists
 
 
@@ -24,8 +25,17 @@ class TableConfig:
 
 
 def read_table(spark: SparkSession, cfg: TableConfig) -> DataFrame:
-    """Batch scan of the table (also what a stream has committed so far)."""
-    return spark.read.format(cfg.format).load(cfg.path)
+    """Batch scan of the table (also what a stream has committed so far).
+
+    A telemetry table comes in the column order of D4, other columns after
+    it. Its date is a date even where all are null (a table of malformed
+    messages only)."""
+    rows = spark.read.format(cfg.format).load(cfg.path)
+    first = [f.name for f in TELEMETRY_SCHEMA]
+    if not set(first) <= set(rows.columns):
+        return rows
+    date = F.col("signal_date").cast("date").alias("signal_date")
+    return rows.select(date, *first[1:], *[c for c in rows.columns if c not in first])
 
 
 def write_table(

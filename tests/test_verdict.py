@@ -6,12 +6,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from sigflow.operators.model import evaluate_with_evaluator, evaluation_summary, regression_metrics
-from sigflow.schemas import LABEL_COLUMN, RAW_SCHEMA
+from sigflow.operators.ingest import shape_telemetry
+from sigflow.operators.model import evaluate_with_evaluator, evaluation_summary, fit_least_squares, is_train, regression_metrics
+from sigflow.schemas import LABEL_COLUMN, RAW_SCHEMA, TELEMETRY_SCHEMA, same_fields
 from sigflow.session import file_signature
 from sigflow.sources.csv import read_raw_csv
 from sigflow.sources.mapping import mapping_from_files, unique_mapping
-from sigflow.sources.table import TableConfig, spread_by_partition, write_table
+from sigflow.sources.table import TableConfig, read_table, spread_by_partition, write_table
 from sigflow.sources.topic import TopicConfig, read_topic
 from sigflow.streaming import publish_csv
 
@@ -81,6 +82,36 @@ def test_alike_rows_spread_over_tasks(spark):
     assert len(parts) > 2 and max(r["count"] for r in parts) < 8_000
 
 
+def test_split_of_instants_is_the_same_in_two_time_zones(spark):
+    rows = spark.range(200).select("id", (F.timestamp_seconds(F.col("id") * 600)).alias("signal_ts"))
+    zone, sides = spark.conf.get("spark.sql.session.timeZone"), []
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            sides.append({r.id for r in rows.filter(is_train(0.8, split_hash="md5")).collect()})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sides[0] == sides[1] and 120 < len(sides[0]) < 190
+
+
+def test_collinear_features_share_the_weight(spark):
+    rows = spark.range(400).select((F.col("id") % 20 / 2.0).alias("wind_speed"), (F.col("id") * 7 % 90).cast("double").alias("wind_direction"))
+    rows = rows.withColumn("theoretical_curve", 0.1 * F.col("wind_speed") + 0.3)
+    rows = rows.withColumn(LABEL_COLUMN, 90.0 * F.col("wind_speed") - F.col("wind_direction") + 5)
+    model = fit_least_squares(rows)
+    assert model.coefficients == pytest.approx((45.0, 450.0, -1.0), rel=1e-6)
+    got = regression_metrics(model.transform(rows)).first()
+    assert got.rmse == pytest.approx(0, abs=1e-6)
+
+
+def test_table_of_malformed_messages_has_the_telemetry_schema(spark, scratch):
+    rows = spark.createDataFrame([(None,) * len(RAW_SCHEMA)], RAW_SCHEMA)
+    cfg = TableConfig(f"{scratch}/malformed")
+    write_table(shape_telemetry(rows), cfg)
+    got = read_table(spark, cfg)
+    assert same_fields(got.schema, TELEMETRY_SCHEMA) and got.count() == 1
+
+
 def test_signature_sees_files_inside_a_folder(spark, scratch):
     os.makedirs(f"{scratch}/d/p=1")
     put(f"{scratch}/d/p=1/a.csv")
