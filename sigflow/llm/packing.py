@@ -6,11 +6,15 @@ each length. The plan needs only that histogram, which has at most
 sequence) and how often each is used. Pieces of one length are alike, so each
 piece then finds its sequence by its rank among them.
 
-The plan starts from best-fit decreasing. While that uses more sequences than
-the lower bound, a branch-and-bound search completes the bin of the largest
-remaining piece: undominated fillings in order of waste, each applied as often
-as the counts allow, branches dropped once their waste exceeds what a better
-plan may waste. The search has a budget of nodes; the best plan found counts.
+The plan starts from best-fit decreasing and a short search like the last step.
+If that uses more sequences than the lower bound, the linear relaxation over all fillings (column generation, a
+knapsack by dynamic programming finds the next filling) gives prices of the
+lengths, a stronger bound and, rounded, a better plan. While that is not at
+the bound, a branch-and-bound search completes the bin of the largest
+remaining piece: all undominated fillings in order of waste, each as often as
+the counts allow and then fewer times, branches dropped by their waste and by
+the prices of what is left. The relaxation has a budget of pivots, the search
+one of nodes and enumerated fillings; the best plan found counts.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 from pyspark import TaskContext
@@ -28,9 +34,15 @@ from pyspark.sql import functions as F
 from sigflow.llm.byte_bpe import MAYBE_SPACE
 from sigflow.llm.common import chunks_by_size, map_rows, staged, text_or_empty, worker_state
 
-#: Search budget: nodes in all, fillings tried per node.
+#: Search budget: nodes, and fillings enumerated, both in all. Fillings of a
+#: node are listed this many first, four times as many when those are tried.
 NODES = 4_000
+LISTED = 200_000
 FILLINGS = 4
+#: Nodes of a first search without the relaxation's prices.
+DIVE = 1_000
+#: Pivots of the linear relaxations, in all.
+PIVOTS = 4_000
 #: Remembered units: characters of each, number.
 UNIT_CHARS = 40
 UNITS = 900_000
@@ -171,19 +183,19 @@ def _reach(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:
     return sums
 
 
-def fillings(counts: dict[int, int], room: int, most: int) -> list[tuple[int, ...]]:
-    """Up to ``most`` undominated fillings of ``room``, least waste first,
-    larger pieces first among equals."""
+def fillings(counts: dict[int, int], room: int, most: int, left: list[int]) -> list[tuple[int, ...]]:
+    """The first ``most`` undominated fillings of ``room``, least waste first,
+    larger pieces first among equals; fewer only if there are no more or
+    ``left`` (fillings that may still be enumerated) is used up."""
     lengths = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
     if not lengths:
         return [()]
     sums = _reach(lengths, counts, room)
     found: list[tuple[int, ...]] = []
-    seen: list[tuple[int, ...]] = []
 
     def fill(i: int, target: int, chosen: tuple[int, ...]) -> None:
         if not target:
-            seen.append(chosen)
+            left[0] -= 1
             if not _dominated(chosen, counts, room):
                 found.append(chosen)
             return
@@ -192,16 +204,16 @@ def fillings(counts: dict[int, int], room: int, most: int) -> list[tuple[int, ..
             for k in range(min(counts[n], target // n), 0, -1):
                 if sums[i + 1] >> (target - k * n) & 1:
                     fill(i + 1, target - k * n, chosen + (n,) * k)
-                if len(found) >= most or len(seen) >= 16 * most:
+                if len(found) >= most or left[0] <= 0:
                     return
             i += 1
 
     for target in range(room, 0, -1):
         if sums[0] >> target & 1:
             fill(0, target, ())
-            if len(found) >= most or len(seen) >= 16 * most:
+            if len(found) >= most or left[0] <= 0:
                 break
-    return found or seen[:1]
+    return found
 
 
 def _dominated(chosen: tuple[int, ...], counts: dict[int, int], room: int) -> bool:
@@ -217,43 +229,192 @@ def _dominated(chosen: tuple[int, ...], counts: dict[int, int], room: int) -> bo
     return any(s < n <= s + waste or (s and n == s and s not in used) for s in sums for n in free)
 
 
-def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int = NODES) -> Plan:
-    """Branch and bound over the completions of the largest piece's bin."""
+def _fullest(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float | int, np.ndarray]:
+    """The greatest worth of a filling, and how often it has each length."""
+    order = np.argsort(lengths)
+    size, value = lengths[order], worth[order]
+    best = np.zeros(capacity + 1, worth.dtype)
+    last = np.full(capacity + 1, -1)
+    fits = np.searchsorted(size, np.arange(capacity + 1), side="right")
+    for c in range(int(size[0]), capacity + 1):
+        k = fits[c]
+        with_ = best[c - size[:k]] + value[:k]
+        i = int(with_.argmax())
+        best[c], last[c] = (with_[i], i) if with_[i] > best[c - 1] else (best[c - 1], -1)
+    times, c = np.zeros(len(lengths), np.int64), capacity
+    while c > 0:
+        if last[c] < 0:
+            c -= 1
+        else:
+            times[order[last[c]]] += 1
+            c -= int(size[last[c]])
+    return best[capacity].item(), times
+
+
+@dataclass(frozen=True)
+class Prices:
+    """Whole-number prices of the lengths; no filling is worth more than
+    ``most``, so pieces need their worth over ``most`` sequences."""
+
+    of: dict[int, int]
+    most: int
+
+    def bound(self, counts: dict[int, int]) -> int:
+        return -(-sum(self.of.get(n, 0) * c for n, c in counts.items()) // self.most)
+
+
+def _first_basis(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A filling per length (columns, lengths falling) and how often each is
+    used: each the least waste with the largest length left, used until one
+    of its lengths is spent and not used again."""
+    place = {n: i for i, n in enumerate(sorted(counts, reverse=True))}
+    left = {n: float(counts[n]) for n in place}
+    basis, uses = np.diag([capacity // n for n in place]), np.zeros(len(place))
+    while left:
+        largest = next(iter(left))
+        any_ = {n: capacity for n in left}
+        each = Counter((largest, *(fillings(any_, capacity - largest, 1, [LISTED]) or [()])[0]))
+        spent = min(each, key=lambda n: left[n] / each[n])
+        times = left.pop(spent) / each[spent]
+        basis[:, place[spent]] = 0
+        for n, k in each.items():
+            basis[place[n], place[spent]] = k
+            if n != spent:
+                left[n] = max(0.0, left[n] - k * times)
+        uses[place[spent]] = times
+    return basis, uses
+
+
+def relaxed(counts: dict[int, int], capacity: int, pivots: list[int], enough: int) -> tuple[list[tuple[tuple[int, ...], float]], Prices]:
+    """Fillings and how often the linear relaxation uses each, and prices.
+    The simplex method over all fillings, the best one entering, until the
+    bound is ``enough``; stopped by the budget, the uses are feasible and the
+    prices valid all the same."""
+    lengths = np.array(sorted(counts, reverse=True), dtype=np.int64)
+    need = np.array([counts[int(n)] for n in lengths], dtype=float)
+    basis, uses = _first_basis(counts, capacity)
+    inverse = np.linalg.inv(basis)
+    best, kept = 0.0, inverse.sum(axis=0)
+    for step in count(1):
+        price = inverse.sum(axis=0)
+        worth, times = _fullest(lengths, price.clip(0), capacity)
+        value = float(price.clip(0) @ need) / max(worth, 1.0)
+        if value > best:
+            best, kept = value, price
+        # No filling improves, or the bound has reached the uses.
+        if worth <= 1 + 1e-9 or np.ceil(best - 1e-3) >= min(enough, uses.sum() - 1e-6) or pivots[0] <= 0:
+            break
+        pivots[0] -= 1
+        change = inverse @ times
+        ratio = np.where(change > 1e-9, uses / np.where(change > 1e-9, change, 1), np.inf)
+        out = int(ratio.argmin())
+        basis[:, out] = times
+        if step % 200:
+            row = inverse[out] / change[out]
+            inverse -= np.outer(change, row)
+            inverse[out] = row
+        else:
+            inverse = np.linalg.inv(basis)
+        uses = (uses - ratio[out] * change).clip(0)
+        uses[out] = ratio[out]
+    whole = np.floor(kept.clip(0) * (1 << 30)).astype(np.int64)
+    prices = Prices(dict(zip(lengths.tolist(), whole.tolist(), strict=True)), max(1, _fullest(lengths, whole, capacity)[0]))
+    names = lengths.tolist()
+    used = [(tuple(n for n, k in zip(names, basis[:, j].tolist(), strict=True) for _ in range(k)), float(uses[j])) for j in range(len(names))]
+    return used, prices
+
+
+def round_relaxed(counts: dict[int, int], capacity: int, best: Plan, pivots: list[int]) -> tuple[Plan, Prices]:
+    """The relaxation's fillings as often as its uses rounded down; then those
+    nearest to one more; the relaxation of what is left goes on alike."""
+    first: Prices | None = None
+    left, plan = dict(counts), []
+    while left:
+        size = sum(c for _, c in best)
+        used, prices = relaxed(left, capacity, pivots, size - sum(c for _, c in plan))
+        first = first or prices
+        if first.bound(counts) >= size:
+            break
+        used.sort(key=lambda g: g[1] - int(g[1] + 1e-6), reverse=True)
+        taken = 0
+        for extra in (False, True):
+            for rank, (filling, n) in enumerate(used):
+                if extra and rank and n - int(n + 1e-6) < 0.75:
+                    break
+                each = Counter(filling)
+                times = min([1 if extra else int(n + 1e-6), *(left.get(x, 0) // k for x, k in each.items())])
+                if times > 0:
+                    plan.append((filling, times))
+                    taken += times
+                    for x, k in each.items():
+                        left[x] -= k * times
+        left = {n: c for n, c in left.items() if c}
+        rest = best_fit_decreasing(left, capacity)
+        if sum(c for _, c in plan) + sum(c for _, c in rest) < sum(c for _, c in best):
+            best = [*plan, *rest]
+        if not taken or pivots[0] <= 0:
+            break
+    return best, first
+
+
+def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int = NODES, prices: Prices | None = None) -> Plan:
+    """Branch and bound over the completions of the largest piece's bin. If it
+    ends within its budget, no plan uses fewer sequences."""
     total = sum(n * c for n, c in counts.items())
     size = sum(c for _, c in best)
-    left = [nodes]
-    # Each entry: counts, plan, waste so far, fillings still to try.
-    stack: list[list] = [[dict(counts), [], 0, None]]
-    while stack and left[0] > 0 and size > bound:
+    left, listed = [nodes], [LISTED]
+    # Fewest sequences with which the same pieces were left over.
+    known: dict[int, int] = {}
+    # Each entry: counts, plan, sequences, waste so far, (filling, times)
+    # still to try from the last on, fillings listed so far (None: all are).
+    stack: list[list] = [[dict(counts), [], 0, 0, [], 0]]
+    while stack and left[0] > 0 and listed[0] > 0 and size > bound:
         state = stack[-1]
-        now, plan, waste, tries = state
+        now, plan, n_used, waste, tries, n_listed = state
         allowed = (size - 1) * capacity - total
-        if tries is None:
-            left[0] -= 1
-            largest = max((n for n, c in now.items() if c), default=0)
+        if not tries:
+            if n_listed is None:
+                stack.pop()
+                continue
+            if not n_listed:
+                left[0] -= 1
+            largest = max(now, default=0)
             if not largest:
-                best, size = list(plan), sum(c for _, c in plan)
+                if n_used < size:
+                    best, size = list(plan), n_used
                 stack.pop()
                 continue
             now[largest] -= 1
-            state[3] = [(largest, *f) for f in fillings(now, capacity - largest, FILLINGS)][::-1]
+            most = 4 * n_listed or FILLINGS
+            found = fillings(now, capacity - largest, most, listed)
             now[largest] += 1
+            state[4] = [((largest, *f), None) for f in found[n_listed:]][::-1]
+            state[5] = most if len(found) >= most else None
             continue
-        if not tries:
-            stack.pop()
-            continue
-        filling = tries.pop()
+        filling, times = tries.pop()
         need = Counter(filling)
-        times = min(now[n] // k for n, k in need.items())
         lost = capacity - sum(filling)
-        if lost:
-            # Take what a better plan can afford, at least one.
-            times = max(1, min(times, (allowed - waste) // lost if allowed > waste else 1))
+        if waste + lost > allowed:
+            # Those listed later waste as much or more.
+            stack.pop()
+            continue
+        if times is None:
+            times = min(now[n] // k for n, k in need.items())
+            if lost:
+                times = min(times, (allowed - waste) // lost)
+        if times > 1:
+            tries.append((filling, times - 1))
         if waste + lost * times > allowed:
             continue
         after = {n: c - need.get(n, 0) * times for n, c in now.items()}
         after = {n: c for n, c in after.items() if c}
-        stack.append([after, [*plan, (filling, times)], waste + lost * times, None])
+        if prices and n_used + times + prices.bound(after) >= size:
+            continue
+        key = hash(frozenset(after.items()))
+        if known.get(key, size) <= n_used + times:
+            continue
+        known[key] = n_used + times
+        stack.append([after, [*plan, (filling, times)], n_used + times, waste + lost * times, [], 0])
     return best
 
 
@@ -262,7 +423,14 @@ def plan_sequences(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
     counts = {int(n): int(c) for n, c in counts.items() if c}
     best = best_fit_decreasing(counts, capacity)
     bound = lower_bound(counts, capacity)
-    return complete_bins(counts, capacity, best, bound, nodes) if sum(c for _, c in best) > bound else best
+    if sum(c for _, c in best) <= bound:
+        return best
+    best = complete_bins(counts, capacity, best, bound, min(nodes, DIVE))
+    if sum(c for _, c in best) <= bound:
+        return best
+    best, prices = round_relaxed(counts, capacity, best, [PIVOTS])
+    bound = max(bound, prices.bound(counts))
+    return complete_bins(counts, capacity, best, bound, nodes, prices) if sum(c for _, c in best) > bound else best
 
 
 def _slots(plan: Plan) -> dict[str, np.ndarray]:
