@@ -1,8 +1,9 @@
 """Licence scans by sentence rules.
 
 A text is cut into sentences, each normalised (lower case, letters, digits
-and single spaces only). Known sentences have identifiers; what is left of a
-text is the sequence of the identifiers it contains. Ordered rules match
+and single spaces only). A sentence ends at punctuation or a blank line; it
+may be wrapped, and it may also end with its line. Known sentences have
+identifiers; what is left of a text is the sequence of the identifiers it contains. Ordered rules match
 identifier sequences: a rule fits where its identifiers follow one another
 (anything unknown between them is skipped). The first rule that fits takes
 its identifiers; the remaining ones go to later rules.
@@ -40,10 +41,50 @@ SENTENCES = {
     "bsd.noEndorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse"
     " or promote products derived from this software without specific prior written permission",
     "asIs": "the software is provided as is without warranty of any kind express or implied",
+    "apache2.asf": "the asf licenses this file to you under the apache license version 2 0 the license",
+    "apache2.title": "apache license version 2 0 january 2004",
+    "gpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license"
+    " as published by the free software foundation",
+    "gpl.redistribute2later": "you can redistribute it and or modify it under the terms of the gnu general public license"
+    " as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl.either2": "either version 2 of the license or at your option any later version",
+    "gpl.either3": "either version 3 of the license or at your option any later version",
+    "gpl.version2": "version 2 of the license",
+    "gpl.redistribute2": "you can redistribute it and or modify it under the terms of the gnu general public license"
+    " version 2 as published by the free software foundation",
     "ccbync4.notice": "licensed under cc by nc 4 0",
     "ccby4.notice": "licensed under cc by 4 0",
 }
 
+# Other published forms of the sentences, by their text.
+VARIANTS = {
+    "licensed under the apache license version 2 0 the license": "apache2.notice",
+    "this file is licensed under the apache license version 2 0 the license": "apache2.notice",
+    "the asf licenses this file to you under the apache license version 2 0": "apache2.asf",
+    SENTENCES["mit.permission"] + " including without limitation the rights to use copy modify merge publish distribute"
+    " sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+    " subject to the following conditions": "mit.permission",
+    SENTENCES["mit.notice.keep"].replace("permission notice", "permission notice including the next paragraph"): "mit.notice.keep",
+    SENTENCES["asIs"] + " including but not limited to the warranties of merchantability fitness for a particular purpose"
+    " and noninfringement": "asIs",
+    SENTENCES["gpl.redistribute3"].replace("you can", "this program is free software you can", 1): "gpl.redistribute3",
+    SENTENCES["noWarrantyHope"] + " without even the implied warranty of merchantability or fitness for a particular purpose": "noWarrantyHope",
+}
+
+#: Sentences that name someone: identifier, its beginning, the whole.
+PATTERNS = (
+    (
+        "bsd.noEndorse",
+        "neither the name",
+        re.compile(
+            r"neither the names? (?:of )?.{1,200} nor the names of (?:its|their|any|the|other) ?.{0,80}contributors may be used to"
+            r" endorse or promote products derived from this software without specific prior written permission"
+        ).fullmatch,
+    ),
+)
+#: Pieces of lines that such a sentence may be wrapped into.
+WRAPPED = 12
+
 
 @dataclass(frozen=True)
 class LicenseRule:
@@ -56,6 +97,16 @@ RULES = (
     LicenseRule("Apache-2.0", ("apache2.notice", "apache2.mayNotUse", "apache2.obtainCopy", "asIsBasis")),
     LicenseRule("Apache-2.0", ("apache2.notice", "apache2.mayNotUse")),
     LicenseRule("Apache-2.0", ("apache2.notice",)),
+    LicenseRule("Apache-2.0", ("apache2.asf", "apache2.mayNotUse", "apache2.obtainCopy", "asIsBasis")),
+    LicenseRule("Apache-2.0", ("apache2.asf",)),
+    LicenseRule("Apache-2.0", ("apache2.title",)),
+    LicenseRule("GPL-2.0-or-later", ("gpl.redistribute", "gpl.either2", "noWarrantyHope")),
+    LicenseRule("GPL-2.0-or-later", ("gpl.redistribute", "gpl.either2")),
+    LicenseRule("GPL-2.0-or-later", ("gpl.redistribute2later",)),
+    LicenseRule("GPL-3.0-or-later", ("gpl.redistribute", "gpl.either3", "noWarrantyHope")),
+    LicenseRule("GPL-3.0-or-later", ("gpl.redistribute", "gpl.either3")),
+    LicenseRule("GPL-2.0-only", ("gpl.redistribute", "gpl.version2")),
+    LicenseRule("GPL-2.0-only", ("gpl.redistribute2",)),
     LicenseRule("GPL-3.0-or-later", ("gpl.redistribute3", "noWarrantyHope")),
     LicenseRule("GPL-3.0-or-later", ("gpl.redistribute3",)),
     LicenseRule("GPL-3.0-only", ("gpl3.notice",)),
@@ -68,8 +119,9 @@ RULES = (
     LicenseRule("CC-BY-4.0", ("ccby4.notice",)),
 )
 
-#: A sentence ends at the end of a line, or at . ; : ! ? and white space.
-_ENDS = re.compile(r"\n|[.;:!?](?=[\x20\x09-\x0D])").split
+#: A sentence ends at . ; : ! ? and white space; the end of a line may end it.
+_ENDS = re.compile(r"[.;:!?](?=[\x20\x09-\x0D])").split
+_WORD = re.compile("[A-Za-z0-9]").search
 _OTHER = re.compile(r"[^a-z0-9]+").sub
 
 
@@ -77,25 +129,72 @@ def normalized_sentence(sentence: str) -> str:
     return _OTHER(" ", sentence.lower()).strip()
 
 
+def _runs(text: str) -> Iterator[list[str]]:
+    """Pieces of lines that punctuation or a blank line parts from others.
+    What has no letter or digit, as a comment's mark, is left out."""
+    run: list[str] = []
+    for line in text.split("\n"):
+        pieces = [p for p in _ENDS(line + " ") if _WORD(p)]
+        if not pieces:
+            if run:
+                yield run
+                run = []
+            continue
+        run.append(pieces[0])
+        if len(pieces) > 1:
+            yield run
+            yield from ([p] for p in pieces[1:-1])
+            run = [pieces[-1]]
+        if line.rstrip()[-1] in ".;:!?":
+            yield run
+            run = []
+    if run:
+        yield run
+
+
 class LicenseMatcher:
-    def __init__(self, sentences: dict[str, str], rules: tuple[LicenseRule, ...]):
-        self.known = {text: name for name, text in sentences.items()}
+    def __init__(self, sentences: dict[str, str], rules: tuple[LicenseRule, ...], variants: dict[str, str] = {}, patterns: tuple = ()):
+        self.known = {**variants, **{text: name for name, text in sentences.items()}}
+        self.patterns = patterns
+        #: What a sentence that goes on in the next line has so far.
+        self.prefixes = {t[:i] for t in self.known for i, c in enumerate(t) if c == " "}
         self.rules = rules
         unknown = {s for r in rules for s in r.sentences} - set(sentences)
         if unknown:
             raise ValueError(f"rules name unknown sentences: {sorted(unknown)}")
         #: First words of the known sentences: others need no normalising.
-        self.begin = re.compile("|".join(sorted({re.escape(t.split()[0]) for t in self.known})), re.IGNORECASE).search
+        self.begin = re.compile("|".join(sorted({re.escape(t.split()[0]) for t in [*self.known, *(p[1] for p in patterns)]})), re.IGNORECASE).search
 
     def identifiers(self, text: str) -> list[str]:
-        found = []
-        for sentence in _ENDS(text):
-            if self.begin(sentence):
-                name = self.known.get(normalized_sentence(sentence))
+        found: list[str] = []
+        for run in _runs(text):
+            i = 0
+            while i < len(run):
+                name, i = self._sentence(run, i)
                 if name:
                     found.append(name)
         return found
 
+    def _sentence(self, run: list[str], i: int) -> tuple[str | None, int]:
+        """The longest known sentence that begins with run[i], and where to
+        go on."""
+        if not self.begin(run[i]):
+            return None, i + 1
+        name, end, k = None, i + 1, i + 1
+        sentence = normalized_sentence(run[i])
+        while True:
+            if sentence in self.known:
+                name, end = self.known[sentence], k
+            named = any(sentence.startswith(p[1]) for p in self.patterns) and k - i < WRAPPED
+            if named:
+                for own, _, fits in self.patterns:
+                    if fits(sentence):
+                        return own, k
+            if k >= len(run) or not (named or sentence in self.prefixes):
+                return name, end
+            sentence = f"{sentence} {normalized_sentence(run[k])}"
+            k += 1
+
     def licenses(self, names: list[str]) -> list[str]:
         """Licences in order of their first identifier. Each identifier is
         used once."""
@@ -129,9 +228,10 @@ def scan_licenses(
     ignored.
     """
     table = dict(SENTENCES if sentences is None else sentences)
+    more = (VARIANTS, PATTERNS) if sentences is None else ({}, ())
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        matcher = worker_state(f"licences:{table!r}{rules!r}", lambda: LicenseMatcher(table, rules))
+        matcher = worker_state(f"licences:{table!r}{rules!r}{bool(more[1])}", lambda: LicenseMatcher(table, rules, *more))
         for b in batches:
             names = [matcher.identifiers(t) for t in b["t"]]
             found = [matcher.licenses(n) for n in names]
