@@ -8,7 +8,9 @@ Reader: one task per file reads it as a stream. A record is checked: member
 checksum, version line, headers, length, closing line ends, block digest.
 After a failed check the reader searches for the next gzip member or version
 line at which a record passes, goes on there, and reports the bytes between
-as a gap. What is held is one record.
+as a gap. A gzip member is inflated as a stream and its records are salvaged
+in the same way, so damage in a member costs the records it touches. What is
+held is one record, and of a member a bounded part.
 """
 
 from __future__ import annotations
@@ -34,8 +36,13 @@ REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
 READ_BYTES = 1 << 20
 HEADER_BYTES = 1 << 16
-#: A member that inflates to more is quarantined, not held.
-MEMBER_BYTES = 1 << 30
+#: Compressed bytes inflated at a time, and kept behind to search them again.
+INFLATE_BYTES = 1 << 16
+KEPT_BYTES = 4 << 20
+#: Bytes of a member's records that wait for the member's checksum.
+HELD_BYTES = 16 << 20
+#: Longer blocks cannot be a value of a row.
+BLOCK_BYTES = (1 << 31) - 1
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 END = b"\r\n\r\n"
@@ -118,27 +125,24 @@ class Stream:
     """A file read forward, with what was not yet dropped at hand."""
 
     def __init__(self, file):
-        self.file, self.data, self.start, self.ended = file, b"", 0, False
+        self.file, self.data, self.start, self.ended = file, bytearray(), 0, False
 
     def has(self, end: int) -> bool:
-        """Read on until the byte before ``end`` is at hand; False if the
-        file ends first."""
-        parts = [self.data]
-        size = len(self.data)
-        while self.start + size < end and not self.ended:
-            part = self.file.read(max(READ_BYTES, end - self.start - size))
+        """Read on, step by step, until the byte before ``end`` is at hand;
+        False if the file ends first."""
+        while self.start + len(self.data) < end and not self.ended:
+            part = self.file.read(READ_BYTES)
             self.ended = not part
-            parts.append(part)
-            size += len(part)
-        self.data = b"".join(parts)
-        return self.start + size >= end
+            self.data += part
+        return self.start + len(self.data) >= end
 
     def get(self, begin: int, end: int) -> bytes:
         self.has(end)
-        return self.data[begin - self.start : end - self.start]
+        return bytes(memoryview(self.data)[begin - self.start : end - self.start])
 
     def drop(self, to: int) -> None:
-        self.data, self.start = self.data[to - self.start :], to
+        del self.data[: to - self.start]
+        self.start = to
 
     def find(self, begin: int, marks: tuple[bytes, ...]) -> int | None:
         """The first place from ``begin`` on where one of the marks stands.
@@ -156,25 +160,49 @@ class Stream:
         return None
 
 
-def _member(stream: Stream, begin: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``begin``."""
-    z, parts, size, at = zlib.decompressobj(31), [], 0, begin
-    while not z.eof:
-        raw = stream.get(at, at + READ_BYTES)
-        if not raw:
-            raise FailedCheck("the file ends inside a member")
-        at += len(raw)
-        while raw and not z.eof:
+class Inflated:
+    """The content of the gzip member at ``begin`` of a stream, as a file.
+    It ends with the member or at its damage (``error``)."""
+
+    def __init__(self, stream: Stream, begin: int):
+        self.stream, self.begin, self.at = stream, begin, begin
+        self.z, self.raw, self.error, self.cut = zlib.decompressobj(31), b"", "", False
+
+    def read(self, n: int) -> bytes:
+        while not self.z.eof and not self.error:
+            if not self.raw:
+                self.raw = self.stream.get(self.at, self.at + INFLATE_BYTES)
+                if not self.raw:
+                    self.error, self.cut = "the file ends inside a member", True
+                    break
+                self.at += len(self.raw)
+                if self.at - 2 * KEPT_BYTES > self.stream.start:
+                    self.stream.drop(self.at - KEPT_BYTES)
+            before = self.z.copy()
             try:
-                part = z.decompress(raw, READ_BYTES)
+                part = self.z.decompress(self.raw, n)
+                self.raw = self.z.unconsumed_tail
             except zlib.error as e:
-                raise FailedCheck(f"bad member: {e}") from None
-            parts.append(part)
-            size += len(part)
-            raw = z.unconsumed_tail
-            if size > MEMBER_BYTES:
-                raise FailedCheck("member too large")
-    return b"".join(parts), at - len(z.unused_data)
+                self.error = f"bad member: {e}"
+                part = _until_error(before, self.raw)
+            if part:
+                return part
+        return b""
+
+    @property
+    def end(self) -> int:
+        return self.at - len(self.z.unused_data)
+
+
+def _until_error(z, raw: bytes) -> bytes:
+    """What ``raw`` inflates to before its damage."""
+    parts = []
+    try:
+        for i in range(len(raw)):
+            parts.append(z.decompress(raw[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(parts)
 
 
 def _parse(get, begin: int) -> tuple[Record, int]:
@@ -203,42 +231,97 @@ def _parse(get, begin: int) -> tuple[Record, int]:
         headers[name] = value.strip()
     if not headers.get("content-length", "").isdecimal() or "warc-type" not in headers:
         raise FailedCheck("no type or length")
+    # Digits beyond these need no conversion, which is bounded as well.
+    size = headers["content-length"].lstrip("0")
+    if len(size) > 12 or int(size or 0) > BLOCK_BYTES:
+        raise FailedCheck("the length is more than a block can have")
     first = begin + end + len(END)
-    last = first + int(headers["content-length"])
-    block = get(first, last + len(END))
-    if len(block) < last - first + len(END) or block[last - first :] != END:
+    last = first + int(size or 0)
+    if get(last, last + len(END)) != END:
         raise FailedCheck("the block does not end where its length says")
-    block = block[: last - first]
+    block = get(first, last)
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest != _sha1(block):
         raise FailedCheck("the block differs from its digest")
     return Record(begin, last + len(END) - begin, headers, block), last + len(END)
 
 
-def _at(stream: Stream, begin: int) -> tuple[list[Record], int]:
-    """The records of the member at ``begin``, or the plain record there."""
-    if not stream.get(begin, begin + len(MAGIC)) == MAGIC:
-        record, end = _parse(stream.get, begin)
-        return [record], end
-    data, end = _member(stream, begin)
-    records, at = [], 0
-    while at < len(data):
-        record, at = _parse(lambda a, b: data[a:b], at)
-        record.offset, record.length = begin, end - begin
-        records.append(record)
-    return records, end
+def _inside(content: Inflated) -> Iterator[Record | Gap]:
+    """Records and gaps of a gzip member, with the member's place.
 
+    In a damaged member records before the damage stay if they pass their own
+    checks: by a digest if bytes are wrong rather than missing. A member's
+    only record stands or falls with it. A gap at the damage is the caller's.
+    """
+    inner, at, gap, reason = Stream(content), 0, None, ""
+    held: list[Record | Gap] = []
+    size, given = 0, False
 
-def salvage(file) -> Iterator[Record | Gap]:
-    """Records and gaps of a binary file, in order of their place."""
-    stream, at, gap, reason = Stream(file), 0, None, ""
-    while stream.has(at + 1):
+    def inner_gap(to: int) -> Gap:
+        return Gap(0, 0, f"{reason} ({to - gap} bytes from byte {gap} of the member's content)" if gap or inner.has(to + 1) else reason)
+
+    def placed(items: list[Record | Gap], end: int) -> Iterator[Record | Gap]:
+        for x in items:
+            x.offset, x.length = content.begin, end - content.begin
+            yield x
+
+    while inner.has(at + 1):
         try:
-            records, end = _at(stream, at)
+            record, end = _parse(inner.get, at)
         except FailedCheck as e:
             if gap is None:
                 gap, reason = at, str(e)
-            found = stream.find(at + 1, (MAGIC, VERSION))
+            found = inner.find(at + 1, (VERSION,))
+            if found is None:
+                break
+            at = found
+            continue
+        if gap is not None:
+            held.append(inner_gap(at))
+            gap = None
+        held.append(record)
+        size += len(record.block)
+        at = end
+        inner.drop(at)
+        if size > HELD_BYTES and len(held) > 1:
+            yield from placed(held, content.end)
+            held, size, given = [], 0, True
+    if content.error:
+        if not content.cut:
+            held = [x for x in held if isinstance(x, Gap) or x.headers.get("warc-block-digest", "").startswith("sha1:")]
+        if not given and gap is None and len(held) == 1:
+            held = []
+    elif gap is not None:
+        held.append(inner_gap(inner.start + len(inner.data)))
+    yield from placed(held, content.end)
+
+
+def salvage(file) -> Iterator[Record | Gap]:
+    """Records and gaps of a binary file, in order of their place. The gap of
+    a damaged member follows the records that it still gave."""
+    stream, at, gap, reason = Stream(file), 0, None, ""
+    while stream.has(at + 1):
+        failed, items, content = "", iter(()), None
+        if stream.get(at, at + len(MAGIC)) == MAGIC:
+            content = Inflated(stream, at)
+            items = _inside(content)
+        else:
+            try:
+                record, end = _parse(stream.get, at)
+                items = iter((record,))
+            except FailedCheck as e:
+                failed = str(e)
+        for x in items:
+            if gap is not None:
+                yield Gap(gap, at - gap, reason)
+                gap = None
+            yield x
+        if content is not None:
+            failed, end = content.error, content.end
+        if failed:
+            if gap is None:
+                gap, reason = at, failed
+            found = stream.find(max(at + 1, stream.start), (MAGIC, VERSION))
             if found is None:
                 break
             at = found
@@ -246,7 +329,6 @@ def salvage(file) -> Iterator[Record | Gap]:
         if gap is not None:
             yield Gap(gap, at - gap, reason)
             gap = None
-        yield from records
         at = end
         stream.drop(at)
     if gap is not None:
