@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import map_rows, worker_state
+from sigflow.llm.url_terms import SOFT, STRICT, terms
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -25,13 +26,8 @@ class Vocabulary:
     """Terms are lower-case; a url is blocked by one strict term or by
     ``min_soft`` distinct soft terms."""
 
-    strict: tuple[str, ...] = (
-        "porn", "pornhub", "xxx", "hentai", "camgirls", "escorts", "warez", "phishing", "keygen", "torrents",
-    )
-    soft: tuple[str, ...] = (
-        "casino", "poker", "betting", "jackpot", "adult", "dating", "nude", "viagra", "pills", "loan",
-        "payday", "crack", "serial", "torrent", "lottery", "free",
-    )
+    strict: tuple[str, ...] = terms(STRICT)
+    soft: tuple[str, ...] = terms(SOFT)
     min_soft: int = 2
 
 
