@@ -40,10 +40,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigflow.llm.common import map_rows, staged, text_or_empty, worker_state
+from sigflow.llm.common import map_rows, new_name, staged, text_or_empty, worker_state
 from sigflow.llm.components import components
 
 NGRAM = 5
@@ -271,7 +271,7 @@ def join_block(sets: list[list[int]], members: list[bool], seeds: list) -> list[
 
 # ------------------------------------------------------------------- Spark
 def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
-    """A row (id, n, sig, node) per document, and per task rows (part, slice,
+    """A row (id, key, n, sig, node) per document, and per task rows (part, slice,
     counts) of its n-grams and words by slot."""
     n_slots = (1 << NGRAM_BITS) + (1 << WORD_BITS)
 
@@ -302,14 +302,14 @@ def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
             if held:
                 count()
             nodes = [x and node_of(x, n) for x, n in zip(sigs, sizes, strict=True)]
-            yield {"id": b["id"], "n": sizes, "sig": sigs, "node": nodes, "part": none, "slice": none, "counts": none}
+            yield {"id": b["id"], "key": b["key"], "n": sizes, "sig": sigs, "node": nodes, "part": none, "slice": none, "counts": none}
         if counts.any():
             data = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(SLICES, -1)]
             none = [None] * SLICES
             part = [TaskContext.get().partitionId()] * SLICES
-            yield {"id": none, "n": none, "sig": none, "node": none, "part": part, "slice": list(range(SLICES)), "counts": data}
+            yield {"id": none, "key": none, "n": none, "sig": none, "node": none, "part": part, "slice": list(range(SLICES)), "counts": data}
 
-    return map_rows(rows, run, f"id {kind}, n long, sig binary, node long, part int, slice int, counts binary")
+    return map_rows(rows, run, f"id {kind}, key string, n long, sig binary, node long, part int, slice int, counts binary")
 
 
 def _slot_counts(fingerprints: DataFrame) -> np.ndarray:
@@ -421,7 +421,7 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
 
 
 def _candidates(groups: DataFrame, sized: DataFrame) -> DataFrame:
-    """(leader, rep, node, n) of the memberships that a link may need."""
+    """(leader, rep, set, node, n) of the memberships that a link may need."""
     # A partner has three quarters of the size, at least.
     enough = F.col("all") > F.floor(3 * F.col("n") / (4 * MORE))
     shared = groups.groupBy("node").agg(F.sum("shared").alias("all"))
@@ -431,7 +431,7 @@ def _candidates(groups: DataFrame, sized: DataFrame) -> DataFrame:
     less, greater = F.least("n", "m"), F.greatest("n", "m")
     pair = (4 * less >= 3 * greater) & (F.col("shared") > F.floor(less / MORE))
     kept = F.col("more") | (F.col("leader") == F.col("node")) | (pair & F.col("m").isNotNull())
-    return member.filter(kept).select("leader", "rep", "node", "n").distinct()
+    return member.filter(kept).select("leader", "rep", "set", "node", "n").distinct()
 
 
 def _packed_words(rows: DataFrame) -> DataFrame:
@@ -450,16 +450,16 @@ _BLOCK = ["leader", "block", "walk"]
 
 def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
     """Links (a, b) of the assigned sets, joined with their texts and put
-    into a prefix tree block by block. ``assigned``: rep, node, seed, member,
-    leader, block, walk."""
+    into a prefix tree block by block. ``assigned``: rep (an id), set (what
+    the links name), node, seed, member, leader, block, walk."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         key, block = None, []
 
         def links() -> dict | None:
             places: dict[bytes, int] = {}
-            sets, members, seeds, reps = [], [], [], []
-            for rep, node, seed, member, words in block:
+            sets, members, seeds, names = [], [], [], []
+            for name, node, seed, member, words in block:
                 h, mixed = _hashes(zlib.decompress(words))
                 s = _distinct(mixed)
                 sig = signature(s)
@@ -474,9 +474,9 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
                 sets.append(order.value.ordered(h, mixed).tolist())
                 members.append(member)
                 seeds.append(seed)
-                reps.append(rep)
+                names.append(name)
             found = join_block(sets, members, seeds) if len(sets) > 1 else []
-            return {"a": [reps[i] for i, _ in found], "b": [reps[j] for _, j in found]} if found else None
+            return {"a": [names[i] for i, _ in found], "b": [names[j] for _, j in found]} if found else None
 
         for b in batches:
             for i, own in enumerate(zip(b["leader"], b["block"], b["walk"], strict=True)):
@@ -484,7 +484,7 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
                     if len(block) > 1 and (out := links()):
                         yield out
                     key, block = own, []
-                block.append((b["rep"][i], b["node"][i], b["seed"][i], b["member"][i], b["words"][i]))
+                block.append((b["set"][i], b["node"][i], b["seed"][i], b["member"][i], b["words"][i]))
         if len(block) > 1 and (out := links()):
             yield out
 
@@ -497,8 +497,8 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
 def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order) -> DataFrame | None:
     """Links between the blocks of groups that have several, of sets that
     are not in one component yet; None if there are no such sets."""
-    several = member.filter("blocks > 1").join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    several = staged(several.withColumn("seed", F.coalesce("component", "rep")), "several")
+    several = member.filter("blocks > 1").join(known.withColumnRenamed("node", "set"), "set", "left")
+    several = staged(several.withColumn("seed", F.coalesce("component", "set")), "several")
     if several.isEmpty():
         return None
     sizes = several.groupBy("leader", "seed").agg(F.sum("n").alias("own"))
@@ -515,7 +515,7 @@ def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order)
     walks = walks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
     stay = several.join(groups.select("leader", "walks"), "leader")
     stay = stay.withColumn("walk", F.explode(F.sequence(F.lit(0), F.col("walks") - 1)))
-    names = ("rep", "node", "seed", "leader", "block", "walk")
+    names = ("rep", "set", "node", "seed", "leader", "block", "walk")
     assigned = walks.select(*names, F.lit(False).alias("member")).unionByName(stay.select(*names, F.lit(True).alias("member")))
     return _linked(rows, assigned, order)
 
@@ -530,46 +530,59 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own text. An empty table gives an empty result; other columns are
     ignored. Ids are integers.
     """
+    found = _placed(docs, id_col, text_col, F.lit(None).cast("string"))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, key: Column) -> DataFrame:
+    """(id, key, n, component) of each row; ``key`` is an expression of it."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(F.col(text_col)).alias("t"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(F.col(text_col)).alias("t"), key.alias("key"))
     prints = staged(_fingerprints(rows, "bigint"), "sets")
-    own = prints.filter("slice IS NULL").select("id", "n", "sig", "node")
+    own = prints.filter("slice IS NULL").select("id", "key", "n", "sig", "node")
     order = spark.sparkContext.broadcast(Order(_slot_counts(prints)))
 
     # The node is part of the signature, the set's size goes with it.
     reps = own.filter("n > 0 AND id IS NOT NULL").groupBy("sig", "node", "n").agg(F.min("id").alias("rep"))
-    reps = staged(reps, "reps")
+    # Sets of texts that share an id are told apart by a number of their own.
+    reps = staged(reps.withColumn("set", F.monotonically_increasing_id()), "reps")
 
     total = own.agg(F.sum("n")).first()[0] or 0
     n_parts = int(min(1 << 15, max(1, -(-total // (3 * POSTINGS)))))
-    known_rows = rows.filter("id IS NOT NULL")
+    known_rows = rows.filter("id IS NOT NULL").select("id", "t")
     groups = staged(_memberships(_postings(known_rows.select("t"), order, n_parts), n_parts), "groups")
-    member = staged(_candidates(groups, reps.select("rep", "node", "n")), "members")
+    member = staged(_candidates(groups, reps.select("rep", "set", "node", "n")), "members")
     sizes = member.groupBy("leader").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     member = member.join(sizes.drop("sets"), "leader").withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
     # The leader is in every block, another member in one.
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     block = F.explode(F.when(F.col("node") == F.col("leader"), every).otherwise(one))
-    member = staged(member.select("rep", "node", "n", "leader", "blocks", block.alias("block")), "blocks")
-    assigned = member.select("rep", "node", F.col("rep").alias("seed"), "leader", "block", F.lit(0).alias("walk"), F.lit(True).alias("member"))
+    member = staged(member.select("rep", "set", "node", "n", "leader", "blocks", block.alias("block")), "blocks")
+    assigned = member.select("rep", "set", "node", F.col("set").alias("seed"), "leader", "block", F.lit(0).alias("walk"), F.lit(True).alias("member"))
     links = staged(_linked(known_rows, assigned, order), "links")
     found = components(links)
     more = _across_blocks(known_rows, member, found, order)
     if more is not None:
         found = components(links.unionByName(more))
 
-    by_sig = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    by_sig = by_sig.select("sig", F.coalesce("component", "rep").alias("component"))
+    by_sig = reps.join(found.withColumnRenamed("node", "set"), "set", "left")
+    by_sig = by_sig.select("sig", "rep", F.coalesce("component", "set").alias("set"))
+    least = by_sig.groupBy("set").agg(F.min("rep").alias("component"))
+    by_sig = by_sig.join(least, "set").select("sig", "component")
     out = own.drop("node").join(by_sig, "sig", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select("id", "key", "n", component.alias("component"))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is their component's, all columns as
     they were, and the rows with a null id. Of repeated rows all stay (exact
-    copies are for ``exact_dedup``)."""
-    found = jaccard_components(docs, id_col, text_col)
-    gone = staged(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+    copies are for ``exact_dedup``). Rows go by id and text, so each text
+    that shares an id with another is judged by its own component."""
+    sha = F.sha2(text_or_empty(F.col(text_col)).cast("binary"), 256)
+    found = _placed(docs, id_col, text_col, sha)
+    lost = found.filter("id <> component").select(F.col("id").alias("gone"), F.col("key").alias("gone_key")).distinct()
+    gone = staged(lost, "gone")
+    gone = gone.toDF(new_name(docs, "gone"), new_name(docs, "gone_key"))
+    return docs.join(gone, (F.col(id_col) == F.col(gone.columns[0])) & (sha == F.col(gone.columns[1])), "left_anti")
