@@ -12,6 +12,8 @@ _LOW_BITS = 20
 _LOW_MASK = (1 << _LOW_BITS) - 1
 # Largest |value| * 10**scale that still fits a signed 64-bit integer.
 _UNITS_LIMIT = 9.0e18
+# Relative error of a double that a few operations computed.
+_NOISE = 1e-15
 
 
 def exact_avg(value: Column, scale: int = 4) -> Column:
@@ -38,8 +40,22 @@ def exact_avg(value: Column, scale: int = 4) -> Column:
     return total.cast("double") / F.count(units)
 
 
+def faithful_avg(value: Column, scale: int = 4) -> Column:
+    """``avg``, as ``exact_avg`` where that loses nothing.
+
+    A group whose readings all have at most ``scale`` decimals, but for the
+    last bits of a computed double, has the order-independent exact average. Any other group (a NaN, an infinite, very
+    large or finer reading) has the plain ``avg``, NaN included.
+    """
+    scaled = value * F.lit(float(10**scale))
+    rounded = F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(float(10**scale))
+    held = (F.abs(scaled) < F.lit(_UNITS_LIMIT)) & (F.abs(rounded - value) <= F.lit(_NOISE) * F.abs(value))
+    fits = F.coalesce(held, F.lit(True))
+    return F.when(F.bool_and(fits), exact_avg(F.when(fits, value), scale)).otherwise(F.avg(value))
+
+
 def average(value: Column, exact_scale: int | None = None) -> Column:
-    """``avg`` by default; ``exact_avg`` when a scale is given."""
+    """``avg`` by default; ``faithful_avg`` when a scale is given."""
     if exact_scale is None:
         return F.avg(value)
-    return exact_avg(value, exact_scale)
+    return faithful_avg(value, exact_scale)

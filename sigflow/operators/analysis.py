@@ -92,8 +92,8 @@ def hourly_averages(telemetry: DataFrame, exact_scale: int | None = None) -> Dat
 
     Values are looked up in the map and parsed; null, missing and
     unparsable values are skipped, duplicates weigh in. Wind direction is
-    the arithmetic mean of degrees. ``exact_scale`` switches to the
-    order-independent decimal average (see ``exact_avg``).
+    the arithmetic mean of degrees. ``exact_scale`` makes the
+    average order-independent where that loses nothing (``faithful_avg``).
     Partial aggregation runs before the shuffle, so a hot hour costs one
     row per task, not one row per reading.
     """
