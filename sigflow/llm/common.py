@@ -56,25 +56,40 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
-#: Rows of a batch that are Python objects at a time.
+#: Rows and bytes of a batch that are Python objects at a time; a longer row
+#: is a batch of its own.
 ROWS = 500
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in batches of ROWS rows and BATCH_BYTES at most."""
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            waiting = [b.slice(i, ROWS)]
+            while waiting:
+                part = waiting.pop()
+                if part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+                    half = part.num_rows // 2
+                    waiting += [part.slice(half), part.slice(0, half)]
+                else:
+                    yield part
 
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` over batches, of ROWS rows at most, given and returned
-    as dicts of lists."""
-    out = _arrow_schema(schema)
+    """``mapInArrow`` over batches, small ones (``small_batches``), given and
+    returned as dicts of lists."""
+    out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
-        for cols in fn(p.to_pydict() for p in parts):
+        for cols in fn(p.to_pydict() for p in small_batches(batches)):
             yield pa.RecordBatch.from_pydict(cols, schema=out)
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(schema: str) -> pa.Schema:
+def arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

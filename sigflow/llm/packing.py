@@ -19,7 +19,6 @@ one of nodes and enumerated fillings; the best plan found counts.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigflow.llm.byte_bpe import MAYBE_SPACE
-from sigflow.llm.common import chunks_by_size, map_rows, staged, text_or_empty, worker_state
+from sigflow.llm.byte_level import ByteLevelTokenizer
+from sigflow.llm.common import map_rows, staged, text_or_empty, worker_state
 
 #: Search budget: nodes, and fillings enumerated, both in all. Fillings of a
 #: node are listed this many first, four times as many when those are tried.
@@ -43,81 +42,33 @@ FILLINGS = 4
 DIVE = 1_000
 #: Pivots of the linear relaxations, in all.
 PIVOTS = 4_000
-#: Remembered units: characters of each, number.
-UNIT_CHARS = 40
-UNITS = 900_000
-#: Characters whose units are encoded at a time.
-CHUNK = 2 << 20
-
-_UNITS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+").findall
-#: White space other than ASCII's: such texts are encoded whole.
-_OTHER_SPACE = re.compile(f"(?![\t-\r ])[{MAYBE_SPACE}]").search
 
 
 # ------------------------------------------------------------------ tokens
-class UnitEncoder:
-    """Identifiers as little-endian unsigned 32-bit bytes, unit by unit.
-
-    A unit is white space and what follows it up to the next; with a
-    byte-level pre-tokenizer no token reaches over its ends, so the units'
-    identifiers joined are the text's. The tokenizer sees each distinct unit
-    once while it is remembered.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for begin, end in chunks_by_size(texts, CHUNK):
-            out += self._chunk(texts[begin:end])
-        return out
-
-    def _chunk(self, texts: list[str]) -> list[bytes]:
-        split = [[t] if _OTHER_SPACE(t) else _UNITS(t) for t in texts]
-        known = self.known
-        if len(known) > UNITS:
-            known.clear()
-        new = list(set().union(*split) - known.keys())
-        long = []
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[u] = np.array(e.ids, dtype="<u4").tobytes()
-            if len(u) > UNIT_CHARS:
-                long.append(u)
-        out = [b"".join(map(known.__getitem__, units)) for units in split]
-        for u in long:
-            del known[u]
-        return out
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_col: str, text_col: str, with_ids: bool = False) -> DataFrame:
     """A row per piece: id, piece, start, length, ids_crc32, and its place
     among the pieces of its length (``part`` and ``nth`` in the part). A
     document longer than ``capacity`` is cut; its first piece has the rest."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        encoder = worker_state(f"units:{tokenizer_path}", lambda: UnitEncoder(tokenizer_path))
+        tokenizer: ByteLevelTokenizer = worker_state(f"byte-level:{tokenizer_path}", lambda: ByteLevelTokenizer(tokenizer_path, specials=True))
         end = np.array([end_id], dtype="<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), Counter()
         names = ("id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")
         for b in batches:
             out: dict[str, list] = {n: [] for n in names}
-            for begin, stop in chunks_by_size(b["t"], CHUNK):
-                for own, ids in zip(b["id"][begin:stop], encoder.encode(b["t"][begin:stop]), strict=True):
-                    ids += end
-                    total = len(ids) // 4
-                    start, length = 0, total % capacity or capacity
-                    k = 0
-                    while start < total:
-                        data = ids[4 * start : 4 * (start + length)]
-                        row = (own, k, start, length, zlib.crc32(data), part, seen[length], data if with_ids else None)
-                        for n, v in zip(names, row, strict=True):
-                            out[n].append(v)
-                        seen[length] += 1
-                        start, length, k = start + length, capacity, k + 1
+            for own, text in zip(b["id"], b["t"], strict=True):
+                ids = np.array(tokenizer.encode(text), dtype="<u4").tobytes() + end
+                total = len(ids) // 4
+                start, length = 0, total % capacity or capacity
+                k = 0
+                while start < total:
+                    data = ids[4 * start : 4 * (start + length)]
+                    row = (own, k, start, length, zlib.crc32(data), part, seen[length], data if with_ids else None)
+                    for n, v in zip(names, row, strict=True):
+                        out[n].append(v)
+                    seen[length] += 1
+                    start, length, k = start + length, capacity, k + 1
             yield out
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -1,9 +1,9 @@
 """The operators' queries, with production parameters, each over its whole
 table, and DuckDB SQL for those that SQL expresses.
 
-Without SQL: op3 (a trained model), op4, op5 and op8 (tokenizers; packing);
-``tests/llm`` hold them against the libraries, round trips, held-out labels
-and bounds.
+Without SQL: op3 (a trained model), op4, op5, op8 and op13 (tokenizers;
+packing), op11 (a compressor); ``tests/llm`` hold them against the libraries,
+brute force, round trips, held-out labels and bounds.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sigflow.llm import byte_bpe, exact_dedup, jaccard_join, license_rules, packing, quality, token_count, toxicity, url_filter, warc
+from sigflow.llm import byte_bpe, cross_align, exact_dedup, jaccard_join, lexical_search, license_rules, packing, quality, secret_scan, token_count, toxicity, url_filter, warc
 from sigflow.llm.common import read_table, workers_find_package
 
 CONTEXT_TOKENS = 4096
 SEQUENCE_TOKENS = 1024
 END_ID = 2
+TOP = 10
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document by patterns and by novelty."""
+    return secret_scan.secret_digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), TOP)
+
+
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between two tokenizers' tokens of each document."""
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return cross_align.align_tokens(_table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_ngram_jaccard_join,
         op10_exact_dedup,
+        op11_secret_scan,
+        op12_ranked_search,
+        op13_cross_align,
     )
 }
 
@@ -243,6 +263,35 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
+_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), size AS (
+  SELECT CAST(count(*) FILTER (len(terms) > 0) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d
+), t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY r, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), size
+), m AS (
+  SELECT r, doc_id, 10 + (90 * CAST(len(terms) AS BIGINT) * n_docs) // n_terms AS m FROM d, size
+), s AS (
+  SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM t JOIN w USING (term) JOIN m USING (r) JOIN i USING (term) GROUP BY item_id, r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s JOIN m USING (r) WHERE score > 0
+)
+WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_salvage": _WARC_SQL,
     "op2_license_scans": _license_sql(),
@@ -250,4 +299,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": _QUALITY_SQL,
     "op9_ngram_jaccard_join": _JACCARD_SQL,
     "op10_exact_dedup": _DEDUP_SQL,
+    "op12_ranked_search": _SEARCH_SQL,
 }

@@ -12,6 +12,7 @@ import pytest
 
 from llm_cases import docs, package_on_workers, texts  # noqa: F401
 from sigflow.llm import byte_bpe, packing, token_count
+from sigflow.llm.byte_level import ByteLevelTokenizer
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -85,11 +86,10 @@ def test_packing_holds_each_document_once(spark, docs, texts):
     assert len(sequences) >= math.ceil(sum(r["length"] for r in rows) / 1024)
 
 
-def test_units_encode_like_whole_texts():
-    encoder = packing.UnitEncoder(JSON)
-    texts = odd_texts()
-    whole = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-    assert encoder.encode(texts) == whole
+def test_parts_encode_like_whole_texts():
+    tokenizer = ByteLevelTokenizer(JSON, specials=True)
+    for t in odd_texts():
+        assert tokenizer.encode(t) == tokenizer.library.encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("seed", range(12))
