@@ -21,17 +21,20 @@ from pyspark.sql import DataFrame, SparkSession
 from sigflow.operators.analysis import daily_from_hourly, hourly_datapoints, hourly_generation, rename_signals, to_long
 from sigflow.operators.model import (
     actual_vs_predicted,
+    as_pipeline,
     coefficients_frame,
     evaluation_summary,
+    load_model,
     power_features,
     predict_day,
+    save_model,
     train_and_evaluate,
 )
 from sigflow.operators.preview import preview
 from sigflow.sources.mapping import mapping_frame, mapping_from_files
 from sigflow.sources.table import TableConfig, read_table
 from sigflow.sources.topic import TopicConfig
-from sigflow.streaming import ingest_topic, publish_csv
+from sigflow.streaming import ingest_batches, ingest_topic, publish_csv
 
 
 def _topic(args) -> TopicConfig:
@@ -69,6 +72,21 @@ def run_produce(spark: SparkSession, args) -> None:
 
 
 def run_subscribe(spark: SparkSession, args) -> None:
+    if args.ledger:
+        query = ingest_batches(
+            spark,
+            _topic(args),
+            _table(args),
+            args.ledger,
+            args.checkpoint,
+            quarantine=TableConfig(path=args.quarantine) if args.quarantine else None,
+            dedupe_within=args.dedupe_within,
+            typed=True,
+            processing_time=args.trigger if args.continuous else None,
+        )
+        if args.continuous:
+            query.awaitTermination()
+        return
     query = ingest_topic(
         spark,
         _topic(args),
@@ -103,6 +121,11 @@ def run_analyze(spark: SparkSession, args) -> None:
 
 def run_predict(spark: SparkSession, args) -> None:
     telemetry = read_table(spark, _table(args))
+    if args.model:
+        # A saved model: no training, only the day is read.
+        day = predict_day(load_model(spark, args.model), power_features(telemetry), args.day)
+        _save(day, f"{args.out}/predictions_{args.day}", args.show, ["signal_ts"])
+        return
     # The map is decoded once; the passes below read typed columns.
     typed = power_features(telemetry)
     typed.write.mode("overwrite").partitionBy("signal_date").parquet(f"{args.out}/features")
@@ -121,9 +144,9 @@ def run_predict(spark: SparkSession, args) -> None:
     evaluation_summary(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_metrics")
     actual_vs_predicted(run.predictions).write.mode("overwrite").parquet(f"{args.out}/test_series")
     if args.engine == "ml":
-        run.model.write().overwrite().save(f"{args.out}/model")
+        save_model(as_pipeline(run.model), spark, f"{args.out}/model")
     else:
-        run.model.save(spark, f"{args.out}/model")
+        save_model(run.model, spark, f"{args.out}/model")
     day = predict_day(run.model, features, args.day)
     _save(day, f"{args.out}/predictions_{args.day}", args.show, ["signal_ts"])
     if args.show:
@@ -156,6 +179,8 @@ def parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("subscribe")
     sp.add_argument("--dedupe-within", help="drop repeated readings within this delay")
+    sp.add_argument("--ledger", help="write idempotent batches with typed readings and record them in this folder")
+    sp.add_argument("--quarantine", help="table for the texts of messages that can't be read in full (with --ledger)")
     sp.add_argument("--files-per-date", type=int, help="at most this many files per date per batch (one shuffle)")
     sp.add_argument("--max-per-trigger", type=int,
                     help="bound each batch: topic files (file topic) or offsets (Kafka)")
@@ -173,6 +198,7 @@ def parser() -> argparse.ArgumentParser:
     table_args(sp)
     sp.add_argument("--out", required=True)
     sp.add_argument("--day", required=True)
+    sp.add_argument("--model", help="a model that an earlier run saved: predict only")
     sp.add_argument("--split", default="hash", choices=["hash", "random"])
     sp.add_argument("--engine", default="moments", choices=["moments", "ml"],
                     help="moments: one aggregate pass; ml: pyspark.ml LinearRegression")

@@ -9,13 +9,12 @@ from sigflow.functions.signals import (
     signal_value,
     signals_map,
 )
-from sigflow.functions.stats import average, exact_avg
+from sigflow.functions.stats import slot_bitmap
 
 __all__ = [
-    "average",
     "band",
     "decode_json",
-    "exact_avg",
+    "slot_bitmap",
     "generation_indicator",
     "message_value",
     "parse_signal_ts",

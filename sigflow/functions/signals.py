@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sigflow.schemas import SIGNAL_KEYS, TIMESTAMP_FORMAT
+from sigflow.schemas import SIGNAL_KEYS, TIMESTAMP_FORMAT, TYPED_COLUMNS
 
 
 def quoted(name: str) -> Column:
@@ -25,6 +25,23 @@ def signal_value(key: str, map_col: str = "signals") -> Column:
     return F.col(map_col)[key].try_cast("double")
 
 
+#: Struct column of parsed readings that the sink can write beside the map.
+READINGS = "readings"
+
+
+def readings(map_col: str = "signals") -> Column:
+    """The map's signals as a struct of doubles, one field per typed column."""
+    return F.struct(*[signal_value(k, map_col).alias(n) for k, n in zip(SIGNAL_KEYS, TYPED_COLUMNS)])
+
+
+def reading(rows: DataFrame, key: str) -> Column:
+    """A signal's value: the field of the typed struct if ``rows`` have one
+    (only that column is read then), else looked up in the map and parsed."""
+    if READINGS in rows.columns:
+        return F.col(READINGS)[TYPED_COLUMNS[SIGNAL_KEYS.index(key)]]
+    return signal_value(key)
+
+
 def signals_map(keys: Sequence[str] = SIGNAL_KEYS, values: Sequence[Column] | None = None) -> Column:
     """Wide columns -> ``map<string,string>`` (null values kept as null).
 
@@ -54,8 +71,13 @@ def message_value(df: DataFrame, columns: Iterable[str] | None = None) -> Column
     return F.to_json(F.struct(*[quoted(c) for c in names])).alias("value")
 
 
-def decode_json(value: Column, schema: StructType) -> Column:
+def decode_json(value: Column, schema: StructType, malformed: str | None = None) -> Column:
     """JSON text -> struct, permissive: malformed text gives a struct of nulls,
     a wrong-typed field gives null for that field only, unknown fields are
-    ignored."""
-    return F.from_json(value.cast("string"), schema, {"mode": "PERMISSIVE"})
+    ignored. With ``malformed`` the struct has one more field of that name,
+    which keeps the text of such a record."""
+    options = {"mode": "PERMISSIVE"}
+    if malformed:
+        schema = StructType(list(schema.fields)).add(malformed, "string")
+        options["columnNameOfCorruptRecord"] = malformed
+    return F.from_json(value.cast("string"), schema, options)

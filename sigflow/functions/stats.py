@@ -5,57 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Each value is split into a high and a low part at this bit, so that the
-# sum of the low parts (each < 2**20) cannot overflow before 2**43 rows in
-# one group, and the high parts only past 2**63 * 2**20 units.
-_LOW_BITS = 20
-_LOW_MASK = (1 << _LOW_BITS) - 1
-# Largest |value| * 10**scale that still fits a signed 64-bit integer.
-_UNITS_LIMIT = 9.0e18
-# Relative error of a double that a few operations computed.
-_NOISE = 1e-15
+#: Bits of one bitmap of Spark's bitmap functions.
+BITMAP_BITS = 32768
 
 
-def exact_avg(value: Column, scale: int = 4) -> Column:
-    """Average whose bits do not depend on partitioning or summation order.
-
-    Each value is rounded to ``scale`` decimals (ties upwards) and held as a
-    whole number of 10**-scale units; the units are summed in two 64-bit
-    parts, which is exact and as cheap as a double sum. One decimal division
-    per group turns the exact total into the correctly rounded double, and
-    one division by the count gives the average. NaN counts as missing; a
-    value too large for the unit range fails the query instead of wrapping.
-    Partial aggregation applies as for any sum.
-    """
-    clean = F.nanvl(value, F.lit(None).cast("double"))
-    scaled = clean * F.lit(float(10**scale))
-    units = (
-        F.when(clean.isNull(), F.lit(None).cast("bigint"))
-        .when(F.abs(scaled) < F.lit(_UNITS_LIMIT), F.floor(scaled + F.lit(0.5)))
-        .otherwise(F.raise_error(F.lit("exact_avg: value out of range for the chosen scale")).cast("bigint"))
-    )
-    high = F.sum(F.shiftright(units, _LOW_BITS))
-    low = F.sum(units.bitwiseAND(F.lit(_LOW_MASK)))
-    total = (high.cast("decimal(38,0)") * F.lit(1 << _LOW_BITS) + low) / F.lit(10**scale)
-    return total.cast("double") / F.count(units)
-
-
-def faithful_avg(value: Column, scale: int = 4) -> Column:
-    """``avg``, as ``exact_avg`` where that loses nothing.
-
-    A group whose readings all have at most ``scale`` decimals, but for the
-    last bits of a computed double, has the order-independent exact average. Any other group (a NaN, an infinite, very
-    large or finer reading) has the plain ``avg``, NaN included.
-    """
-    scaled = value * F.lit(float(10**scale))
-    rounded = F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(float(10**scale))
-    held = (F.abs(scaled) < F.lit(_UNITS_LIMIT)) & (F.abs(rounded - value) <= F.lit(_NOISE) * F.abs(value))
-    fits = F.coalesce(held, F.lit(True))
-    return F.when(F.bool_and(fits), exact_avg(F.when(fits, value), scale)).otherwise(F.avg(value))
-
-
-def average(value: Column, exact_scale: int | None = None) -> Column:
-    """``avg`` by default; ``faithful_avg`` when a scale is given."""
-    if exact_scale is None:
-        return F.avg(value)
-    return faithful_avg(value, exact_scale)
+def slot_bitmap(slot: Column) -> Column:
+    """Aggregate: the slots (0 ... 32767, null ignored) of a group as a bitmap of 4 KB."""
+    return F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1))

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.functions.bands import generation_indicator
-from sigflow.functions.signals import signal_value
-from sigflow.functions.stats import average
-from sigflow.operators.joins import join_dimension
+from sigflow.functions.signals import reading
+from sigflow.functions.stats import slot_bitmap
+from sigflow.operators.joins import MAX_BROADCAST_BYTES, join_dimension
 from sigflow.schemas import AVG_COLUMNS, EXPECTED_PER_DAY, EXPECTED_PER_HOUR, SIGNAL_KEYS
 from sigflow.sources.mapping import unique_mapping
 
@@ -87,23 +87,19 @@ def daily_from_hourly(
     return _completeness(out, expected_per_day)
 
 
-def hourly_averages(telemetry: DataFrame, exact_scale: int | None = None) -> DataFrame:
+def hourly_averages(telemetry: DataFrame) -> DataFrame:
     """Average of every signal per (date, hour), in one pass.
 
-    Values are looked up in the map and parsed; null, missing and
-    unparsable values are skipped, duplicates weigh in. Wind direction is
-    the arithmetic mean of degrees. ``exact_scale`` makes the
-    average order-independent where that loses nothing (``faithful_avg``).
-    Partial aggregation runs before the shuffle, so a hot hour costs one
-    row per task, not one row per reading.
+    Values come from the typed struct if the table has one, else they are
+    looked up in the map and parsed; null, missing and unparsable values are
+    skipped, NaN and duplicates weigh in. Wind direction is the arithmetic
+    mean of degrees. Partial aggregation runs before the shuffle, so a hot
+    hour costs one row per task, not one row per reading; a table bucketed by
+    date and hour (``write_bucketed``) needs no shuffle.
     """
-    return telemetry.groupBy(
-        "signal_date", F.hour("signal_ts").alias("hour_of_day")
-    ).agg(
-        *[
-            average(signal_value(key), exact_scale).alias(name)
-            for key, name in zip(SIGNAL_KEYS, AVG_COLUMNS)
-        ]
+    hour = F.col("hour_of_day") if "hour_of_day" in telemetry.columns else F.hour("signal_ts")
+    return telemetry.groupBy("signal_date", hour.alias("hour_of_day")).agg(
+        *[F.avg(reading(telemetry, key)).alias(name) for key, name in zip(SIGNAL_KEYS, AVG_COLUMNS)]
     )
 
 
@@ -114,8 +110,43 @@ def with_generation_indicator(hourly: DataFrame, **band_kwargs) -> DataFrame:
     )
 
 
-def hourly_generation(telemetry: DataFrame, exact_scale: int | None = None, **band_kwargs) -> DataFrame:
-    return with_generation_indicator(hourly_averages(telemetry, exact_scale), **band_kwargs)
+def hourly_generation(telemetry: DataFrame, **band_kwargs) -> DataFrame:
+    return with_generation_indicator(hourly_averages(telemetry), **band_kwargs)
+
+
+def minute_bitmaps(telemetry: DataFrame) -> DataFrame:
+    """(signal_date, hour_of_day, slots): the minutes of the hour that have a
+    reading, as a bitmap.
+
+    For tables whose times are whole minutes on their date, as ingest writes
+    them. There it stands for the distinct times exactly; a finer time, or one
+    on another date, fails the query (use ``daily_datapoints``). What is
+    shuffled is a bitmap per task, date and hour, in place of every distinct
+    (date, time).
+    """
+    ts = F.col("signal_ts")
+    whole = (F.date_trunc("minute", ts) == ts) & (F.to_date(ts) == F.col("signal_date"))
+    error = F.raise_error(F.lit("a time is no whole minute of its date: count distinct times instead")).cast("int")
+    minute = F.when(ts.isNull(), F.lit(None).cast("int")).when(whole, F.minute(ts)).otherwise(error)
+    return telemetry.groupBy("signal_date", F.hour(ts).alias("hour_of_day")).agg(slot_bitmap(minute).alias("slots"))
+
+
+def hourly_from_bitmaps(bitmaps: DataFrame, expected_per_hour: int | None = EXPECTED_PER_HOUR) -> DataFrame:
+    """``hourly_datapoints`` from the output of ``minute_bitmaps``."""
+    counts = bitmaps.select("signal_date", "hour_of_day", F.bitmap_count("slots").alias("distinct_ts_count"))
+    return _completeness(counts, expected_per_hour)
+
+
+def daily_from_bitmaps(bitmaps: DataFrame, expected_per_day: int | None = EXPECTED_PER_DAY) -> DataFrame:
+    """``daily_datapoints`` from the output of ``minute_bitmaps``."""
+    return daily_from_hourly(hourly_from_bitmaps(bitmaps, None), expected_per_day)
+
+
+def slots_seen(bitmaps: DataFrame) -> DataFrame:
+    """(hour_of_day, n_slots): how many of the hour's minutes have a reading
+    on any date, from the same bitmaps."""
+    seen = bitmaps.groupBy("hour_of_day").agg(F.bitmap_or_agg("slots").alias("slots"))
+    return seen.select("hour_of_day", F.bitmap_count("slots").alias("n_slots"))
 
 
 def to_long(hourly: DataFrame, method: str = "explode") -> DataFrame:
@@ -144,8 +175,7 @@ def to_long(hourly: DataFrame, method: str = "explode") -> DataFrame:
 def rename_signals(
     long: DataFrame,
     mapping: DataFrame,
-    mapping_rows: int | None = None,
-    max_broadcast_rows: int = 100_000,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     assume_unique: bool = False,
 ) -> DataFrame:
     """Left join of the long table with the signal-name dimension.
@@ -154,7 +184,7 @@ def rename_signals(
     repeats a key), so the join cannot multiply rows; an unmapped signal
     keeps a null ``sig_mapping_name``. Pass ``assume_unique`` when that is
     already known (``mapping_frame`` guarantees it) to skip the aggregate.
-    The dimension is broadcast behind a row-count check.
+    The dimension is broadcast behind a check of its bytes.
     """
     dim = mapping if assume_unique else unique_mapping(mapping)
     joined = join_dimension(
@@ -162,7 +192,6 @@ def rename_signals(
         dim,
         on="sig_name",
         how="left",
-        max_broadcast_rows=max_broadcast_rows,
-        dim_rows=mapping_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
     return joined.select(*LONG_COLUMNS)

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
+#: Bytes of a dimension's rows, as JSON text, up to which it is broadcast.
+MAX_BROADCAST_BYTES = 8 << 20
 
 
-def dimension_rows(dim: DataFrame, limit: int) -> int:
-    """Row count of ``dim`` capped at ``limit + 1`` (stops reading early)."""
-    return dim.limit(limit + 1).count()
+def dimension_bytes(dim: DataFrame) -> int:
+    """Bytes of the rows of ``dim`` as JSON text (one pass over it)."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")
+    return dim.agg(size).first()["size"] or 0
 
 
 def join_dimension(
@@ -20,14 +22,10 @@ def join_dimension(
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    dim_rows: int | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``fact`` to ``dim``; ``dim`` is broadcast when it holds at most
-    ``max_broadcast_rows`` rows (known from ``dim_rows`` or counted with a
-    capped scan). A larger dimension takes a shuffle join that Spark (and AQE
-    at run time) plans, so the broadcast never grows with the data."""
-    if dim_rows is None:
-        dim_rows = dimension_rows(dim, max_broadcast_rows)
-    side = F.broadcast(dim) if dim_rows <= max_broadcast_rows else dim
-    return fact.join(side, on=on, how=how)
+    """Join ``fact`` to ``dim``; ``dim`` is broadcast when its rows take at
+    most ``max_broadcast_bytes``, however many they are. A larger dimension
+    takes a merge join, so the broadcast never grows with the data."""
+    small = dimension_bytes(dim) <= max_broadcast_bytes
+    return fact.join(F.broadcast(dim) if small else dim.hint("merge"), on=on, how=how)

@@ -15,14 +15,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigflow.functions.signals import signal_value
+from sigflow.functions.signals import reading
 from sigflow.schemas import FEATURE_COLUMNS, LABEL_COLUMN, SIGNAL_KEYS, TYPED_COLUMNS
+from sigflow.session import path_exists
 
 #: Directions of the features with less than this share of the largest
 #: variance (after scaling) count as rounding errors.
@@ -30,11 +32,9 @@ COLLINEAR = 1e-12
 
 
 def typed_signals(telemetry: DataFrame) -> DataFrame:
-    """Map lookups -> one double column per signal (null when missing or
-    unparsable)."""
-    return telemetry.withColumns(
-        {name: signal_value(key) for name, key in zip(TYPED_COLUMNS, SIGNAL_KEYS)}
-    )
+    """One double column per signal (null when missing or unparsable), from
+    the typed struct if the table has one, else from the map."""
+    return telemetry.withColumns({name: reading(telemetry, key) for name, key in zip(TYPED_COLUMNS, SIGNAL_KEYS)})
 
 
 def keep_complete(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -149,11 +149,42 @@ def train_power_model(
     return lr.fit(train)
 
 
+def train_pipeline(features: DataFrame, feature_cols: Sequence[str] = FEATURE_COLUMNS) -> PipelineModel:
+    """Assembler and regression as one ``pyspark.ml`` pipeline, fitted on
+    typed features (``power_features``). It scores typed features by itself,
+    saved and loaded too."""
+    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features")
+    return Pipeline(stages=[assembler, LinearRegression(featuresCol="features", labelCol=LABEL_COLUMN, maxIter=50)]).fit(features)
+
+
+def as_pipeline(model: LinearRegressionModel, feature_cols: Sequence[str] = FEATURE_COLUMNS) -> PipelineModel:
+    """A fitted regression with the assembler before it, as one model."""
+    return PipelineModel([VectorAssembler(inputCols=list(feature_cols), outputCol="features"), model])
+
+
+def save_model(model, spark, path: str) -> None:
+    """Write a fitted model of any kind; ``load_model`` reads it."""
+    if isinstance(model, LeastSquaresModel):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark, path: str):
+    """A model that ``save_model`` wrote: a pipeline, a regression model or a
+    ``LeastSquaresModel``, told apart by what is in the folder."""
+    if not path_exists(spark, f"{path}/metadata"):
+        return LeastSquaresModel.load(spark, path)
+    kind = spark.read.json(f"{path}/metadata").first()["class"]
+    return (PipelineModel if kind.endswith("PipelineModel") else LinearRegressionModel).load(path)
+
+
 def score(model, rows: DataFrame) -> DataFrame:
     """Append ``prediction``; the model (four numbers) travels with the tasks.
     A ``LinearRegressionModel`` needs assembled rows (assembled here when
-    they are not); a ``LeastSquaresModel`` reads the feature columns."""
-    if isinstance(model, LeastSquaresModel):
+    they are not); a pipeline or a ``LeastSquaresModel`` reads the feature
+    columns."""
+    if isinstance(model, (LeastSquaresModel, PipelineModel)):
         return model.transform(rows)
     if "features" not in rows.columns:
         rows = assemble(rows)
@@ -393,7 +424,8 @@ def train_and_evaluate(
     else:
         raise ValueError(f"unknown split {split!r}")
     if exclude_day is not None:
-        train = train.filter(F.col("signal_date") != day_literal(exclude_day))
+        # Rows without a date are on no day and stay.
+        train = train.filter(~F.col("signal_date").eqNullSafe(day_literal(exclude_day)))
     if engine == "moments":
         model = fit_least_squares(train)
     else:

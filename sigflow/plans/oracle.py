@@ -10,6 +10,7 @@ from __future__ import annotations
 from sigflow.operators.model import split_threshold
 from sigflow.plans.queries import PREDICT_DAY, PREVIEW_ROWS, TRAIN_FRACTION
 from sigflow.plans.staging import SECOND_DELIVERY_FROM
+from sigflow.sources.testdata import DAMAGED_EVERY
 from sigflow.schemas import (
     ACTIVE_POWER,
     DATE_TIME,
@@ -41,16 +42,12 @@ INGESTED_TELEMETRY = f"""telemetry AS (
   FROM events)"""
 
 
-def _exact_avg(col: str) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({col})"
-
-
 HOURLY = f"""hourly AS (
   SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,
-         {_exact_avg('active_power')} AS avg_active_power,
-         {_exact_avg('wind_speed')} AS avg_wind_speed,
-         {_exact_avg('theoretical_curve')} AS avg_theoretical_power_curve,
-         {_exact_avg('wind_direction')} AS avg_wind_direction
+         AVG(active_power) AS avg_active_power,
+         AVG(wind_speed) AS avg_wind_speed,
+         AVG(theoretical_curve) AS avg_theoretical_power_curve,
+         AVG(wind_direction) AS avg_wind_direction
   FROM telemetry GROUP BY 1, 2),
 gen AS (
   SELECT *, CASE
@@ -58,7 +55,13 @@ gen AS (
       WHEN avg_active_power >= 200 AND avg_active_power < 600 THEN 'Medium'
       WHEN avg_active_power >= 600 AND avg_active_power < 1000 THEN 'High'
       ELSE 'Exceptional' END AS generation_indicator
-  FROM hourly)"""
+  FROM hourly),
+rounded AS (
+  SELECT signal_date, hour_of_day, generation_indicator, ROUND(avg_active_power, 6) AS avg_active_power,
+         ROUND(avg_wind_speed, 6) AS avg_wind_speed,
+         ROUND(avg_theoretical_power_curve, 6) AS avg_theoretical_power_curve,
+         ROUND(avg_wind_direction, 6) AS avg_wind_direction
+  FROM gen)"""
 
 
 def _sql_str(text: str) -> str:
@@ -66,7 +69,7 @@ def _sql_str(text: str) -> str:
 
 
 LONG = "long AS (\n" + "\n  UNION ALL\n".join(
-    f"  SELECT signal_date, hour_of_day, generation_indicator, {_sql_str(key)} AS sig_name, {col} AS value FROM gen"
+    f"  SELECT signal_date, hour_of_day, generation_indicator, {_sql_str(key)} AS sig_name, {col} AS value FROM rounded"
     for key, col in (
         (ACTIVE_POWER, "avg_active_power"),
         (WIND_SPEED, "avg_wind_speed"),
@@ -153,6 +156,24 @@ def _day_predictions(model: str) -> str:
 FROM features WHERE signal_date = {_DAY}"""
 
 
+# Messages with damage: which kind, and the text.
+_KIND = f"CASE WHEN event_id % {DAMAGED_EVERY} = 0 THEN (event_id // {DAMAGED_EVERY}) % 3 END"
+_BAD_TEXT = f"""CASE {_KIND}
+  WHEN 0 THEN '{{"Date/Time":"01 01 2024 00:00","row_id":' || event_id
+  WHEN 1 THEN '{{"Date/Time":"01 01 2024 00:00","Wind Speed (m/s)":"calm","row_id":' || event_id || '}}'
+  WHEN 2 THEN '{{"Date/Time":"31 02 2024 00:00","row_id":' || event_id || '}}' END"""
+_BATCHES = f"""SELECT CAST(signal_ts AS DATE) AS signal_date, signal_ts, true AS has_create_date, true AS has_create_ts,
+       CASE WHEN kind IS NULL THEN active_power END AS active_power, CASE WHEN kind IS NULL THEN wind_speed END AS wind_speed,
+       CASE WHEN kind IS NULL THEN theoretical_curve END AS theoretical_curve,
+       CASE WHEN kind IS NULL THEN wind_direction END AS wind_direction, malformed
+FROM (
+  SELECT CASE {_KIND} WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP '2024-01-01 00:00:00' WHEN 2 THEN NULL
+         ELSE date_trunc('minute', ts) END AS signal_ts,
+         {_ACTIVE} AS active_power, {_SPEED} AS wind_speed, {_THEO} AS theoretical_curve, {_DIR} AS wind_direction,
+         {_KIND} AS kind, {_BAD_TEXT} AS malformed
+  FROM events)"""
+
+
 def _restart() -> str:
     first = f"ts < TIMESTAMP '{SECOND_DELIVERY_FROM}' OR ts IS NULL"
     return f"""WITH c AS (
@@ -168,13 +189,31 @@ SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,
        ROUND(AVG(active_power), 6) AS avg_active_power, ROUND(AVG(wind_speed), 6) AS avg_wind_speed,
        ROUND(AVG(theoretical_curve), 6) AS avg_theoretical_power_curve, ROUND(AVG(wind_direction), 6) AS avg_wind_direction
 FROM telemetry GROUP BY 1, 2""",
-    "hourly_generation": f"WITH {TELEMETRY},\n{HOURLY}\nSELECT * FROM gen",
+    "hourly_generation_typed": f"WITH {TELEMETRY},\n{HOURLY}\nSELECT * FROM rounded",
+    "hourly_generation_bucketed": f"WITH {TELEMETRY},\n{HOURLY}\nSELECT * FROM rounded",
+    "hourly_generation": f"WITH {TELEMETRY},\n{HOURLY}\nSELECT * FROM rounded",
     "daily_datapoints": f"""WITH {TELEMETRY}
 SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
        {EXPECTED_PER_DAY} AS expected_count,
        {EXPECTED_PER_DAY} - COUNT(DISTINCT signal_ts) AS missing_count,
        COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
 FROM telemetry GROUP BY signal_date""",
+    "daily_datapoints_bitmap": f"""WITH {INGESTED_TELEMETRY}
+SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
+       {EXPECTED_PER_DAY} AS expected_count,
+       {EXPECTED_PER_DAY} - COUNT(DISTINCT signal_ts) AS missing_count,
+       COUNT(DISTINCT signal_ts) = {EXPECTED_PER_DAY} AS is_complete
+FROM telemetry GROUP BY signal_date""",
+    "hourly_datapoints_bitmap": f"""WITH {INGESTED_TELEMETRY}
+SELECT signal_date, CAST(hour(signal_ts) AS INTEGER) AS hour_of_day,
+       COUNT(DISTINCT signal_ts) AS distinct_ts_count,
+       {EXPECTED_PER_HOUR} AS expected_count,
+       {EXPECTED_PER_HOUR} - COUNT(DISTINCT signal_ts) AS missing_count,
+       COUNT(DISTINCT signal_ts) = {EXPECTED_PER_HOUR} AS is_complete
+FROM telemetry GROUP BY 1, 2""",
+    "minutes_seen": f"""WITH {INGESTED_TELEMETRY}
+SELECT CAST(hour(signal_ts) AS INTEGER) AS hour_of_day, COUNT(DISTINCT minute(signal_ts)) AS n_slots
+FROM telemetry GROUP BY 1""",
     "daily_from_hourly": f"""WITH {TELEMETRY}
 SELECT signal_date, COUNT(DISTINCT signal_ts) AS distinct_ts_count,
        {EXPECTED_PER_DAY} AS expected_count,
@@ -197,7 +236,7 @@ FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name""",
 SELECT l.signal_date, l.hour_of_day, l.generation_indicator, l.sig_name, m.sig_mapping_name, l.value
 FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name""",
     "hourly_preview": f"""WITH {TELEMETRY},\n{HOURLY}
-SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
+SELECT * FROM rounded ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "raw_csv_scan": RAW_SELECT,
     "raw_csv_scan_inferred": RAW_SELECT,
     "csv_inferred_to_topic": RAW_SELECT,
@@ -205,8 +244,16 @@ SELECT * FROM gen ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "csv_to_topic": RAW_SELECT,
     "ingest_batch": INGESTED_SELECT,
     "topic_to_table": INGESTED_SELECT,
-    "ingested_hourly_generation": f"WITH {INGESTED_TELEMETRY},\n{HOURLY}\nSELECT * FROM gen",
+    "ingested_hourly_generation": f"WITH {INGESTED_TELEMETRY},\n{HOURLY}\nSELECT * FROM rounded",
     "stream_restart": _restart(),
+    "batch_ingest": _BATCHES,
+    "batch_replay": _BATCHES,
+    "batch_ledger": f"""SELECT true AS several_batches, COUNT(*) AS rows_written,
+       COUNT({_BAD_TEXT}) AS rows_malformed, COUNT(*) FILTER (WHERE {_KIND} IN (0, 2) OR ts IS NULL) AS rows_untimed
+FROM events""",
+    "quarantine": f"SELECT {_BAD_TEXT} AS malformed FROM events WHERE {_BAD_TEXT} IS NOT NULL",
+    "deduplicated_ingest": f"""SELECT DISTINCT signal_ts, active_power, wind_speed, theoretical_curve, wind_direction, malformed
+FROM ({_BATCHES})""",
     "telemetry_preview": f"""WITH {TELEMETRY}
 SELECT signal_date, signal_ts, active_power, wind_speed, theoretical_curve, wind_direction
 FROM telemetry
@@ -263,6 +310,7 @@ SELECT round(MIN(least(active_power, prediction)), 2) AS min_val,
        round(MAX(greatest(active_power, prediction)), 2) AS max_val
 FROM test_pred""",
     "predict_day": f"WITH {TELEMETRY},\n{FEATURES},\n{MODEL}\n{_day_predictions('model')}",
-    "predict_day_holdout": f"""WITH {TELEMETRY},\n{FEATURES},\n{_fit('holdout', f'is_train AND signal_date <> {_DAY}')}
+    "predict_day_saved": f"WITH {TELEMETRY},\n{FEATURES},\n{MODEL}\n{_day_predictions('model')}",
+    "predict_day_holdout": f"""WITH {TELEMETRY},\n{FEATURES},\n{_fit('holdout', f'is_train AND signal_date IS DISTINCT FROM {_DAY}')}
 {_day_predictions('holdout')}""",
 }

@@ -75,6 +75,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Rename a written folder to its published name; if another application
+    was first, its folder stays."""
+    fs, source = _hadoop_path(spark, written)
+    target = _hadoop_path(spark, path)[1]
+    fs.mkdirs(target.getParent())
+    if not fs.exists(target) and not fs.rename(source, target) and not fs.exists(target):
+        raise OSError(f"could not publish {path}")
+
+
+def file_paths(spark: SparkSession, path: str) -> list:
+    """The files below a folder (or the file itself) as Hadoop paths; none if
+    it does not exist. Hidden folders are left out."""
+    fs, root = _hadoop_path(spark, path)
+    if not fs.exists(root):
+        return []
+    found, waiting = [], [fs.getFileStatus(root)]
+    while waiting:
+        at = waiting.pop()
+        if at.isFile():
+            found.append(at.getPath())
+        elif at.getPath() == root or not at.getPath().getName().startswith(("_", ".")):
+            waiting += list(fs.listStatus(at.getPath()))
+    return found
+
+
 def file_signature(spark: SparkSession, path: str) -> str | None:
     """A hash of the names, sizes and modification times of a file, or of all
     files below a folder, through the cluster file system; None when it does

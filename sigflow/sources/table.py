@@ -87,6 +87,32 @@ def write_table(
     writer.save(cfg.path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str] = ("signal_date", "hour_of_day")) -> DataFrame:
+    """Write ``df`` as a table of the session's catalog, bucketed and sorted
+    by date and hour (added if missing), and return it.
+
+    An aggregate by these keys reads each bucket in a task and needs no
+    shuffle (``hourly_averages``). Rows are dealt by the keys, so an hour that
+    holds much of the table makes one bucket large: use ``write_table`` with
+    ``rebalance`` for such data. Sessions with another catalog register the
+    folder by ``open_bucketed``.
+    """
+    if "hour_of_day" in keys and "hour_of_day" not in df.columns:
+        df = df.withColumn("hour_of_day", F.hour("signal_ts"))
+    # One task per bucket, so that it is one file.
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, schema: str, buckets: int, keys: Sequence[str] = ("signal_date", "hour_of_day")) -> DataFrame:
+    """Register a folder that ``write_bucketed`` wrote; ``schema`` as DDL."""
+    names = ", ".join(keys)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY ({names}) SORTED BY ({names}) INTO {int(buckets)} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
 def spread_by_partition(df: DataFrame, keys: Sequence[str], files_per_partition: int) -> DataFrame:
     """Shuffle so that each value of ``keys`` goes to at most
     ``files_per_partition`` tasks: hash of the keys plus a salt drawn per

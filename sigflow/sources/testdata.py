@@ -51,3 +51,20 @@ def events_telemetry(events: DataFrame) -> DataFrame:
         F.current_timestamp().alias("create_ts"),
         signals_map(SIGNAL_KEYS, _signal_columns()).alias("signals"),
     )
+
+
+#: Of so many events one comes as a message that can't be read in full.
+DAMAGED_EVERY = 50
+
+
+def events_messages(events: DataFrame) -> DataFrame:
+    """Events as topic messages (``value``); one in ``DAMAGED_EVERY`` is cut
+    off, has a word for a number, or a day that no month has, in turn."""
+    kind = F.when(F.col("event_id") % DAMAGED_EVERY == 0, F.floor(F.col("event_id") / DAMAGED_EVERY) % 3)
+    number = F.col("event_id").cast("string")
+    cut = F.concat(F.lit('{"Date/Time":"01 01 2024 00:00","row_id":'), number)
+    word = F.concat(F.lit('{"Date/Time":"01 01 2024 00:00","Wind Speed (m/s)":"calm","row_id":'), number, F.lit("}"))
+    day = F.concat(F.lit('{"Date/Time":"31 02 2024 00:00","row_id":'), number, F.lit("}"))
+    raw = events.select("*", *[c.alias(n) for n, c in zip([DATE_TIME, *SIGNAL_KEYS], [F.date_format("ts", TIMESTAMP_FORMAT), *_signal_columns()], strict=True)])
+    whole = F.to_json(F.struct(*[F.col(f"`{n}`") for n in (DATE_TIME, *SIGNAL_KEYS)]))
+    return raw.select(F.when(kind == 0, cut).when(kind == 1, word).when(kind == 2, day).otherwise(whole).alias("value"))

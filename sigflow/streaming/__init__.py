@@ -1,6 +1,17 @@
 """Structured Streaming queries: CSV -> topic, topic -> table."""
 
+from sigflow.streaming.batches import ingest_batches, read_batches, read_ledger, read_quarantine
+from sigflow.streaming.dedupe import drop_repeats
 from sigflow.streaming.producer import publish_csv
 from sigflow.streaming.subscriber import ingest_topic, telemetry_stream
 
-__all__ = ["ingest_topic", "publish_csv", "telemetry_stream"]
+__all__ = [
+    "drop_repeats",
+    "ingest_batches",
+    "ingest_topic",
+    "publish_csv",
+    "read_batches",
+    "read_ledger",
+    "read_quarantine",
+    "telemetry_stream",
+]

@@ -80,14 +80,6 @@ def test_hourly_average_skips_missing_and_weights_duplicates(spark):
     assert out[1].generation_indicator == "Exceptional"
 
 
-def test_exact_and_plain_average_agree(spark):
-    rows = [(f"2024-01-01 00:{m:02d}:00", full(0.1 * m + 0.07)) for m in range(60)]
-    t = telemetry(spark, rows)
-    a = hourly_averages(t).first()
-    b = hourly_averages(t, exact_scale=4).first()
-    assert a.avg_active_power == pytest.approx(b.avg_active_power, rel=1e-12)
-
-
 def test_long_has_four_rows_per_hour_with_nulls(spark):
     rows = [("2024-01-01 00:00:00", {ACTIVE_POWER: "1"}), ("2024-01-01 05:00:00", full(2))]
     hourly = hourly_generation(telemetry(spark, rows))
@@ -117,7 +109,7 @@ def test_rename_large_dimension_takes_shuffle_join(spark):
     long = to_long(hourly_generation(telemetry(spark, rows)))
     small = rename_signals(long, mapping_frame(spark))
     assert uses_broadcast_join(small)
-    big = rename_signals(long, mapping_frame(spark), max_broadcast_rows=2)
+    big = rename_signals(long, mapping_frame(spark), max_broadcast_bytes=2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert not uses_broadcast_join(big)

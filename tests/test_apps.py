@@ -41,3 +41,23 @@ def test_four_stages(spark, scratch):
                                           "--engine", "ml"]))
     ml = spark.read.parquet(f"{out}_ml/model_coefficients").first()
     assert abs(ml.intercept - model.intercept) < 1e-6 * abs(model.intercept)
+    # The saved models predict the day again, without training.
+    for kind in ("", "_ml"):
+        apps.run_predict(spark, p.parse_args(["predict", "--table", table, "--out", f"{out}{kind}_again", "--day", "2024-01-15",
+                                              "--model", f"{out}{kind}/model"]))
+        names = [spark.read.parquet(f"{out}{kind}{x}/predictions_2024-01-15") for x in ("", "_again")]
+        assert sorted(map(tuple, names[0].collect())) == sorted(map(tuple, names[1].collect()))
+    assert not os.path.exists(f"{out}_again/model")
+
+
+def test_subscribe_by_batches(spark, scratch):
+    topic, table = os.path.join(scratch, "topic"), os.path.join(scratch, "table")
+    os.makedirs(topic)
+    with open(os.path.join(topic, "m.txt"), "w", encoding="utf-8") as fh:
+        fh.write('{"Date/Time":"01 01 2024 00:10","Wind Speed (m/s)":2.5}\nnot json\n')
+    p = apps.parser()
+    apps.run_subscribe(spark, p.parse_args(["subscribe", "--topic-path", topic, "--table", table, "--checkpoint", os.path.join(scratch, "ck"),
+                                            "--ledger", os.path.join(scratch, "ledger"), "--quarantine", os.path.join(scratch, "bad")]))
+    rows = spark.read.parquet(table)
+    assert rows.count() == 2 and rows.filter("readings.wind_speed = 2.5").count() == 1
+    assert [r.malformed for r in spark.read.parquet(os.path.join(scratch, "bad")).collect()] == ["not json"]

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sigflow.functions import band, exact_avg, parse_signal_ts, signal_value, signals_map
+from sigflow.functions import band, parse_signal_ts, signal_value, signals_map
 from sigflow.schemas import ACTIVE_POWER, SIGNAL_KEYS, WIND_SPEED
 
 
@@ -60,32 +60,3 @@ def test_parse_ts_strict(spark):
     got = [r.ts for r in df.select(parse_signal_ts(F.col("t")).alias("ts")).collect()]
     assert got[0] is not None and got[0].minute == 10
     assert got[1:] == [None, None, None]
-
-
-def test_exact_avg_matches_decimal_arithmetic(spark):
-    vals = [0.1, 0.2, 0.3, 1e6 + 0.0001, None, float("nan")]
-    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(3)
-    got = df.agg(exact_avg(F.col("v")).alias("a"), F.avg("v").alias("b")).first()
-    assert math.isclose(got.a, (0.1 + 0.2 + 0.3 + 1e6 + 0.0001) / 4, rel_tol=1e-15)
-    assert math.isnan(got.b)  # plain avg propagates NaN; the exact form skips it
-
-
-def test_exact_avg_negative_and_order_independent(spark):
-    import random
-
-    rnd = random.Random(7)
-    vals = [round(rnd.uniform(-5000, 5000), 2) for _ in range(2000)]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    a = df.repartition(1).agg(exact_avg(F.col("v")).alias("a")).first().a
-    b = df.repartition(7).agg(exact_avg(F.col("v")).alias("a")).first().a
-    assert a == b
-    from decimal import Decimal
-
-    exact = float(sum(Decimal(str(v)) for v in vals)) / len(vals)
-    assert a == pytest.approx(exact, rel=1e-15)
-
-
-def test_exact_avg_out_of_range_fails(spark):
-    df = spark.createDataFrame([(1e20,)], "v double")
-    with pytest.raises(Exception):
-        df.agg(exact_avg(F.col("v"))).collect()

@@ -68,20 +68,6 @@ def test_band_matches_rule(spark, values):
     assert got == [_band_rule(v) for v in values]
 
 
-@SETTINGS
-@given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=40), st.integers(1, 6))
-def test_exact_avg_is_decimal_exact(spark, units, parts):
-    from decimal import Decimal
-
-    from sigflow.functions import exact_avg
-
-    values = [u / 10_000 for u in units]  # at most 4 decimals
-    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
-    got = df.agg(exact_avg(F.col("v")).alias("a")).first().a
-    want = float(sum(Decimal(u) for u in units) / Decimal(10_000)) / len(units)
-    assert got == want
-
-
 @SETTINGS
 @given(st.lists(st.tuples(st.one_of(st.none(), st.floats(width=64)), st.one_of(st.none(), st.floats(width=64))),
                 min_size=1, max_size=25))
