@@ -39,7 +39,7 @@ NODES = 4_000
 LISTED = 200_000
 FILLINGS = 4
 #: Nodes of a first search without the relaxation's prices.
-DIVE = 1_000
+DIVE = 4_000
 #: Pivots of the linear relaxations, in all.
 PIVOTS = 4_000
 
