@@ -55,14 +55,19 @@ class Settings:
     seed: int = 7
 
 
-def parts(word: str, s: Settings) -> list[int]:
-    """Slots of a word and of its character n-grams; long words have the
+def grams(word: str, s: Settings) -> set[str]:
+    """A word's parts: itself and its character n-grams; long words have the
     n-grams of every place too."""
     marked = f"<{word}>"
-    grams = {marked}
+    found = {marked}
     for n in range(s.n_min, s.n_max + 1):
-        grams.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode()) % s.slots for g in grams]
+        found.update([marked[i : i + n] for i in range(len(marked) - n + 1)])
+    return found
+
+
+def parts(word: str, s: Settings) -> list[int]:
+    """Slots of a word's parts."""
+    return [zlib.crc32(g.encode()) % s.slots for g in grams(word, s)]
 
 
 def text_bag(text: str, s: Settings, memory: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -161,15 +166,29 @@ def _step(model: Model, seen: list[np.ndarray], bags: list, labels: np.ndarray,
         a -= 0.3 * rate * g / np.sqrt(seen[k])
 
 
+class PartScores(dict):
+    """Score of each part: its slot's."""
+
+    def __init__(self, slot_scores: np.ndarray, s: Settings):
+        super().__init__()
+        self.slot_scores, self.slots = slot_scores.tolist(), s.slots
+
+    def __missing__(self, part: str) -> float:
+        value = self[part] = self.slot_scores[zlib.crc32(part.encode()) % self.slots]
+        return value
+
+
 class Scorer(dict):
-    """Score of each word; ``score`` takes a text."""
+    """Score of each word, the average over its parts; ``score`` takes a
+    text. Words and parts are remembered within bounds, across tasks."""
 
     def __init__(self, slot_scores: np.ndarray, base: float, s: Settings):
         super().__init__()
-        self.slot_scores, self.base, self.settings = slot_scores, base, s
+        self.part_scores, self.base, self.settings = PartScores(slot_scores, s), base, s
 
     def __missing__(self, word: str) -> float:
-        value = self[word] = float(self.slot_scores[parts(word, self.settings)].mean())
+        own = grams(word, self.settings)
+        value = self[word] = sum(map(self.part_scores.__getitem__, own)) / len(own)
         return value
 
     def score(self, text: str) -> float:
@@ -177,6 +196,8 @@ class Scorer(dict):
         total = sum(map(self.__getitem__, words))
         if len(self) > REMEMBERED:
             self.clear()
+        if len(self.part_scores) > REMEMBERED:
+            self.part_scores.clear()
         logit = self.base + (total / len(words) if words else 0.0)
         return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
 
@@ -237,7 +258,6 @@ def score_udf(spark, model: Model, settings: Settings = Settings()):
         scorer = worker_state(key, lambda: Scorer(values.value, base, settings))
         for t in texts:
             yield pd.Series([scorer.score(x) for x in t], dtype="float64")
-        scorer.clear()
 
     return score
 

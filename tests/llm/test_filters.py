@@ -5,6 +5,7 @@ import hashlib
 import io
 
 import duckdb
+import numpy as np
 import pytest
 
 from conftest import SF001, SF01
@@ -147,3 +148,47 @@ def test_toxicity_edges(spark, docs):
     assert len(rows) == docs.count() and all(r.predicted == 0 for r in rows)
     assert toxicity.keep_clean(docs, none).columns == docs.columns
     assert toxicity.toxicity(docs.limit(0), none).count() == 0
+
+
+# ------------------------------------------------- toxicity, by brute force
+def _loss(model, bags, labels):
+    total = 0.0
+    for (slot, weight), label in zip(bags, labels, strict=True):
+        hidden = sum((w * model.vectors[k].astype(float) for k, w in zip(slot, weight, strict=True)), np.zeros(model.vectors.shape[1]))
+        logits = hidden @ model.classes.astype(float) + model.bias.astype(float)
+        total += np.log(np.exp(logits).sum()) - logits[label]
+    return total
+
+
+def test_toxicity_step_follows_the_numeric_gradient():
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(0, 0.5, (12, 3)), rng.normal(0, 0.5, (3, 2)), rng.normal(0, 0.5, 2))
+    bags = [(np.sort(rng.choice(12, 4, replace=False)).astype(np.int32), rng.random(4)) for _ in range(5)]
+    labels = np.array([0, 1, 1, 0, 1])
+    before = [a.copy() for a in (model.vectors, model.classes, model.bias)]
+    want = []
+    for a in (model.vectors, model.classes, model.bias):
+        g = np.zeros_like(a)
+        for at in np.ndindex(a.shape):
+            a[at] += 1e-5
+            up = _loss(model, bags, labels)
+            a[at] -= 2e-5
+            g[at] = (up - _loss(model, bags, labels)) / 2e-5
+            a[at] += 1e-5
+        want.append(g)
+    seen = [np.ones_like(a) for a in before]
+    toxicity._step(model, seen, bags, labels, 0.1)
+    for a, old, g, rate in zip((model.vectors, model.classes, model.bias), before, want, (0.1, 0.03, 0.03), strict=True):
+        assert np.allclose(old - a, rate * g / np.sqrt(1 + g**2), atol=1e-5)
+
+
+def test_toxicity_score_is_the_average_over_words_and_parts():
+    s = toxicity.Settings()
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(0, 1, (s.slots, s.width)).astype(np.float32), rng.normal(0, 1, (s.width, 2)).astype(np.float32), np.array([0.2, -0.1], np.float32))
+    scorer = toxicity.Scorer(model.slot_scores(), model.base, s)
+    for text in ("Some words, some WORDS again", "naïve Straße ☃", "x", "", "12 34"):
+        slot, weight = toxicity.text_bag(text, s, {})
+        logits = (weight @ model.vectors[slot] if len(slot) else np.zeros(s.width)) @ model.classes + model.bias
+        want = 1 / (1 + np.exp(logits[0] - logits[1]))
+        assert abs(scorer.score(text) - want) < 1e-5
