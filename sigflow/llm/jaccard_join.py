@@ -54,8 +54,10 @@ MORE = 20
 NGRAM_BITS = 22
 WORD_BITS = 20
 SLICES = 20
-#: Prefix n-grams per partition, n-grams of a block's sets: sizes of work.
-POSTINGS = 4_000_000
+#: Prefix n-grams per group of postings, n-grams of a block's sets: sizes of
+#: work. Partitions of postings, at most.
+POSTINGS = 400_000
+PARTITIONS = 1 << 15
 BLOCK_NGRAMS = 400_000
 REMEMBERED = 300_000
 
@@ -312,31 +314,38 @@ def _fingerprints(rows: DataFrame, kind: str) -> DataFrame:
     return map_rows(rows, run, f"id {kind}, key string, n long, sig binary, node long, part int, slice int, counts binary")
 
 
+#: Tables that are summed at a time.
+FAN_IN = 64
+
+
 def _slot_counts(fingerprints: DataFrame) -> np.ndarray:
     """The slots' counts over all documents, tables of fixed size: slices are
-    summed in Spark, 64 tasks' at a time, then all."""
+    summed in Spark, FAN_IN tables at a time, in as many rounds as it takes."""
 
-    def add(first: type):
+    def add(kind: type):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             total: np.ndarray = 0
             for x in pdf["counts"]:
-                total = total + np.frombuffer(zlib.decompress(x), first).astype(np.int64)
-            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+                total = total + np.frombuffer(zlib.decompress(x), kind).astype(np.int64)
+            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
         return run
 
-    rows = fingerprints.filter("slice IS NOT NULL").select("slice", "counts", F.floor(F.col("part") / 64).alias("many"))
-    rows = rows.groupBy("slice", "many").applyInPandas(add(np.int32), "slice int, counts binary")
-    rows = rows.groupBy("slice").applyInPandas(add(np.int64), "slice int, counts binary")
+    rows = fingerprints.filter("slice IS NOT NULL").select("slice", "part", "counts")
+    tables, kind = (rows.agg(F.max("part")).first()[0] or 0) + 1, np.int32
+    while kind is np.int32 or tables > 1:
+        rows = rows.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+        rows = rows.groupBy("slice", "part").applyInPandas(add(kind), "slice int, part int, counts binary")
+        tables, kind = -(-tables // FAN_IN), np.int64
     out = np.zeros((SLICES, ((1 << NGRAM_BITS) + (1 << WORD_BITS)) // SLICES), np.int64)
     for r in rows.collect():
         out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out.reshape(-1)
 
 
-def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
-    """The prefixes' n-grams dealt by hash: rows (r, low half of the n-grams,
-    nodes). Equal sets of a task are dealt once."""
+def _postings(rows: DataFrame, order, n_groups: int) -> DataFrame:
+    """The prefixes' n-grams dealt by hash to groups: rows (r, low half of the
+    n-grams, nodes). Equal sets of a task are dealt once."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         seen: set[int] = set()
@@ -344,7 +353,7 @@ def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
 
         def dealt() -> dict:
             g, owner = np.concatenate(grams), np.concatenate(nodes)
-            r = ((g >> np.uint64(24) & _LOW) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+            r = ((g >> np.uint64(24) & _LOW) * np.uint64(n_groups) >> np.uint64(32)).astype(np.int64)
             by = np.argsort(r, kind="stable")
             r, g, owner = r[by], (g[by] & _LOW).astype(np.uint32), owner[by]
             cuts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
@@ -376,7 +385,7 @@ def _postings(rows: DataFrame, order, n_parts: int) -> DataFrame:
     return map_rows(rows, run, "r int, grams binary, nodes binary")
 
 
-def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
+def _memberships(postings: DataFrame, n_groups: int) -> DataFrame:
     """(leader, node, shared, more): the nodes that share a prefix n-gram
     with a leader, the smallest node of theirs, and the leader itself; how
     many n-grams, and whether three nodes or more share one of them. N-grams
@@ -397,10 +406,12 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
         found = size > 1
         if not found.any():
             return None
-        both, at = np.unique(np.stack([owner[first][found], owner[found]], axis=1), axis=0, return_inverse=True)
-        at = at.reshape(-1)
-        more = np.bincount(at, size[found] > 2) > 0
-        return {"leader": both[:, 0], "node": both[:, 1], "shared": np.bincount(at), "more": more}
+        leader, node, several = owner[first[found]], owner[found], size[found] > 2
+        by = np.lexsort((node, leader))
+        leader, node, several = leader[by], node[by], several[by]
+        ends = np.flatnonzero(np.concatenate(([True], (leader[1:] != leader[:-1]) | (node[1:] != node[:-1]))))
+        shared = np.diff(np.append(ends, len(leader)))
+        return {"leader": leader[ends], "node": node[ends], "shared": shared, "more": np.logical_or.reduceat(several, ends)}
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         r, grams, nodes = None, [], []
@@ -415,7 +426,7 @@ def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
         if grams and (out := pairs(grams, nodes)):
             yield out
 
-    dealt = postings.repartition(n_parts, "r").sortWithinPartitions("r")
+    dealt = postings.repartition(min(n_groups, PARTITIONS), "r").sortWithinPartitions("r")
     found = map_rows(dealt, run, "leader long, node long, shared long, more boolean")
     return found.groupBy("leader", "node").agg(F.sum("shared").alias("shared"), F.max("more").alias("more"))
 
@@ -448,10 +459,10 @@ def _packed_words(rows: DataFrame) -> DataFrame:
 _BLOCK = ["leader", "block", "walk"]
 
 
-def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
-    """Links (a, b) of the assigned sets, joined with their texts and put
-    into a prefix tree block by block. ``assigned``: rep (an id), set (what
-    the links name), node, seed, member, leader, block, walk."""
+def _linked(assigned: DataFrame, order) -> DataFrame:
+    """Links (a, b) of the assigned sets, put into a prefix tree block by
+    block. ``assigned``: rep (an id), set (what the links name), node, seed,
+    member, leader, block, walk, words."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         key, block = None, []
@@ -488,16 +499,23 @@ def _linked(rows: DataFrame, assigned: DataFrame, order) -> DataFrame:
         if len(block) > 1 and (out := links()):
             yield out
 
-    # Both sides grow with the input: never broadcast, whatever its size now.
-    texts = _packed_words(rows).join(assigned.hint("merge"), F.col("id") == F.col("rep")).drop("id")
-    dealt = texts.repartition("leader", "block", "walk").sortWithinPartitions(*_BLOCK, "rep")
+    dealt = assigned.repartition("leader", "block", "walk").sortWithinPartitions(*_BLOCK, "rep")
     return map_rows(dealt, run, "a long, b long")
 
 
-def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order) -> DataFrame | None:
+def _own_block() -> Column:
+    """Blocks of a set: the leader is in every one, another set in one."""
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return F.explode(F.when(F.col("node") == F.col("leader"), every).otherwise(one))
+
+
+def _across_blocks(placed: DataFrame, known: DataFrame, order) -> DataFrame | None:
     """Links between the blocks of groups that have several, of sets that
-    are not in one component yet; None if there are no such sets."""
-    several = member.filter("blocks > 1").join(known.withColumnRenamed("node", "set"), "set", "left")
+    are not in one component yet; None if there are no such sets. Only these
+    groups' words are sent again."""
+    member = placed.filter("blocks > 1").select("rep", "set", "node", "n", "leader", "blocks").distinct()
+    several = member.join(known.withColumnRenamed("node", "set"), "set", "left")
     several = staged(several.withColumn("seed", F.coalesce("component", "set")), "several")
     if several.isEmpty():
         return None
@@ -510,14 +528,16 @@ def _across_blocks(rows: DataFrame, member: DataFrame, known: DataFrame, order)
         return None
     groups = walkers.groupBy("leader").agg(F.sum("n").alias("walking"), F.max("blocks").alias("blocks"))
     groups = groups.withColumn("walks", F.ceil(F.col("walking") / BLOCK_NGRAMS).cast("int"))
-    walks = walkers.drop("block").distinct().join(groups.select("leader", "walks"), "leader")
+    walks = walkers.join(groups.select("leader", "walks"), "leader")
     walks = walks.withColumn("walk", F.pmod(F.xxhash64("node"), F.col("walks")).cast("int"))
     walks = walks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-    stay = several.join(groups.select("leader", "walks"), "leader")
+    stay = several.join(groups.select("leader", "walks"), "leader").withColumn("block", _own_block())
     stay = stay.withColumn("walk", F.explode(F.sequence(F.lit(0), F.col("walks") - 1)))
     names = ("rep", "set", "node", "seed", "leader", "block", "walk")
     assigned = walks.select(*names, F.lit(False).alias("member")).unionByName(stay.select(*names, F.lit(True).alias("member")))
-    return _linked(rows, assigned, order)
+    words = placed.filter("blocks > 1").select("leader", "set", "words")
+    # Both sides grow with the input: never broadcast, whatever its size now.
+    return _linked(words.join(assigned.hint("merge"), ["leader", "set"]), order)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -548,21 +568,20 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, key: Column) -> DataFra
     reps = staged(reps.withColumn("set", F.monotonically_increasing_id()), "reps")
 
     total = own.agg(F.sum("n")).first()[0] or 0
-    n_parts = int(min(1 << 15, max(1, -(-total // (3 * POSTINGS)))))
+    # Slots of 22 bits at most: with the 32 below, an n-gram's own bits.
+    n_groups = int(min(1 << 22, max(1, -(-total // (3 * POSTINGS)))))
     known_rows = rows.filter("id IS NOT NULL").select("id", "t")
-    groups = staged(_memberships(_postings(known_rows.select("t"), order, n_parts), n_parts), "groups")
+    groups = staged(_memberships(_postings(known_rows.select("t"), order, n_groups), n_groups), "groups")
     member = staged(_candidates(groups, reps.select("rep", "set", "node", "n")), "members")
     sizes = member.groupBy("leader").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     member = member.join(sizes.drop("sets"), "leader").withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
-    # The leader is in every block, another member in one.
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    block = F.explode(F.when(F.col("node") == F.col("leader"), every).otherwise(one))
-    member = staged(member.select("rep", "set", "node", "n", "leader", "blocks", block.alias("block")), "blocks")
-    assigned = member.select("rep", "set", "node", F.col("set").alias("seed"), "leader", "block", F.lit(0).alias("walk"), F.lit(True).alias("member"))
-    links = staged(_linked(known_rows, assigned, order), "links")
+    # Both sides grow with the input: never broadcast, whatever its size now.
+    texts = _packed_words(known_rows).join(member.drop("size").hint("merge"), F.col("id") == F.col("rep")).drop("id")
+    placed = staged(texts, "placed")
+    assigned = placed.withColumns({"block": _own_block(), "seed": F.col("set"), "walk": F.lit(0), "member": F.lit(True)})
+    links = staged(_linked(assigned, order), "links")
     found = components(links)
-    more = _across_blocks(known_rows, member, found, order)
+    more = _across_blocks(placed, found, order)
     if more is not None:
         found = components(links.unionByName(more))
 
