@@ -55,8 +55,11 @@ NGRAM_BITS = 22
 WORD_BITS = 20
 SLICES = 20
 #: Prefix n-grams per group of postings, n-grams of a block's sets: sizes of
-#: work. Partitions of postings, at most.
+#: work. Groups of postings, at least and at most: two sets give a row for each
+#: group that has an n-gram of both, so with fewer groups the rows would grow
+#: with the groups. Partitions of postings, at most.
 POSTINGS = 400_000
+GROUPS = 256, 1 << 22
 PARTITIONS = 1 << 15
 BLOCK_NGRAMS = 400_000
 REMEMBERED = 300_000
@@ -385,7 +388,7 @@ def _postings(rows: DataFrame, order, n_groups: int) -> DataFrame:
     return map_rows(rows, run, "r int, grams binary, nodes binary")
 
 
-def _memberships(postings: DataFrame, n_groups: int) -> DataFrame:
+def _memberships(postings: DataFrame, n_parts: int) -> DataFrame:
     """(leader, node, shared, more): the nodes that share a prefix n-gram
     with a leader, the smallest node of theirs, and the leader itself; how
     many n-grams, and whether three nodes or more share one of them. N-grams
@@ -426,7 +429,7 @@ def _memberships(postings: DataFrame, n_groups: int) -> DataFrame:
         if grams and (out := pairs(grams, nodes)):
             yield out
 
-    dealt = postings.repartition(min(n_groups, PARTITIONS), "r").sortWithinPartitions("r")
+    dealt = postings.repartition(n_parts, "r").sortWithinPartitions("r")
     found = map_rows(dealt, run, "leader long, node long, shared long, more boolean")
     return found.groupBy("leader", "node").agg(F.sum("shared").alias("shared"), F.max("more").alias("more"))
 
@@ -568,10 +571,10 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, key: Column) -> DataFra
     reps = staged(reps.withColumn("set", F.monotonically_increasing_id()), "reps")
 
     total = own.agg(F.sum("n")).first()[0] or 0
-    # Slots of 22 bits at most: with the 32 below, an n-gram's own bits.
-    n_groups = int(min(1 << 22, max(1, -(-total // (3 * POSTINGS)))))
+    n_parts = int(max(1, -(-total // (3 * POSTINGS))))
+    n_groups = min(max(n_parts, GROUPS[0]), GROUPS[1])
     known_rows = rows.filter("id IS NOT NULL").select("id", "t")
-    groups = staged(_memberships(_postings(known_rows.select("t"), order, n_groups), n_groups), "groups")
+    groups = staged(_memberships(_postings(known_rows.select("t"), order, n_groups), min(n_parts, PARTITIONS)), "groups")
     member = staged(_candidates(groups, reps.select("rep", "set", "node", "n")), "members")
     sizes = member.groupBy("leader").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     member = member.join(sizes.drop("sets"), "leader").withColumn("blocks", F.ceil(F.col("size") / BLOCK_NGRAMS).cast("int"))
