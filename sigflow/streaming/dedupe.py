@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 from sigflow.operators.ingest import MALFORMED
 
 #: Slots per stretch of event time.
-SLOTS = 16
+SLOTS = 4
 _DIGEST = "digest"
 _STRETCH, _SLOT = "stretch", "slot"
 _STATE = "digests binary, seen binary"
