@@ -10,13 +10,20 @@ After a failed check the reader searches for the next gzip member or version
 line at which a record passes, goes on there, and reports the bytes between
 as a gap. A gzip member is inflated as a stream and its records are salvaged
 in the same way, so damage in a member costs the records it touches. What is
-held is one record, and of a member a bounded part.
+held is one record that passed, and of a member a bounded part: a long block
+is checked ahead, in steps, before it is held.
+
+One rule for all sizes: a record that passes its checks is given out, and it
+is ``verified`` if its block digest matched or if it is the only record of a
+member whose checksum matched. The only record of a damaged member is a gap.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
@@ -33,14 +40,16 @@ from sigflow.session import new_scratch_dir
 
 #: Payloads shorter than this are always stored.
 REVISIT_BYTES = 1000
+#: Keys that the rows of one payload are dealt over.
+SALTS = 16
 FILE_BYTES = 64 << 20
 READ_BYTES = 1 << 20
 HEADER_BYTES = 1 << 16
 #: Compressed bytes inflated at a time, and kept behind to search them again.
 INFLATE_BYTES = 1 << 16
 KEPT_BYTES = 4 << 20
-#: Bytes of a member's records that wait for the member's checksum.
-HELD_BYTES = 16 << 20
+#: Blocks longer than this are checked ahead before they are read.
+AHEAD_BYTES = 1 << 20
 #: Longer blocks cannot be a value of a row.
 BLOCK_BYTES = (1 << 31) - 1
 MAGIC = b"\x1f\x8b\x08"
@@ -100,6 +109,7 @@ class Record:
     length: int
     headers: dict[str, str] = field(default_factory=dict)
     block: bytes = b""
+    verified: bool = False
 
     @property
     def payload(self) -> bytes:
@@ -122,7 +132,8 @@ class Gap:
 
 
 class Stream:
-    """A file read forward, with what was not yet dropped at hand."""
+    """A file that can seek, read forward, with what was not yet dropped at
+    hand."""
 
     def __init__(self, file):
         self.file, self.data, self.start, self.ended = file, bytearray(), 0, False
@@ -140,6 +151,21 @@ class Stream:
         self.has(end)
         return bytes(memoryview(self.data)[begin - self.start : end - self.start])
 
+    def ahead(self, begin: int) -> Iterator[bytes]:
+        """What follows ``begin``, in parts that are not kept."""
+        at = self.start + len(self.data)
+        for i in range(begin, at, READ_BYTES):
+            yield self.get(i, min(i + READ_BYTES, at))
+        if isinstance(self.file, Inflated):
+            yield from self.file.ahead()
+            return
+        place = self.file.tell()
+        try:
+            while part := self.file.read(READ_BYTES):
+                yield part
+        finally:
+            self.file.seek(place)
+
     def drop(self, to: int) -> None:
         del self.data[: to - self.start]
         self.start = to
@@ -189,6 +215,21 @@ class Inflated:
                 return part
         return b""
 
+    def ahead(self) -> Iterator[bytes]:
+        """What follows in the member, up to its end or damage."""
+        z = self.z.copy()
+        with contextlib.closing(self.stream.ahead(self.at)) as more:
+            for raw in itertools.chain((self.raw,), more):
+                while raw and not z.eof:
+                    try:
+                        part = z.decompress(raw, READ_BYTES)
+                    except zlib.error:
+                        return
+                    raw = z.unconsumed_tail
+                    yield part
+                if z.eof:
+                    return
+
     @property
     def end(self) -> int:
         return self.at - len(self.z.unused_data)
@@ -205,11 +246,23 @@ def _until_error(z, raw: bytes) -> bytes:
     return b"".join(parts)
 
 
-def _parse(get, begin: int) -> tuple[Record, int]:
-    """The record at ``begin`` of what ``get(begin, end)`` gives, and its
-    end."""
+def _check_ahead(stream: Stream, first: int, last: int) -> None:
+    """Raise unless line ends follow the block from ``first`` to ``last``."""
+    left, tail = last - first, b""
+    with contextlib.closing(stream.ahead(first)) as parts:
+        for part in parts:
+            tail += part[left:]
+            left -= min(left, len(part))
+            if len(tail) >= len(END):
+                break
+    if tail[: len(END)] != END:
+        raise FailedCheck("the block does not end where its length says")
+
+
+def _parse(stream: Stream, begin: int) -> tuple[Record, int]:
+    """The record at ``begin`` of a stream, and its end."""
     size = 1024
-    while (end := (head := get(begin, begin + size)).find(END)) < 0:
+    while (end := (head := stream.get(begin, begin + size)).find(END)) < 0:
         if not head.startswith(VERSION[: len(head)]) or not head:
             raise FailedCheck("no version line")
         if len(head) < size or size >= HEADER_BYTES:
@@ -237,37 +290,38 @@ def _parse(get, begin: int) -> tuple[Record, int]:
         raise FailedCheck("the length is more than a block can have")
     first = begin + end + len(END)
     last = first + int(size or 0)
-    if get(last, last + len(END)) != END:
+    if last - first > AHEAD_BYTES:
+        _check_ahead(stream, first, last)
+    if stream.get(last, last + len(END)) != END:
         raise FailedCheck("the block does not end where its length says")
-    block = get(first, last)
+    block = stream.get(first, last)
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest != _sha1(block):
         raise FailedCheck("the block differs from its digest")
-    return Record(begin, last + len(END) - begin, headers, block), last + len(END)
+    return Record(begin, last + len(END) - begin, headers, block, digest.startswith("sha1:")), last + len(END)
 
 
 def _inside(content: Inflated) -> Iterator[Record | Gap]:
-    """Records and gaps of a gzip member, with the member's place.
-
-    In a damaged member records before the damage stay if they pass their own
-    checks: by a digest if bytes are wrong rather than missing. A member's
-    only record stands or falls with it. A gap at the damage is the caller's.
+    """Records and gaps of a gzip member, with the member's place. The first
+    record waits for a second one or the member's end: the only record of a
+    member stands or falls with it. A gap at the damage is the caller's.
     """
     inner, at, gap, reason = Stream(content), 0, None, ""
-    held: list[Record | Gap] = []
-    size, given = 0, False
+    first: Record | None = None
+    many = False
 
     def inner_gap(to: int) -> Gap:
         return Gap(0, 0, f"{reason} ({to - gap} bytes from byte {gap} of the member's content)" if gap or inner.has(to + 1) else reason)
 
-    def placed(items: list[Record | Gap], end: int) -> Iterator[Record | Gap]:
+    def placed(*items: Record | Gap | None) -> Iterator[Record | Gap]:
         for x in items:
-            x.offset, x.length = content.begin, end - content.begin
-            yield x
+            if x is not None:
+                x.offset, x.length = content.begin, content.end - content.begin
+                yield x
 
     while inner.has(at + 1):
         try:
-            record, end = _parse(inner.get, at)
+            record, end = _parse(inner, at)
         except FailedCheck as e:
             if gap is None:
                 gap, reason = at, str(e)
@@ -276,28 +330,24 @@ def _inside(content: Inflated) -> Iterator[Record | Gap]:
                 break
             at = found
             continue
-        if gap is not None:
-            held.append(inner_gap(at))
-            gap = None
-        held.append(record)
-        size += len(record.block)
+        skipped = inner_gap(at) if gap is not None else None
+        gap = None
+        if many or skipped or first:
+            yield from placed(first, skipped, record)
+            first, many = None, True
+        else:
+            first = record
         at = end
         inner.drop(at)
-        if size > HELD_BYTES and len(held) > 1:
-            yield from placed(held, content.end)
-            held, size, given = [], 0, True
-    if content.error:
-        if not content.cut:
-            held = [x for x in held if isinstance(x, Gap) or x.headers.get("warc-block-digest", "").startswith("sha1:")]
-        if not given and gap is None and len(held) == 1:
-            held = []
-    elif gap is not None:
-        held.append(inner_gap(inner.start + len(inner.data)))
-    yield from placed(held, content.end)
+    left = inner_gap(inner.start + len(inner.data)) if gap is not None and not content.error else None
+    if first is not None and (not content.error or gap is not None):
+        first.verified |= not content.error
+        yield from placed(first)
+    yield from placed(left)
 
 
 def salvage(file) -> Iterator[Record | Gap]:
-    """Records and gaps of a binary file, in order of their place. The gap of
+    """Records and gaps of a binary file that can seek, in order of their place. The gap of
     a damaged member follows the records that it still gave."""
     stream, at, gap, reason = Stream(file), 0, None, ""
     while stream.has(at + 1):
@@ -307,7 +357,7 @@ def salvage(file) -> Iterator[Record | Gap]:
             items = _inside(content)
         else:
             try:
-                record, end = _parse(stream.get, at)
+                record, end = _parse(stream, at)
                 items = iter((record,))
             except FailedCheck as e:
                 failed = str(e)
@@ -340,18 +390,18 @@ def with_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     """id, url, payload (binary), refers_to: of equal payloads of ``least``
     bytes or more the one with the largest id stays, others refer to it. Rows
     that share the largest id all stay, and so do rows whose id is null if no
-    other has the payload."""
+    other has the payload. Shorter payloads meet no shuffle; the rows of one
+    payload are dealt over SALTS keys."""
     payload = text_or_empty(F.col(payload_col)).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), text_or_empty(F.col(url_col)).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= least, F.sha1("payload")))
-    stays = (
-        rows.filter(F.col("digest").isNotNull())
-        .groupBy("digest")
-        .agg(F.max("id").alias("stays"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-    )
-    found = rows.join(stays, "digest", "left")
-    return found.select("id", "url", "payload", F.when(~F.col("id").eqNullSafe(F.col("stays")), F.col("stays")).alias("refers_to"))
+    short = rows.filter(F.octet_length("payload") < least).withColumn("refers_to", F.lit(None).cast(rows.schema["id"].dataType))
+    salt = F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")
+    rows = rows.filter(F.octet_length("payload") >= least).withColumn("digest", F.sha1("payload")).withColumn("salt", salt)
+    stays = rows.groupBy("digest").agg(F.max("id").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    stays = stays.select("digest", "stays", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    found = rows.join(stays, ["digest", "salt"], "left")
+    refers_to = F.when(~F.col("id").eqNullSafe(F.col("stays")), F.col("stays"))
+    return found.select("id", "url", "payload", refers_to.alias("refers_to")).unionByName(short)
 
 
 def write_warc(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -400,25 +450,25 @@ def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records and gaps of the files (column ``path``), one task per file:
     path, offset, length, kind (record or gap), reason (of a gap), headers
     (lower-case names), payload_bytes and payload_digest (bare lower-case
-    hex) of what the file holds, http_length, payload.
+    hex) of what the file holds, http_length, verified (of a record), payload.
 
     Empty files have neither; a file without any valid record is one gap.
     """
 
     def row(path: str, x: Record | Gap) -> tuple:
         if isinstance(x, Gap):
-            return path, x.offset, x.length, "gap", x.reason, None, None, None, None, None
+            return path, x.offset, x.length, "gap", x.reason, None, None, None, None, None, None
         payload = x.payload
         digest = hashlib.sha1(payload).hexdigest()
-        return path, x.offset, x.length, "record", None, list(x.headers.items()), len(payload), digest, x.http_length, payload
+        return path, x.offset, x.length, "record", None, list(x.headers.items()), len(payload), digest, x.http_length, x.verified, payload
 
-    names = ("path", "offset", "length", "kind", "reason", "headers", "payload_bytes", "payload_digest", "http_length", "payload")
+    names = ("path", "offset", "length", "kind", "reason", "headers", "payload_bytes", "payload_digest", "http_length", "verified", "payload")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for path in (p for b in batches for p in b["path"]):
             source, place = fs.FileSystem.from_uri(path)
             rows, size = [], 0
-            with source.open_input_stream(place, compression=None) as file:
+            with source.open_input_file(place) as file:
                 for x in salvage(file):
                     rows.append(row(path, x)[: len(names) - (not with_payload)])
                     size += 500 + (x.length if isinstance(x, Gap) or not with_payload else len(x.block))
@@ -430,7 +480,7 @@ def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
 
     schema = (
         "path string, offset long, length long, kind string, reason string, headers map<string,string>, "
-        "payload_bytes long, payload_digest string, http_length long" + ", payload binary" * with_payload
+        "payload_bytes long, payload_digest string, http_length long, verified boolean" + ", payload binary" * with_payload
     )
     return map_rows(files.select("path").repartition(max(1, files.count())), run, schema)
 
