@@ -54,6 +54,76 @@ SENTENCES = {
     " version 2 as published by the free software foundation",
     "ccbync4.notice": "licensed under cc by nc 4 0",
     "ccby4.notice": "licensed under cc by 4 0",
+    "ccbysa4.notice": "licensed under cc by sa 4 0",
+    "ccbysa3.notice": "licensed under cc by sa 3 0",
+    "cc0.notice": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+    "cc0.title": "cc0 1 0 universal",
+    "gpl3.title": "gnu general public license version 3 29 june 2007",
+    "gpl2.title": "gnu general public license version 2 june 1991",
+    "lgpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license"
+    " as published by the free software foundation",
+    "lgpl.redistribute21later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license"
+    " as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl.redistribute3later": "you can redistribute it and or modify it under the terms of the gnu lesser general public license"
+    " as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl.either21": "either version 2 1 of the license or at your option any later version",
+    "lgpl.noWarrantyHope": "this library is distributed in the hope that it will be useful but without any warranty",
+    "lgpl21.title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl3.title": "gnu lesser general public license version 3 29 june 2007",
+    "agpl.redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license"
+    " as published by the free software foundation",
+    "agpl.redistribute3later": "you can redistribute it and or modify it under the terms of the gnu affero general public license"
+    " as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl3.title": "gnu affero general public license version 3 19 november 2007",
+    # The point of "v. 2.0" ends a sentence.
+    "mpl2.subject": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl2.copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "mpl2.title": "mozilla public license version 2 0",
+    "epl2.terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"
+    " which is available at https www eclipse org legal epl 2 0",
+    "epl2.title": "eclipse public license v 2 0",
+    "isc.permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"
+    " provided that the above copyright notice and this permission notice appear in all copies",
+    "bsd0.permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "unlicense.release": "this is free and unencumbered software released into the public domain",
+    "unlicense.anyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form"
+    " or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "boost.notice": "distributed under the boost software license version 1 0",
+    "boost.title": "boost software license version 1 0 august 17th 2003",
+    "zlib.permission": "permission is granted to anyone to use this software for any purpose including commercial applications and to"
+    " alter it and redistribute it freely subject to the following restrictions",
+    "wtfpl.title": "do what the fuck you want to public license",
+    "mit.project": "this project is licensed under the mit license",
+    "apache2.project": "this project is licensed under the apache license 2 0",
+    "gpl3.project": "this project is licensed under the gnu general public license v3 0",
+    "bsd3.project": "this project is licensed under the bsd 3 clause license",
+    "mpl2.project": "this project is licensed under the mozilla public license 2 0",
+    # A tag line is cut at its colon: the tag, then the licence's name.
+    "spdx.tag": "spdx license identifier",
+    "name.apache2": "apache 2 0",
+    "name.mit": "mit",
+    "name.bsd2": "bsd 2 clause",
+    "name.bsd3": "bsd 3 clause",
+    "name.gpl2": "gpl 2 0 only",
+    "name.gpl2later": "gpl 2 0 or later",
+    "name.gpl3": "gpl 3 0 only",
+    "name.gpl3later": "gpl 3 0 or later",
+    "name.lgpl21": "lgpl 2 1 only",
+    "name.lgpl21later": "lgpl 2 1 or later",
+    "name.lgpl3": "lgpl 3 0 only",
+    "name.lgpl3later": "lgpl 3 0 or later",
+    "name.agpl3": "agpl 3 0 only",
+    "name.agpl3later": "agpl 3 0 or later",
+    "name.mpl2": "mpl 2 0",
+    "name.epl2": "epl 2 0",
+    "name.isc": "isc",
+    "name.bsd0": "0bsd",
+    "name.unlicense": "unlicense",
+    "name.boost": "bsl 1 0",
+    "name.zlib": "zlib",
+    "name.cc0": "cc0 1 0",
+    "name.ccby4": "cc by 4 0",
+    "name.ccbysa4": "cc by sa 4 0",
 }
 
 # Other published forms of the sentences, by their text.
@@ -69,21 +139,38 @@ VARIANTS = {
     " and noninfringement": "asIs",
     SENTENCES["gpl.redistribute3"].replace("you can", "this program is free software you can", 1): "gpl.redistribute3",
     SENTENCES["noWarrantyHope"] + " without even the implied warranty of merchantability or fitness for a particular purpose": "noWarrantyHope",
+    SENTENCES["lgpl.noWarrantyHope"] + " without even the implied warranty of merchantability or fitness for a particular purpose": "lgpl.noWarrantyHope",
+    "this library is free software you can" + SENTENCES["lgpl.redistribute21later"].removeprefix("you can"): "lgpl.redistribute21later",
+    "this program is free software you can" + SENTENCES["lgpl.redistribute3later"].removeprefix("you can"): "lgpl.redistribute3later",
+    "this program is free software you can" + SENTENCES["agpl.redistribute3later"].removeprefix("you can"): "agpl.redistribute3later",
+    "this program is free software you can" + SENTENCES["gpl.redistribute2later"].removeprefix("you can"): "gpl.redistribute2later",
+    "permission to use copy modify and distribute" + SENTENCES["isc.permission"].removeprefix("permission to use copy modify and or distribute"): "isc.permission",
+    "this project is licensed under the mit license see the license file for details": "mit.project",
+    "licensed under the mit license": "mit.notice",
+    "the mit license mit": "mit.notice",
+    "licensed under the apache license 2 0": "apache2.notice",
+    "this project is licensed under the apache license version 2 0": "apache2.project",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2.copy",
+    "this work is licensed under a creative commons attribution 4 0 international license": "ccby4.notice",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "ccbysa4.notice",
+    "this work is licensed under a creative commons attribution sharealike 3 0 unported license": "ccbysa3.notice",
+    "gpl 2 0": "name.gpl2",
+    "gpl 3 0": "name.gpl3",
+    "lgpl 2 1": "name.lgpl21",
+    "lgpl 3 0": "name.lgpl3",
+    "agpl 3 0": "name.agpl3",
 }
 
-#: Sentences that name someone: identifier, its beginning, the whole.
+#: Sentences that name someone: identifier, how they begin, what follows the
+#: name, how they end.
 PATTERNS = (
     (
         "bsd.noEndorse",
         "neither the name",
-        re.compile(
-            r"neither the names? (?:of )?.{1,200} nor the names of (?:its|their|any|the|other) ?.{0,80}contributors may be used to"
-            r" endorse or promote products derived from this software without specific prior written permission"
-        ).fullmatch,
+        re.compile(r". nor the names of (?:its|their|any|the|other)\b").search,
+        "contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     ),
 )
-#: Pieces of lines that such a sentence may be wrapped into.
-WRAPPED = 12
 
 
 @dataclass(frozen=True)
@@ -117,6 +204,69 @@ RULES = (
     LicenseRule("BSD-2-Clause", ("bsd.redistribute",)),
     LicenseRule("CC-BY-NC-4.0", ("ccbync4.notice",)),
     LicenseRule("CC-BY-4.0", ("ccby4.notice",)),
+    LicenseRule("CC-BY-SA-4.0", ("ccbysa4.notice",)),
+    LicenseRule("CC-BY-SA-3.0", ("ccbysa3.notice",)),
+    LicenseRule("CC0-1.0", ("cc0.title",)),
+    LicenseRule("CC0-1.0", ("cc0.notice",)),
+    LicenseRule("GPL-3.0-only", ("gpl3.title",)),
+    LicenseRule("GPL-2.0-only", ("gpl2.title",)),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl.redistribute", "lgpl.either21", "lgpl.noWarrantyHope")),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl.redistribute", "lgpl.either21")),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl.redistribute21later", "lgpl.noWarrantyHope")),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl.redistribute21later",)),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl.redistribute", "gpl.either3", "noWarrantyHope")),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl.redistribute", "gpl.either3")),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl.redistribute3later",)),
+    LicenseRule("LGPL-2.1-only", ("lgpl21.title",)),
+    LicenseRule("LGPL-3.0-only", ("lgpl3.title",)),
+    LicenseRule("AGPL-3.0-or-later", ("agpl.redistribute", "gpl.either3", "noWarrantyHope")),
+    LicenseRule("AGPL-3.0-or-later", ("agpl.redistribute", "gpl.either3")),
+    LicenseRule("AGPL-3.0-or-later", ("agpl.redistribute3later", "noWarrantyHope")),
+    LicenseRule("AGPL-3.0-or-later", ("agpl.redistribute3later",)),
+    LicenseRule("AGPL-3.0-only", ("agpl3.title",)),
+    LicenseRule("MPL-2.0", ("mpl2.subject", "mpl2.copy")),
+    LicenseRule("MPL-2.0", ("mpl2.subject",)),
+    LicenseRule("MPL-2.0", ("mpl2.title",)),
+    LicenseRule("EPL-2.0", ("epl2.terms",)),
+    LicenseRule("EPL-2.0", ("epl2.title",)),
+    LicenseRule("ISC", ("isc.permission", "asIs")),
+    LicenseRule("ISC", ("isc.permission",)),
+    LicenseRule("0BSD", ("bsd0.permission",)),
+    LicenseRule("Unlicense", ("unlicense.release", "unlicense.anyone")),
+    LicenseRule("Unlicense", ("unlicense.release",)),
+    LicenseRule("BSL-1.0", ("boost.notice",)),
+    LicenseRule("BSL-1.0", ("boost.title",)),
+    LicenseRule("Zlib", ("zlib.permission",)),
+    LicenseRule("WTFPL", ("wtfpl.title",)),
+    LicenseRule("MIT", ("mit.project",)),
+    LicenseRule("Apache-2.0", ("apache2.project",)),
+    LicenseRule("GPL-3.0-only", ("gpl3.project",)),
+    LicenseRule("BSD-3-Clause", ("bsd3.project",)),
+    LicenseRule("MPL-2.0", ("mpl2.project",)),
+    LicenseRule("Apache-2.0", ("spdx.tag", "name.apache2")),
+    LicenseRule("MIT", ("spdx.tag", "name.mit")),
+    LicenseRule("BSD-2-Clause", ("spdx.tag", "name.bsd2")),
+    LicenseRule("BSD-3-Clause", ("spdx.tag", "name.bsd3")),
+    LicenseRule("GPL-2.0-only", ("spdx.tag", "name.gpl2")),
+    LicenseRule("GPL-2.0-or-later", ("spdx.tag", "name.gpl2later")),
+    LicenseRule("GPL-3.0-only", ("spdx.tag", "name.gpl3")),
+    LicenseRule("GPL-3.0-or-later", ("spdx.tag", "name.gpl3later")),
+    LicenseRule("LGPL-2.1-only", ("spdx.tag", "name.lgpl21")),
+    LicenseRule("LGPL-2.1-or-later", ("spdx.tag", "name.lgpl21later")),
+    LicenseRule("LGPL-3.0-only", ("spdx.tag", "name.lgpl3")),
+    LicenseRule("LGPL-3.0-or-later", ("spdx.tag", "name.lgpl3later")),
+    LicenseRule("AGPL-3.0-only", ("spdx.tag", "name.agpl3")),
+    LicenseRule("AGPL-3.0-or-later", ("spdx.tag", "name.agpl3later")),
+    LicenseRule("MPL-2.0", ("spdx.tag", "name.mpl2")),
+    LicenseRule("EPL-2.0", ("spdx.tag", "name.epl2")),
+    LicenseRule("ISC", ("spdx.tag", "name.isc")),
+    LicenseRule("0BSD", ("spdx.tag", "name.bsd0")),
+    LicenseRule("Unlicense", ("spdx.tag", "name.unlicense")),
+    LicenseRule("BSL-1.0", ("spdx.tag", "name.boost")),
+    LicenseRule("Zlib", ("spdx.tag", "name.zlib")),
+    LicenseRule("CC0-1.0", ("spdx.tag", "name.cc0")),
+    LicenseRule("CC-BY-4.0", ("spdx.tag", "name.ccby4")),
+    LicenseRule("CC-BY-SA-4.0", ("spdx.tag", "name.ccbysa4")),
 )
 
 #: A sentence ends at . ; : ! ? and white space; the end of a line may end it.
@@ -163,18 +313,40 @@ class LicenseMatcher:
         if unknown:
             raise ValueError(f"rules name unknown sentences: {sorted(unknown)}")
         #: First words of the known sentences: others need no normalising.
-        self.begin = re.compile("|".join(sorted({re.escape(t.split()[0]) for t in [*self.known, *(p[1] for p in patterns)]})), re.IGNORECASE).search
+        self.begin = re.compile("|".join(sorted({re.escape(t.split()[0]) for t in self.known})), re.IGNORECASE).search
 
     def identifiers(self, text: str) -> list[str]:
         found: list[str] = []
         for run in _runs(text):
-            i = 0
+            named, i = self._named(run), 0
             while i < len(run):
-                name, i = self._sentence(run, i)
+                name, i = named.get(i) or self._sentence(run, i)
                 if name:
                     found.append(name)
         return found
 
+    def _named(self, run: list[str]) -> dict[int, tuple[str, int]]:
+        """Sentences that name someone, by their first piece: identifier and
+        where to go on. Such a sentence goes from the last beginning before an
+        end to that end, over any number of pieces."""
+        spans: dict[int, tuple[str, int]] = {}
+        for name, begins, holds, ends in self.patterns:
+            word = re.compile(re.escape(begins.split()[0]), re.IGNORECASE).search
+            if not any(map(word, run)):
+                continue
+            pieces = [normalized_sentence(p) for p in run]
+            n, start, last = len(begins.split()), None, ""
+            for k, piece in enumerate(pieces):
+                if " ".join(pieces[k : k + n]).startswith(begins):
+                    start = k
+                last = f"{last} {piece}"[-len(ends) - 1 :]
+                if start is not None and last.endswith(" " + ends):
+                    whole = " ".join(pieces[start : k + 1])
+                    if holds(whole, len(begins)):
+                        spans[start] = (name, k + 1)
+                    start = None
+        return spans
+
     def _sentence(self, run: list[str], i: int) -> tuple[str | None, int]:
         """The longest known sentence that begins with run[i], and where to
         go on."""
@@ -185,12 +357,7 @@ class LicenseMatcher:
         while True:
             if sentence in self.known:
                 name, end = self.known[sentence], k
-            named = any(sentence.startswith(p[1]) for p in self.patterns) and k - i < WRAPPED
-            if named:
-                for own, _, fits in self.patterns:
-                    if fits(sentence):
-                        return own, k
-            if k >= len(run) or not (named or sentence in self.prefixes):
+            if k >= len(run) or sentence not in self.prefixes:
                 return name, end
             sentence = f"{sentence} {normalized_sentence(run[k])}"
             k += 1

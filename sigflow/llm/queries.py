@@ -139,7 +139,7 @@ FROM p LEFT JOIN k ON p.d = k.d AND b >= 1000
 def _license_sql() -> str:
     """The rules in their order, each replacing what it matches in the text
     of identifiers by a bar, so that none is used twice."""
-    known = ", ".join(f"('{name}', '{sentence}')" for name, sentence in license_rules.SENTENCES.items())
+    known = ", ".join(f"('{name}', '{sentence}')" for sentence, name in [*license_rules.VARIANTS.items(), *((t, n) for n, t in license_rules.SENTENCES.items())])
     steps, at = [], "ids"
     for i, rule in enumerate(license_rules.RULES):
         pattern = "".join(f"<{name}>" for name in rule.sentences)
@@ -168,6 +168,14 @@ FROM r{last}
 """
 
 
+def _word_forms(terms: tuple[str, ...]) -> str:
+    """Per entry its terms as alternatives of a pattern."""
+    forms: dict[str, list[str]] = {}
+    for t in terms:
+        forms.setdefault(url_filter.Vocabulary().entry(t), []).append(t)
+    return _strings("|".join(f) for f in forms.values())
+
+
 _URL_SQL = f"""
 WITH u AS (
   SELECT page_id, url,
@@ -182,8 +190,8 @@ fits AS (
   FROM u LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
 ), terms AS (
   SELECT *,
-    CAST(len(list_filter({_strings(url_filter.Vocabulary().strict)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)'))) AS INTEGER) AS n_strict,
-    CAST(len(list_filter({_strings(url_filter.Vocabulary().soft)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)'))) AS INTEGER) AS n_soft
+    CAST(len(list_filter({_word_forms(url_filter.Vocabulary().strict)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])(' || t || ')([^a-z0-9]|$)'))) AS INTEGER) AS n_strict,
+    CAST(len(list_filter({_word_forms(url_filter.Vocabulary().soft)}, lambda t: regexp_matches(low, '(^|[^a-z0-9])(' || t || ')([^a-z0-9]|$)'))) AS INTEGER) AS n_soft
   FROM fits WHERE nth = 1
 )
 SELECT page_id, host, path, rule, n_strict, n_soft,

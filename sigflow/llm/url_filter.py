@@ -3,19 +3,20 @@
 The longest rule that fits decides. A url without one is judged by its
 vocabulary: an Aho-Corasick automaton finds the terms of the lower-cased url
 that stand between boundaries (no ASCII letter or digit beside them); one
-strict term blocks it, and so do ``min_soft`` distinct soft terms.
+strict term blocks it, and so do soft terms of ``min_soft`` distinct entries.
+Forms of one word (``bet``, ``bets``) are one entry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigflow.llm.common import map_rows, worker_state
-from sigflow.llm.url_terms import SOFT, STRICT, terms
+from sigflow.llm.url_terms import SOFT, STRICT, entry, terms
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -23,12 +24,13 @@ LOWER = UPPER.lower()
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms are lower-case; a url is blocked by one strict term or by
-    ``min_soft`` distinct soft terms."""
+    """Terms are lower-case; a url is blocked by one strict term or by soft
+    terms of ``min_soft`` distinct entries. ``entry`` gives a term's entry."""
 
     strict: tuple[str, ...] = terms(STRICT)
     soft: tuple[str, ...] = terms(SOFT)
     min_soft: int = 2
+    entry: Callable[[str], str] = entry
 
 
 @dataclass(frozen=True)
@@ -81,20 +83,21 @@ class TermFinder:
 
         self.min_soft = vocabulary.min_soft
         self.automaton = ahocorasick.Automaton()
+        strict = frozenset(vocabulary.strict)
         for term in {*vocabulary.strict, *vocabulary.soft}:
-            self.automaton.add_word(term, (term, term in vocabulary.strict))
+            self.automaton.add_word(term, (len(term), vocabulary.entry(term), term in strict))
         self.automaton.make_automaton()
 
     def hits(self, url: str) -> tuple[set[str], set[str]]:
-        """Distinct strict and soft terms with a boundary on both sides. A
-        term of both kinds counts as strict."""
+        """Distinct entries of strict and of soft terms with a boundary on
+        both sides. A term of both kinds counts as strict."""
         strict: set[str] = set()
         soft: set[str] = set()
         text = url.translate(_TO_LOWER)
-        for end, (term, is_strict) in self.automaton.iter(text):
-            begin = end - len(term)
+        for end, (length, word, is_strict) in self.automaton.iter(text):
+            begin = end - length
             if (begin < 0 or text[begin] not in _WORD) and (end + 1 == len(text) or text[end + 1] not in _WORD):
-                (strict if is_strict else soft).add(term)
+                (strict if is_strict else soft).add(word)
         return strict, soft
 
 
@@ -109,7 +112,8 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
 ) -> DataFrame:
-    """One row per input row: id, host, path, rule, verdict, n_strict, n_soft.
+    """One row per input row: id, host, path, rule, verdict, n_strict, n_soft
+    (entries found).
 
     Null urls and urls without ``://`` have an empty host and path, so no
     rule fits; a url without ``://`` is still judged by its terms, a null one

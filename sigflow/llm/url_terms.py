@@ -2,10 +2,13 @@
 
 General words of each trade, not names of sites in any table. ``STRICT``
 terms hardly stand in a harmless url; ``SOFT`` ones do, so a url needs several.
+Forms of one word (``loan``, ``loans``) are one entry of the vocabulary.
 """
 
 from __future__ import annotations
 
+import re
+
 STRICT: dict[str, str] = {
     "adult": """
         porn porno pornos porns pornography pornographic pornhub pornstar pornstars pornvideo pornvideos freeporn gayporn teenporn
@@ -82,6 +85,45 @@ SOFT: dict[str, str] = {
 }
 
 
+# Forms of one word that no ending of ``entry`` relates.
+SAME_WORD = (
+    ("ad", "ads", "advert", "adverts", "advertise", "advertiser", "advertisers", "advertising", "advertisement", "advertisements"),
+    ("adult", "adults"),
+    ("crypto", "cryptos", "cryptocurrency"),
+    ("erotic", "erotica", "erotik"),
+    ("lotto", "lottery", "lotteries"),
+    ("meds", "medication", "medications"),
+    ("nude", "nudes", "nudity"),
+    ("pharma", "pharmacy", "pharmacies"),
+    ("pirate", "pirated", "pirates", "piracy"),
+    ("promo", "promos", "promotion", "promotions"),
+    ("sex", "sexy", "sexual"),
+    ("spam", "spams", "spammed", "spamming", "spammy"),
+    ("giveaway", "giveaways"),
+)
+_SAME = {form: forms[0] for forms in SAME_WORD for form in forms}
+
+
+def entry(term: str) -> str:
+    """The entry that a term is a form of: plural and verbal endings, a final
+    e and the doubled consonant before an ending don't tell terms apart."""
+    if term in _SAME:
+        return _SAME[term]
+    if len(term) > 4 and term.endswith("ies"):
+        word = term[:-3] + "y"
+    elif len(term) > 4 and re.search("(?:[sxz]|ch|sh)es$", term):
+        word = term[:-2]
+    elif len(term) > 3 and re.search("[^sui]s$", term):
+        word = term[:-1]
+    else:
+        word = term
+    if word in _SAME:
+        return _SAME[word]
+    while len(stem := re.sub("(?:ing|ed|est|er|or)$", "", word)) >= 3 and stem != word:
+        word = re.sub("([bdgklmnprt])\\1$", "\\1", stem)
+    return word.removesuffix("e")
+
+
 def terms(table: dict[str, str]) -> tuple[str, ...]:
     """All terms, each once, in order."""
     return tuple(dict.fromkeys(t for words in table.values() for t in words.split()))

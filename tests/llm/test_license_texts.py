@@ -1,5 +1,7 @@
 """Published licence notices as they stand in files."""
 
+import textwrap
+
 import pytest
 
 from sigflow.llm import license_rules as L
@@ -87,3 +89,51 @@ def test_a_line_still_ends_a_sentence():
     m = L.LicenseMatcher(L.SENTENCES, L.RULES, L.VARIANTS, L.PATTERNS)
     assert m.identifiers("Some title\nReleased under the MIT License\nreleased under the MIT license\nmore") == ["mit.notice", "mit.notice"]
     assert m.identifiers("Permission is hereby granted\n\nfree of charge") == []
+
+
+def wrapped(text, width):
+    """Paragraphs wrapped anew."""
+    return "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n"))
+
+
+@pytest.mark.parametrize("width", [6, 10, 14, 33, 400])
+def test_any_wrap_width(width):
+    m = L.LicenseMatcher(L.SENTENCES, L.RULES, L.VARIANTS, L.PATTERNS)
+    for text, name in TEXTS:
+        assert m.licenses(m.identifiers(wrapped(text, width))) == [name]
+    holder = "the " + "very " * 2_000 + "long institute"
+    assert m.licenses(m.identifiers(wrapped(BSD3 % holder, width))) == ["BSD-3-Clause"]
+
+
+MORE = [
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("// SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+    ("# SPDX-License-Identifier: GPL-2.0-or-later\ncode", "GPL-2.0-or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     "file, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by"
+     " the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n", "LGPL-2.1-or-later"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\n"
+     "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n", "AGPL-3.0-or-later"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+     "copyright notice and this permission notice appear in all copies.\n", "ISC"),
+    ("This is free and unencumbered software released into the public domain.\n", "Unlicense"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("We like the MIT. Isc and zlib are words.\nmit\n", None),
+]
+
+
+def test_more_families_and_edge_rows(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(MORE)] + [(None, MORE[0][0]), (99, None), (99, None), (100, "neither the name " * 50_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS license", "'x' AS t")
+    got = sorted(((r.doc_id, r.license) for r in L.scan_licenses(frame).collect()), key=str)
+    assert got == sorted([*((i, x) for i, (_, x) in enumerate(MORE)), (None, "MIT"), (99, None), (99, None), (100, None)], key=str)
+    assert L.scan_licenses(frame.limit(0)).count() == 0
+
+
+def test_a_name_goes_to_the_nearest_beginning():
+    m = L.LicenseMatcher(L.SENTENCES, L.RULES, L.VARIANTS, L.PATTERNS)
+    tail = "contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+    assert m.identifiers("neither the name\n" * 20_000 + "of X nor the names of its\n" + tail) == ["bsd.noEndorse"]
+    assert m.identifiers("neither the name of X\n" + tail) == []
+    assert m.identifiers("nor the names of its\n" + tail) == []
