@@ -242,6 +242,7 @@ SELECT * FROM rounded ORDER BY signal_date, hour_of_day LIMIT {PREVIEW_ROWS}""",
     "csv_inferred_to_topic": RAW_SELECT,
     "message_roundtrip": RAW_SELECT,
     "csv_to_topic": RAW_SELECT,
+    "csv_drift": RAW_SELECT,
     "ingest_batch": INGESTED_SELECT,
     "topic_to_table": INGESTED_SELECT,
     "ingested_hourly_generation": f"WITH {INGESTED_TELEMETRY},\n{HOURLY}\nSELECT * FROM rounded",

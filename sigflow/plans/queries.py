@@ -48,14 +48,14 @@ from sigflow.operators.model import (
 )
 from sigflow.operators.preview import preview
 from sigflow.plans.staging import FILES_PER_BATCH, load_telemetry, load_typed_telemetry, message_folder, raw_csv_folder, second_delivery
-from sigflow.schemas import AVG_COLUMNS, FEATURE_COLUMNS, SIGNAL_KEYS, TYPED_COLUMNS
+from sigflow.schemas import AVG_COLUMNS, FEATURE_COLUMNS, RAW_SCHEMA, SIGNAL_KEYS, TYPED_COLUMNS
 from sigflow.session import new_scratch_dir
 from sigflow.sources.csv import read_raw_csv
 from sigflow.sources.mapping import mapping_frame, mapping_from_json
 from sigflow.sources.table import TableConfig, read_table, write_bucketed
 from sigflow.sources.testdata import events_raw, read_events
 from sigflow.sources.topic import TopicConfig, read_topic
-from sigflow.streaming import ingest_batches, ingest_topic, publish_csv, read_batches, read_ledger, read_quarantine
+from sigflow.streaming import ingest_batches, ingest_drifting_csv, ingest_topic, publish_csv, read_batches, read_drift_table, read_ledger, read_quarantine
 
 # Fixed query parameters. The split hashes with md5 so that the SQL oracle
 # can reproduce which rows train.
@@ -206,6 +206,27 @@ def csv_inferred_to_topic_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(read_topic(spark, topic, streaming=False))
 
 
+def csv_drift_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over files whose headers differ. Half of the rows are
+    delivered as they are, the others with their columns in another order and
+    a further one; a delivery of all rows without one column is quarantined,
+    so each row is in the table once."""
+    run = new_scratch_dir(spark, "drift")
+    events = read_events(spark, sf_dir)
+    early = F.col("ts") < F.lit(PREDICT_DAY)
+    late = events_raw(events.filter(~early | early.isNull()))
+    deliveries = (
+        events_raw(events.filter(early)),
+        late.select(*reversed(late.columns), F.lit("x, y").alias("Note")),
+        events_raw(events).drop(SIGNAL_KEYS[-1]),
+    )
+    for rows in deliveries:
+        rows.write.mode("append").option("header", True).csv(f"{run}/inbox")
+    table, report = TableConfig(path=f"{run}/raw"), TableConfig(path=f"{run}/report")
+    ingest_drifting_csv(spark, f"{run}/inbox", table, report, f"{run}/checkpoint", max_files_per_trigger=FILES_PER_BATCH)
+    return read_drift_table(spark, table).select(*RAW_SCHEMA.names)
+
+
 def message_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 / F3 / P2 then F2 / P5: rows -> JSON messages -> rows (batch)."""
     return decode_messages(encode_messages(events_raw(read_events(spark, sf_dir))))
@@ -526,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "topic_to_table": topic_to_table_q,
     "ingested_hourly_generation": ingested_hourly_generation_q,
     "stream_restart": stream_restart_q,
+    "csv_drift": csv_drift_q,
     "batch_ingest": batch_ingest_q,
     "batch_replay": batch_replay_q,
     "batch_ledger": batch_ledger_q,

@@ -39,7 +39,8 @@ def batch_table(table: TableConfig) -> TableConfig:
     return replace(table, partition_by=(*keys, BATCH))
 
 
-def _overwrite(rows: DataFrame, cfg: TableConfig) -> None:
+def overwrite_partitions(rows: DataFrame, cfg: TableConfig) -> None:
+    """Write the rows in place of what their partitions hold."""
     writer = rows.write.format(cfg.format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if cfg.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(cfg.max_records_per_file))
@@ -83,12 +84,12 @@ def write_batch(
             *[c.alias(n) for n, c in zip(COUNTS, (F.count(F.lit(1)), F.count(MALFORMED), F.count_if(F.col("signal_ts").isNull())), strict=True)],
         )
         keys = [k for k in cfg.partition_by if k != BATCH]
-        _overwrite(counted.hint("rebalance", *keys).sortWithinPartitions(*keys, "signal_ts"), cfg)
+        overwrite_partitions(counted.hint("rebalance", *keys).sortWithinPartitions(*keys, "signal_ts"), cfg)
         counts = _counts(seen)
         if quarantine is not None and counts["rows_malformed"]:
             own = spark.read.format(cfg.format).load(cfg.path).filter(F.col(BATCH) == name)
             bad = own.filter(F.col(MALFORMED).isNotNull()).select(MALFORMED, "create_ts", F.lit(name).alias(BATCH))
-            _overwrite(bad, replace(quarantine, partition_by=(BATCH,)))
+            overwrite_partitions(bad, replace(quarantine, partition_by=(BATCH,)))
         if after_write:
             after_write(batch_id)
         row = spark.createDataFrame([tuple(counts[c] for c in COUNTS)], ", ".join(f"{c} bigint" for c in COUNTS))
