@@ -6,12 +6,15 @@ each length. The plan needs only that histogram, which has at most
 sequence) and how often each is used. Pieces of one length are alike, so each
 piece then finds its sequence by its rank among them.
 
-The plan starts from best-fit decreasing and a short search like the last step.
-If that uses more sequences than the lower bound, the linear relaxation over all fillings (column generation, a
-knapsack by dynamic programming finds the next filling) gives prices of the
-lengths, a stronger bound and, rounded, a better plan. While that is not at
-the bound, a branch-and-bound search completes the bin of the largest
-remaining piece: all undominated fillings in order of waste, each as often as
+The plan starts from best-fit decreasing. While it uses more sequences than
+the lower bound, bins are completed around the largest remaining piece: first
+single descents, which take the filling of fewest pieces among those that waste
+little and so keep the short pieces for later bins, then a short search like
+the last step. If none reaches the bound, the linear relaxation over all
+fillings (column generation, a knapsack by dynamic programming finds the next
+filling) gives prices of the lengths, a stronger bound and, rounded, another
+plan. While the best is not at the bound, a branch-and-bound search completes
+the bin of the largest remaining piece: all undominated fillings in order of waste, each as often as
 the counts allow and then fewer times, branches dropped by their waste and by
 the prices of what is left. The relaxation has a budget of pivots, the search
 one of nodes and enumerated fillings; the best plan found counts.
@@ -20,6 +23,7 @@ one of nodes and enumerated fillings; the best plan found counts.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,6 +44,8 @@ LISTED = 200_000
 FILLINGS = 4
 #: Nodes of a first search without the relaxation's prices.
 DIVE = 4_000
+#: Tokens that a bin may waste in a descent, one descent for each.
+WASTES = (8, 4, 16, 2, 32, 1, 64)
 #: Pivots of the linear relaxations, in all.
 PIVOTS = 4_000
 
@@ -82,6 +88,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_
 Plan = list[tuple[tuple[int, ...], int]]
 
 
+def sequences(plan: Plan) -> int:
+    return sum(times for _, times in plan)
+
+
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Sequences that any packing needs: by total length, and by pieces too
     long to share with another that long."""
@@ -180,6 +190,68 @@ def _dominated(chosen: tuple[int, ...], counts: dict[int, int], room: int) -> bo
     return any(s < n <= s + waste or (s and n == s and s not in used) for s in sums for n in free)
 
 
+def _pair(lengths: list[int], left: dict[int, int], room: int, waste: int) -> tuple[int, ...]:
+    """Two pieces that fill ``room`` best, if they waste at most ``waste``;
+    the larger first piece among equals."""
+    found: tuple[int, ...] = ()
+    low, high, best = 0, bisect_right(lengths, room) - 1, room - waste - 1
+    while low <= high and best < room:
+        a, b = lengths[high], lengths[low]
+        if a + b > room:
+            high -= 1
+            continue
+        if a + b > best and (a != b or left[a] > 1):
+            best, found = a + b, (a, b)
+        low += 1
+    return found
+
+
+def _few_pieces(lengths: list[int], left: dict[int, int], room: int, waste: int) -> tuple[int, ...]:
+    """Of the fillings that waste at most ``waste`` one of fewest pieces, up
+    to three; none of those: the first filling of least waste. ``lengths``
+    are the rising lengths that ``left`` counts."""
+    if not lengths or lengths[0] > room:
+        return ()
+    top = bisect_right(lengths, room) - 1
+    if room - lengths[top] <= waste:
+        return (lengths[top],)
+    if pair := _pair(lengths, left, room, waste):
+        return pair
+    for i in range(top, bisect_left(lengths, -(-(room - waste) // 3)) - 1, -1):
+        a = lengths[i]
+        left[a] -= 1
+        others = lengths[: i + 1] if left[a] else lengths[:i]
+        pair = _pair(others, left, room - a, waste)
+        left[a] += 1
+        if pair:
+            return (a, *pair)
+    return (fillings(left, room, 1, [LISTED]) or [()])[0]
+
+
+def descend(counts: dict[int, int], capacity: int, waste: int) -> Plan:
+    """One descent of the search: the largest piece's bin gets the filling of
+    ``_few_pieces``, as often as the counts allow."""
+    left, lengths, plan = dict(counts), sorted(counts), []
+    while lengths:
+        largest = lengths[-1]
+        left[largest] -= 1
+        if not left[largest]:
+            lengths.pop()
+        filling = (largest, *_few_pieces(lengths, left, capacity - largest, waste))
+        left[largest] += 1
+        if left[largest] == 1:
+            lengths.append(largest)
+        need = Counter(filling)
+        times = min(left[n] // k for n, k in need.items())
+        plan.append((filling, times))
+        for n, k in need.items():
+            left[n] -= k * times
+            if not left[n]:
+                del left[n]
+                lengths.pop(bisect_left(lengths, n))
+    return plan
+
+
 def _fullest(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float | int, np.ndarray]:
     """The greatest worth of a filling, and how often it has each length."""
     order = np.argsort(lengths)
@@ -374,8 +446,12 @@ def plan_sequences(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
     counts = {int(n): int(c) for n, c in counts.items() if c}
     best = best_fit_decreasing(counts, capacity)
     bound = lower_bound(counts, capacity)
-    if sum(c for _, c in best) <= bound:
+    if sequences(best) <= bound:
         return best
+    for waste in WASTES:
+        best = min(best, descend(counts, capacity, waste), key=sequences)
+        if sequences(best) <= bound:
+            return best
     best = complete_bins(counts, capacity, best, bound, min(nodes, DIVE))
     if sum(c for _, c in best) <= bound:
         return best

@@ -4,6 +4,8 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from sigflow.llm import packing
 
@@ -45,3 +47,23 @@ def test_no_filling_is_left_out():
     counts = {n: 2 for n in range(1, 9)}
     found = packing.fillings(counts, 12, 10_000, [10_000])
     assert len(found) > 16 and len(set(found)) == len(found)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 5), max_size=12), st.sampled_from(packing.WASTES))
+def test_descent_places_every_piece_once(counts, waste):
+    plan = packing.descend(counts, 40, waste)
+    placed = Counter()
+    for filling, times in plan:
+        assert sum(filling) <= 40
+        assert times > 0
+        for n in filling:
+            placed[n] += times
+    assert placed == Counter(counts)
+
+
+def test_descent_keeps_short_pieces_for_later():
+    """The bin of 70 takes 28 and wastes 2, not 15 and 15: those complete the bins of 60."""
+    counts = {70: 1, 60: 3, 28: 1, 25: 3, 15: 3}
+    assert packing.sequences(packing.descend(counts, 100, 2)) == 4
+    assert packing.sequences(packing.descend(counts, 100, 0)) == 5
