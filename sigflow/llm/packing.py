@@ -13,12 +13,12 @@ little and so keep the short pieces for later bins, then a short search like
 the last step. If none reaches the bound, the linear relaxation over all
 fillings (column generation, a knapsack by dynamic programming finds the next
 filling) gives prices of the lengths, a stronger bound and, rounded, another
-plan. While the best is not at the bound, a branch-and-bound search completes
-the bin of the largest remaining piece again: all undominated fillings in order of waste, each as often as
-the counts allow and then fewer times, branches dropped by their waste and by
-the prices of what is left. The relaxation has a budget of pivots, more
-for a plan further from the bound, the search one of nodes and enumerated
-fillings; the best plan found counts.
+plan. If that changed the plan or the bound and they still differ, a
+branch-and-bound search completes the bin of the largest remaining piece again:
+all undominated fillings in order of waste, each as often as the counts allow
+and then fewer times, branches dropped by their waste and by the prices of what
+is left. The relaxation has a budget of pivots, the search one of nodes and
+enumerated fillings; the best plan found counts.
 """
 
 from __future__ import annotations
@@ -47,10 +47,8 @@ FILLINGS = 4
 DIVE = 4_000
 #: Tokens that a bin may waste in a descent, one descent for each.
 WASTES = (8, 4, 16, 2, 32, 1, 64)
-#: Pivots of the linear relaxations, in all, and for each sequence that the
-#: best plan has above the bound.
+#: Pivots of the linear relaxations, in all.
 PIVOTS = 4_000
-PIVOTS_EACH = 40
 
 
 # ------------------------------------------------------------------ tokens
@@ -456,10 +454,9 @@ def plan_sequences(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
         if sequences(best) <= bound:
             return best
     best = complete_bins(counts, capacity, best, bound, min(nodes, DIVE))
-    gap = sequences(best) - bound
-    if gap <= 0:
+    if sequences(best) <= bound:
         return best
-    better, prices = round_relaxed(counts, capacity, best, [min(PIVOTS, PIVOTS_EACH * gap)])
+    better, prices = round_relaxed(counts, capacity, best, [PIVOTS])
     stronger = max(bound, prices.bound(counts))
     if sequences(better) <= stronger or (sequences(better) == sequences(best) and stronger == bound):
         # Proven, or the search would only repeat itself.
